@@ -1 +1,139 @@
-"""Registered queries."""
+"""Registered integrity checks (section 2.8) with their oracle SQL."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from ..operators import checks as C
+from ..sources.fixtures import FIXTURE_COLUMNS
+from . import catalog as K
+from . import integrity as I
+from . import oracle_checks as O
+from .registry import PARAMS as P
+from .registry import register
+
+AS_OF_DATE = P["as_of"]
+
+
+def _applicable(rules):
+    out = []
+    for r in rules:
+        cols = FIXTURE_COLUMNS.get(r.table, [])
+        if not all(c in cols for c in r.columns):
+            continue
+        if r.kind == "foreign_key" and not all(
+                c in FIXTURE_COLUMNS.get(r.ref_table, []) for c in r.ref_columns):
+            continue
+        out.append(r)
+    return out
+
+
+def _key_cols(table):
+    return K.KEY_COLUMNS.get(table, K.KEY_COLUMNS.get(table.replace("_billing", ""), ()))
+
+
+def register_violations(name: str, rules, as_of: str | None = None):
+    rules = _applicable(rules)
+    if not rules:
+        raise ValueError(f"{name}: no rule applies to the fixtures")
+    sql = "\nunion all\n".join(
+        O.violation_sql(r, FIXTURE_COLUMNS[r.table], _key_cols(r.table), as_of) for r in rules)
+    keys = {r.table: _key_cols(r.table) for r in rules}
+    register(name, sql)(lambda lg: C.violations(lg, rules, keys, as_of=as_of))
+    return rules
+
+
+def register_summary(name: str, rules, as_of: str | None = None):
+    rules = _applicable(rules)
+    sql = "\nunion all\n".join(O.count_sql(r, as_of) for r in rules)
+    register(name, sql)(lambda lg: C.summary(lg, rules, as_of=as_of))
+    return rules, sql
+
+
+_billing = [replace(r, table="t_account_billing") for r in K.BILLING_RULES
+            if r.kind in ("range", "exclusive")]
+_shift = [replace(r, table="t_account_billing") for r in K.DOMAIN_RULES
+          if r.name == "ck_billing_cycle_weekend_shift"]
+
+register_violations("check_not_null", K.NOT_NULL_RULES)
+register_violations("check_domain", K.DOMAIN_RULES + _shift)
+register_violations("check_lowercase", K.LOWERCASE_RULES)
+register_violations("check_not_empty", K.rules_of_kind("not_empty"))
+register_violations("check_regex", K.rules_of_kind("regex"))
+register_violations("check_length", [r for r in K.FORMAT_RULES
+                                     if r.kind in ("min_length", "max_length", "max_bytes")])
+register_violations("check_range", [r for r in _billing if r.kind == "range"])
+register_violations("check_exclusive", [r for r in _billing if r.kind == "exclusive"])
+register_violations("check_non_negative", K.rules_of_kind("non_negative"))
+register_violations("check_sum_consistency", K.rules_of_kind("sum_consistency"))
+register_violations("check_not_future_date", K.rules_of_kind("not_future"), as_of=AS_OF_DATE)
+register_violations("check_numeric_fits", K.NUMERIC_RULES)
+register_violations("check_unique", K.PK_RULES + K.UNIQUE_RULES)
+register_violations("check_unique_legacy", K.rules_of_kind("unique", K.LEGACY_RULES))
+register_violations("check_foreign_key", K.FK_RULES)
+register_violations("check_foreign_key_legacy", K.rules_of_kind("foreign_key", K.LEGACY_RULES))
+
+_ALL_FOR_SUMMARY = (K.ROW_RULES + K.PK_RULES + K.UNIQUE_RULES + K.FK_RULES + K.LEGACY_RULES
+                    + K.ORPHAN_RULES + _billing + _shift)
+_summary_rules, SUMMARY_SQL = register_summary("check_summary", _ALL_FOR_SUMMARY,
+                                               as_of=AS_OF_DATE)
+
+register("validation_verdict", f"""
+select errors, warnings, passed,
+ case when errors > 0 then 'FAILED' when warnings > 0 then 'PASSED WITH WARNINGS' else 'PASSED' end as verdict
+from (select count(*) filter (where violations > 0 and severity = 'error') as errors,
+             count(*) filter (where violations > 0 and severity = 'warning') as warnings,
+             count(*) filter (where not violations > 0) as passed
+      from ({SUMMARY_SQL}) s) v
+""")(lambda lg: C.verdict(C.summary(lg, _summary_rules, as_of=AS_OF_DATE)))
+
+# -- backup-validation checks -----------------------------------------------------
+register("orphan_transaction_categories", """
+select count(*) as orphaned_count from t_transaction_categories tc
+left join t_transaction t on tc.transaction_id = t.transaction_id where t.transaction_id is null
+""")(lambda lg: I.orphan_count(lg, "t_transaction_categories"))
+register("orphan_receipt_images", """
+select count(*) as orphaned_count from t_receipt_image r
+left join t_transaction t on r.transaction_id = t.transaction_id where t.transaction_id is null
+""")(lambda lg: I.orphan_count(lg, "t_receipt_image"))
+
+_IR = """
+select 't_transaction_categories' as table_name, 'orphaned_records' as issue_type, count(*) as issue_count,
+ 'Transaction categories without corresponding transactions' as description
+from t_transaction_categories tc left join t_transaction t on tc.transaction_id = t.transaction_id
+where t.transaction_id is null having count(*) > 0
+union all
+select 't_receipt_image', 'orphaned_records', count(*), 'Receipt images without corresponding transactions'
+from t_receipt_image ri left join t_transaction t on ri.transaction_id = t.transaction_id
+where t.transaction_id is null having count(*) > 0
+"""
+register("integrity_report", _IR)(lambda lg: I.integrity_report(lg))
+
+_IV = f"""
+select issue_type, issue_count, last_checked from (
+select 'Orphaned Transaction Categories' as issue_type, count(*) as issue_count,
+ timestamp '{P["as_of"]}' as last_checked
+from t_transaction_categories tc left join t_transaction t on tc.transaction_id = t.transaction_id
+where t.transaction_id is null
+union all
+select 'Orphaned Receipt Images', count(*), timestamp '{P["as_of"]}'
+from t_receipt_image ri left join t_transaction t on ri.transaction_id = t.transaction_id
+where t.transaction_id is null) v
+"""
+register("integrity_view", _IV)(lambda lg: I.integrity_view(lg, as_of=P["as_of"]))
+register("integrity_view_issues", _IV + " where issue_count > 0")(
+    lambda lg: I.integrity_view(lg, as_of=P["as_of"]).where(F.col("issue_count") > 0))
+
+_RC = "\nunion all\n".join(
+    f"select '{label}' as table_name, count(*) as row_count from {t}"
+    for label, t in I.ROW_COUNT_TABLES) + "\norder by table_name"
+register("row_count_summary", _RC)(lambda lg: I.row_count_summary(lg))
+register("transaction_date_range", """
+select min(transaction_date) as earliest_date, max(transaction_date) as latest_date, count(*) as total_transactions
+from t_transaction
+""")(lambda lg: I.transaction_date_range(lg))
+register("validation_record_count", """
+select count(*) as validation_count, count(*) > 0 as has_validation_data from t_validation_amount
+""")(lambda lg: I.validation_record_count(lg))

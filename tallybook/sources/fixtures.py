@@ -69,6 +69,24 @@ class Ledger:
             _money("c_acctbal").alias("cleared"),
             _owner("c_nationkey").alias("owner"))
 
+    @cached_property
+    def t_account_billing(self) -> DataFrame:
+        """Accounts with billing settings (the columns the backup job adds),
+        some of them outside their declared ranges."""
+        k = F.col("account_id")
+
+        def short(c):
+            return c.cast("short")
+        return self.t_account.select(
+            "*",
+            F.when(k % 4 != 0, short(k % 35)).alias("billing_statement_close_day"),
+            F.when(k % 3 == 0, short(k % 70)).alias("billing_grace_period_days"),
+            F.when(k % 5 == 0, short(k % 33)).alias("billing_due_day_same_month"),
+            F.when(k % 7 == 0, short(k % 31 + 1)).alias("billing_due_day_next_month"),
+            F.when(k % 4 == 0, "back").when(k % 4 == 1, "forward")
+            .when(k % 4 == 2, "back_sat_only").otherwise("sideways")
+            .alias("billing_cycle_weekend_shift"))
+
     @cached_property
     def t_transaction(self) -> DataFrame:
         o = self.source("orders")
@@ -271,3 +289,39 @@ LEDGER_TABLES = ("t_account", "t_transaction", "t_description", "t_category",
                  "t_validation_amount", "t_pending_transaction", "t_medical_provider",
                  "t_family_member", "t_medical_expense", "t_parameter", "t_token_blacklist",
                  "t_user", "t_role")
+
+# Column lists of the derived tables (kept in step with the derivations by a test).
+FIXTURE_COLUMNS: dict[str, list[str]] = {
+    "t_account": ["account_id", "account_name_owner", "account_type", "active_status", "cleared",
+                  "owner"],
+    "t_account_billing": ["account_id", "account_name_owner", "account_type", "active_status",
+                          "cleared", "owner", "billing_statement_close_day",
+                          "billing_grace_period_days", "billing_due_day_same_month",
+                          "billing_due_day_next_month", "billing_cycle_weekend_shift"],
+    "t_transaction": ["transaction_id", "account_id", "account_type", "account_name_owner",
+                      "owner", "transaction_type", "guid", "transaction_date", "description",
+                      "category", "amount", "transaction_state", "reoccurring_type",
+                      "active_status", "notes", "receipt_image_id"],
+    "t_description": ["description_id", "description_name", "active_status"],
+    "t_category": ["category_id", "category_name", "active_status"],
+    "t_transaction_categories": ["category_id", "transaction_id"],
+    "t_receipt_image": ["receipt_image_id", "transaction_id", "image", "image_format_type"],
+    "t_payment": ["payment_id", "account_name_owner", "destination_account", "source_account",
+                  "transaction_date", "amount", "guid_source", "guid_destination", "owner"],
+    "t_transfer": ["transfer_id", "source_account", "destination_account", "transaction_date",
+                   "amount", "guid_source", "guid_destination", "active_status"],
+    "t_validation_amount": ["validation_id", "account_id", "validation_date",
+                            "transaction_state", "amount", "active_status"],
+    "t_pending_transaction": ["pending_transaction_id", "account_name_owner",
+                              "transaction_date", "description", "amount", "review_status"],
+    "t_medical_provider": ["provider_id", "provider_name", "provider_type", "npi", "zip_code",
+                           "phone", "network_status"],
+    "t_family_member": ["family_member_id", "owner", "member_name", "relationship",
+                        "ssn_last_four"],
+    "t_medical_expense": ["transaction_id", "provider_id", "service_date", "billed_amount",
+                          "insurance_discount", "insurance_paid", "patient_responsibility"],
+    "t_parameter": ["parameter_id", "parameter_name", "parameter_value", "owner"],
+    "t_token_blacklist": ["token_blacklist_id", "token_hash", "expires_at"],
+    "t_user": ["user_id", "username", "active_status"],
+    "t_role": ["role_id", "role", "active_status"],
+}
