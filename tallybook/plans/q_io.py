@@ -1 +1,120 @@
-"""Registered queries."""
+"""Registered sources, sinks and load jobs (section 2.1)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources import io as IO
+from ..sources.fixtures import FIXTURE_COLUMNS
+from .registry import register
+
+# Tables carried by the migration job, in dependency order (fixture subset).
+MIGRATED = ("t_description", "t_account", "t_category", "t_validation_amount", "t_parameter",
+            "t_transaction", "t_pending_transaction", "t_transaction_categories", "t_payment",
+            "t_transfer", "t_receipt_image")
+
+
+def _round_trip(lg, name):
+    df = lg.table(name)
+    path = IO.staging_dir(lg.spark, f"roundtrip-{name}")
+    IO.export_csv(df, path, order_by=[df.columns[0]])
+    return IO.import_csv(lg.spark, path, df.schema)
+
+
+register("csv_round_trip", "select * from t_transaction")(
+    lambda lg: _round_trip(lg, "t_transaction"))
+register("csv_round_trip_receipts", "select * from t_receipt_image")(
+    lambda lg: _round_trip(lg, "t_receipt_image"))
+register("csv_round_trip_family", "select * from t_family_member")(
+    lambda lg: _round_trip(lg, "t_family_member"))
+
+
+def _migrate(lg):
+    target = IO.staging_dir(lg.spark, "target")
+    return IO.migrate_tables(lg.spark, lg, MIGRATED, target)
+
+
+register("migrate_tables", "\nunion all\n".join(
+    f"select {i} as step, '{t}' as table_name, count(*) as source_rows, count(*) as extract_rows, "
+    f"count(*) as loaded_rows, 'ok' as status from {t}" for i, t in enumerate(MIGRATED, 1)))(
+    _migrate)
+
+
+def _extract(lg):
+    df = lg.t_account
+    path = IO.staging_dir(lg.spark, "extract")
+    IO.export_csv(df, path, order_by=["account_id"])
+    chk = IO.check_extract(lg.spark, path, df.schema, df.count())
+    return lg.spark.createDataFrame([("t_account", chk["rows"], chk["status"])],
+                                    "table_name string, extract_rows long, status string")
+
+
+register("check_extract", """
+select 't_account' as table_name, count(*) as extract_rows, 'ok' as status from t_account""")(_extract)
+
+
+def _load_mode(lg):
+    path = IO.staging_dir(lg.spark, "loadmode")
+    IO.load_mode(lg.t_role, path, truncate_first=True)
+    IO.load_mode(lg.t_role, path, truncate_first=False)
+    return lg.spark.read.parquet(path)
+
+
+register("load_mode_append", "select * from t_role union all select * from t_role")(_load_mode)
+
+
+def _load_typed(lg):
+    path = IO.staging_dir(lg.spark, "typed")
+    IO.write_table(lg.t_transaction, path, partition_by=["owner"],
+                   sort_within=["account_name_owner", "active_status", "transaction_date"])
+    df = lg.t_transaction
+    return IO.load_table(lg.spark, "t_transaction", path, schema=df.schema).select(*df.columns)
+
+
+register("load_table", "select * from t_transaction")(_load_typed)
+
+register("verify_core_nonempty", "\nunion all\n".join(
+    [f"select '{t}' as table_name, count(*) as row_count, true as required, "
+     f"case when count(*) = 0 then 'empty' else 'ok' end as status from {t}"
+     for t in ("t_transaction", "t_account")]
+    + [f"select '{t}', count(*), false, 'ok' from {t}"
+       for t in ("t_medical_provider", "t_family_member", "t_medical_expense",
+                 "t_token_blacklist")]))(
+    lambda lg: IO.verify_core_nonempty(
+        lg, ["t_transaction", "t_account"],
+        ["t_medical_provider", "t_family_member", "t_medical_expense", "t_token_blacklist"]))
+
+
+def _export_optional(lg):
+    path = IO.staging_dir(lg.spark, "optional")
+    n = IO.export_optional(lg.spark, {}, "t_token_blacklist", path)
+    back = IO.import_csv(lg.spark, path, IO._csv_schema(lg.t_token_blacklist.schema))
+    return back.agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+        "exported_rows", F.lit(n).cast("long"))
+
+
+register("export_optional_missing", """
+select count(*) as row_count, cast(0 as bigint) as exported_rows from t_token_blacklist where false""")(
+    _export_optional)
+
+# The provider rows the schema seeds on creation.
+SEED_PROVIDERS = [
+    {"provider_name": "unknown_provider", "provider_type": "general", "network_status": "unknown"},
+    {"provider_name": "pharmacy_generic", "provider_type": "pharmacy", "network_status": "unknown"},
+    {"provider_name": "urgent_care_generic", "provider_type": "urgent_care",
+     "network_status": "unknown"},
+    {"provider_name": "hospital_generic", "provider_type": "hospital", "network_status": "unknown"},
+    {"provider_name": "laboratory_generic", "provider_type": "laboratory",
+     "network_status": "unknown"},
+]
+
+register("seed_rows", """
+select * from t_medical_provider union all
+select m.top + v.ord as provider_id, v.provider_name, v.provider_type, null, null, null, v.network_status
+from (values (1, 'unknown_provider', 'general', 'unknown'), (2, 'pharmacy_generic', 'pharmacy', 'unknown'),
+ (3, 'urgent_care_generic', 'urgent_care', 'unknown'), (4, 'hospital_generic', 'hospital', 'unknown'),
+ (5, 'laboratory_generic', 'laboratory', 'unknown')) v(ord, provider_name, provider_type, network_status),
+ (select coalesce(max(provider_id), 0) as top from t_medical_provider) m""")(
+    lambda lg: IO.seed_rows(lg.t_medical_provider, SEED_PROVIDERS, id_col="provider_id"))
+
+_ = FIXTURE_COLUMNS
