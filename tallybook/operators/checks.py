@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from .relational import union_tree
 
 ROW_KINDS = ("not_null", "domain", "lowercase", "not_empty", "regex", "min_length",
              "max_length", "max_bytes", "range", "exclusive", "non_negative",
@@ -135,6 +136,70 @@ def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
                                                         F.col("_tb_n").cast("string")))
 
 
+def _key_sets_agg(df: DataFrame, key_sets):
+    """GROUPING SETS over several key column sets of ONE table: one scan and
+    one shuffle (map-side combined) serve every uniqueness rule and every
+    outgoing reference of the table.  Returns the aggregate ``g`` (key
+    columns, ``_tb_n`` rows, ``_tb_gid``) and a function giving the condition
+    that selects one key set's groups with no NULL key column."""
+    sets: list[tuple[str, ...]] = []
+    for ks in key_sets:
+        if tuple(ks) not in sets:
+            sets.append(tuple(ks))
+    allcols = list(dict.fromkeys(c for ks in sets for c in ks))
+    width = len(allcols)
+
+    def gid(ks):  # bit set for every column NOT grouped in this set
+        return sum(1 << (width - 1 - i) for i, c in enumerate(allcols) if c not in ks)
+
+    g = (df.groupingSets([list(ks) for ks in sets], *allcols)
+         .agg(F.count(F.lit(1)).alias("_tb_n"), F.grouping_id().alias("_tb_gid")))
+
+    def select(ks) -> Column:
+        return ((F.col("_tb_gid") == gid(tuple(ks)))
+                & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ks]))
+    return g, select
+
+
+def _match_key(cols) -> Column:
+    """Injective string form of a key tuple (JSON array of the values), so
+    references of different key types can share one join."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
+
+
+def _tag(g: DataFrame, rules, select, key_of) -> DataFrame:
+    """One projection over the key-set aggregate: each group is tagged with
+    the rules whose key set it belongs to -> ``[rule, key, _tb_n]``.  (One
+    pass; separate per-rule filters would each be pushed below the aggregate
+    and repeat it.)"""
+    tagged = F.array(*[F.when(select(r.columns), F.struct(F.lit(r.name).alias("rule"),
+                                                          key_of(r.columns).alias("key")))
+                       for r in rules])
+    return (g.select(F.explode(F.filter(tagged, lambda x: x.isNotNull())).alias("_tb_t"),
+                     "_tb_n")
+            .select(F.col("_tb_t.rule").alias("rule"), F.col("_tb_t.key").alias("key"), "_tb_n"))
+
+
+def unique_groups(df: DataFrame, rules) -> DataFrame:
+    """Duplicated keys of several uniqueness rules of one table:
+    ``[rule, key, _tb_n]`` with ``key`` the comma-joined key values."""
+    g, select = _key_sets_agg(df, [r.columns for r in rules])
+    return _tag(g.where(F.col("_tb_n") > 1), rules, select, lambda cols: _key(g, cols))
+
+
+def orphan_keys(g: DataFrame, select, rules, tables) -> DataFrame:
+    """Child key groups with no parent row, for several references of one
+    child table at once: ``[rule, key, _tb_n]`` anti-joined on (rule, key)
+    with the union of the parents' key columns -- one shuffle for all of
+    them, on pre-aggregated keys."""
+    child = _tag(g, rules, select, _match_key)
+    parents = union_tree([
+        _table(tables, r.ref_table).select(F.lit(r.name).alias("rule"),
+                                           _match_key(r.ref_columns).alias("key"))
+        for r in rules])
+    return child.join(parents, ["rule", "key"], "left_anti")
+
+
 def fk_orphans(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
     """Child rows whose reference has no parent row (MATCH SIMPLE: a NULL in
     any referencing column passes).  An anti join on the key columns."""
@@ -145,6 +210,19 @@ def fk_orphans(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
     return child.where(nn).join(p, cond, "left_anti")
 
 
+def fk_orphan_count(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
+    """Number of orphan child rows, pre-aggregated: the child is first
+    reduced to (key, rows) with map-side combining, so a hot key costs one
+    row per map task and the anti join shuffles distinct keys only."""
+    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
+    keys = child.where(nn).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_tb_rows"))
+    p = parent.select(*[F.col(pc).alias(f"_tb_p{i}") for i, pc in enumerate(rule.ref_columns)])
+    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_p{i}")
+                                       for i, c in enumerate(rule.columns)])
+    return (keys.join(p, cond, "left_anti")
+            .agg(F.coalesce(F.sum("_tb_rows"), F.lit(0)).alias("violations")))
+
+
 def fk_violations(child: DataFrame, parent: DataFrame, rule: Rule, key_cols) -> DataFrame:
     orphans = fk_orphans(child, parent, rule)
     return _shape(orphans, rule, _key(orphans, key_cols), _detail(rule.columns))
@@ -185,13 +263,14 @@ def violations(tables, rules, key_cols: dict[str, tuple[str, ...]], as_of=None)
     """
     parts = []
     row_rules: dict[str, list[Rule]] = {}
+    uniq: dict[str, list[Rule]] = {}
     for r in rules:
         df = _table(tables, r.table)
         if not r.applies_to(df):
             continue
         keys = key_cols.get(r.table, ())
         if r.kind == "unique":
-            parts.append(unique_violations(df, r))
+            uniq.setdefault(r.table, []).append(r)
         elif r.kind == "foreign_key":
             parent = _table(tables, r.ref_table)
             if all(c in parent.columns for c in r.ref_columns):
@@ -201,46 +280,63 @@ def violations(tables, rules, key_cols: dict[str, tuple[str, ...]], as_of=None)
     for tname, rs in row_rules.items():
         parts.append(fused_row_violations(_table(tables, tname), tname, rs,
                                           key_cols.get(tname, ()), as_of))
+    for tname, rs in uniq.items():
+        parts.append(unique_groups(_table(tables, tname), rs).select(
+            "rule", F.lit(tname).alias("table"), "key",
+            F.concat(F.lit("count="), F.col("_tb_n").cast("string")).alias("detail")))
     if not parts:
         raise ValueError("no rule applies to the given tables")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_tree(parts)
 
 
 def summary(tables, rules, as_of=None) -> DataFrame:
     """``[rule, table, severity, violations]`` for every applicable rule.
 
-    Row-level rules are grouped by table and evaluated in one pass per table
-    (``count(when(violated))`` per rule, then unpivoted); set-level rules run
-    one aggregate / anti join each and are counted.
+    Per table: ONE scan evaluates every row-level rule (conditional counts,
+    unpivoted); ONE grouping-sets aggregation serves every uniqueness rule
+    and every outgoing reference; each reference then anti-joins its
+    pre-aggregated keys with the parent's key columns.
     """
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Rule]] = {}
+    row: dict[str, list[Rule]] = {}
+    keyed: dict[str, list[Rule]] = {}
     for r in rules:
         df = _table(tables, r.table)
         if not r.applies_to(df):
             continue
-        if r.kind in SET_KINDS:
-            if r.kind == "unique":
-                n = unique_violations(df, r)
-            else:
-                parent = _table(tables, r.ref_table)
-                if not all(c in parent.columns for c in r.ref_columns):
-                    continue
-                n = fk_orphans(df, parent, r)
-            parts.append(n.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(r.name).alias("rule"), F.lit(r.table).alias("table"),
-                F.lit(r.severity).alias("severity"), "violations"))
-        else:
-            by_table.setdefault(r.table, []).append(r)
-    for tname, rs in by_table.items():
+        if r.kind == "foreign_key":
+            parent = _table(tables, r.ref_table)
+            if not all(c in parent.columns for c in r.ref_columns):
+                continue
+        (keyed if r.kind in SET_KINDS else row).setdefault(r.table, []).append(r)
+
+    def shape(counts: DataFrame, tname: str, rs: list[Rule], prefix: str) -> DataFrame:
+        stacked = ", ".join(f"'{r.name}', '{r.severity}', {prefix}{i}" for i, r in enumerate(rs))
+        return counts.selectExpr(
+            f"stack({len(rs)}, {stacked}) as (rule, severity, violations)").select(
+            "rule", F.lit(tname).alias("table"), "severity", "violations")
+
+    parts: list[DataFrame] = []
+    for tname, rs in row.items():
         df = _table(tables, tname)
         counts = df.agg(*[F.count(F.when(violated(r, as_of), 1)).alias(f"c{i}")
                           for i, r in enumerate(rs)])
-        stacked = ", ".join(f"'{r.name}', '{r.severity}', c{i}" for i, r in enumerate(rs))
-        parts.append(counts.selectExpr(
-            f"stack({len(rs)}, {stacked}) as (rule, severity, violations)").select(
-            "rule", F.lit(tname).alias("table"), "severity", "violations"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(shape(counts, tname, rs, "c"))
+    for tname, rs in keyed.items():
+        g, select = _key_sets_agg(_table(tables, tname), [r.columns for r in rs])
+        uq = [r for r in rs if r.kind == "unique"]
+        if uq:
+            dup = _tag(g.where(F.col("_tb_n") > 1), uq, select, _match_key)
+            counts = dup.agg(*[F.count(F.when(F.col("rule") == r.name, 1)).alias(f"u{i}")
+                               for i, r in enumerate(uq)])
+            parts.append(shape(counts, tname, uq, "u"))
+        fk = [r for r in rs if r.kind == "foreign_key"]
+        if fk:
+            orphans = orphan_keys(g, select, fk, tables)
+            counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == r.name,
+                                                           F.col("_tb_n"))), F.lit(0))
+                                   .alias(f"f{i}") for i, r in enumerate(fk)])
+            parts.append(shape(counts, tname, fk, "f"))
+    return union_tree(parts)
 
 
 def verdict(summary_df: DataFrame) -> DataFrame:

@@ -20,13 +20,21 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def sequential_ids(df: DataFrame, order_by: list[str | Column], id_col: str,
-                   start: int | Column = 1, first: bool = True) -> DataFrame:
-    """Add ``id_col`` = start, start+1, ... in ``order_by`` order (ties: arbitrary
-    but fixed).  ``start`` may be a literal or a 1-row scalar column expression
-    already present on ``df`` is not required: it is evaluated per row."""
-    ensure_checkpoint_dir(df.sparkSession)
+                   start: int | Column = 1, first: bool = True,
+                   unique_order: bool = False) -> DataFrame:
+    """Add ``id_col`` = start, start+1, ... in ``order_by`` order.
+
+    ``start`` is a literal or a column (e.g. a broadcast 1-row maximum).
+    Ties in ``order_by`` are numbered in an arbitrary order, so the sorted
+    frame is checkpointed to keep that order fixed under re-execution.  When
+    the caller guarantees ``order_by`` is unique (``unique_order``), the
+    numbering is a pure function of the data and the checkpoint is skipped:
+    a recomputed partition sorts to the same rows in the same order.
+    """
     ordered = df.orderBy(*order_by).withColumn("_tb_mid", F.monotonically_increasing_id())
-    ordered = ordered.checkpoint(eager=True)
+    if not unique_order:
+        ensure_checkpoint_dir(df.sparkSession)
+        ordered = ordered.checkpoint(eager=True)
     pid = F.shiftright(F.col("_tb_mid"), 33)
     per_part = ordered.groupBy(pid.alias("_tb_pid")).agg(F.count(F.lit(1)).alias("_tb_n"))
     # one row per partition: a window over it is bounded by the partition count

@@ -111,9 +111,26 @@ def sort_by(df: DataFrame, keys: list[str], ascending: bool | list[bool] = True)
     return df.orderBy(*keys, ascending=ascending)
 
 
+def union_tree(dfs: list[DataFrame], by_name: bool = True) -> DataFrame:
+    """UNION ALL of many frames as a balanced tree: each union re-analyses
+    its inputs, so a left-deep fold costs O(n^2) analysis, a tree O(n log n)."""
+    if not dfs:
+        raise ValueError("nothing to union")
+    level = list(dfs)
+    while len(level) > 1:
+        nxt = []
+        for i in range(0, len(level) - 1, 2):
+            a, b = level[i], level[i + 1]
+            nxt.append(a.unionByName(b) if by_name else a.union(b))
+        if len(level) % 2:
+            nxt.append(level[-1])
+        level = nxt
+    return level[0]
+
+
 def union_all(dfs: list[DataFrame], labels: list[str] | None = None,
               label_col: str = "label") -> DataFrame:
     """UNION ALL by column name (no dedup), optionally tagging each branch."""
     if labels is not None:
         dfs = [d.select(F.lit(lbl).alias(label_col), *d.columns) for d, lbl in zip(dfs, labels)]
-    return reduce(lambda a, b: a.unionByName(b), dfs)
+    return union_tree(dfs)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..operators.relational import union_tree
 from ..operators import joins as J
 
 
@@ -47,7 +48,7 @@ def integrity_report(tables) -> DataFrame:
              .select(F.lit(child).alias("table_name"), F.lit(issue).alias("issue_type"),
                      "issue_count", F.lit(desc).alias("description"))
              for child, issue, desc, _ in ISSUES]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_tree(parts)
 
 
 def integrity_view(tables, as_of=None) -> DataFrame:
@@ -56,7 +57,7 @@ def integrity_view(tables, as_of=None) -> DataFrame:
              .select(F.lit(label).alias("issue_type"), "issue_count",
                      X.as_of_or_now(as_of).alias("last_checked"))
              for child, _, _, label in ISSUES]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_tree(parts)
 
 
 # Labels of the row-count summary of a restored backup.
@@ -73,7 +74,7 @@ ROW_COUNT_TABLES = (
 def row_count_summary(tables, labels=ROW_COUNT_TABLES) -> DataFrame:
     parts = [_t(tables, t).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(label).alias("table_name"), "row_count") for label, t in labels]
-    return reduce(lambda a, b: a.unionByName(b), parts).orderBy("table_name")
+    return union_tree(parts).orderBy("table_name")
 
 
 def transaction_date_range(tables) -> DataFrame:

@@ -40,7 +40,7 @@ def register(name: str, sql: str | None):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load_all()
-    return {name: (lambda spark, sf_dir, _fn=fn: _fn(Ledger(spark, sf_dir)))
+    return {name: (lambda spark, sf_dir, _fn=fn: _fn(Ledger.of(spark, sf_dir)))
             for name, (fn, _) in REGISTRY.items()}
 
 

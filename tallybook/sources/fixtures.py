@@ -44,7 +44,23 @@ def _account_name(name_col: str) -> F.Column:
 
 
 class Ledger:
-    """Lazy accessor for the derived ledger tables of one data directory."""
+    """Lazy accessor for the derived ledger tables of one data directory.
+
+    ``Ledger.of(spark, dir)`` returns one shared instance per session and
+    directory, so the derived dimensions (whose surrogate keys are
+    checkpointed to the shared checkpoint folder) are computed once per
+    session rather than once per query.
+    """
+
+    _shared: dict[tuple[int, str], "Ledger"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Ledger":
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        lg = cls._shared.get(key)
+        if lg is None:
+            lg = cls._shared[key] = cls(spark, sf_dir)
+        return lg
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

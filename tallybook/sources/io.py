@@ -173,10 +173,8 @@ def verify_core_nonempty(tables, required: Iterable[str],
             F.lit(name).alias("table_name"), "row_count", F.lit(req).alias("required"),
             F.when(F.lit(req) & (F.col("row_count") == 0), "empty").otherwise("ok")
             .alias("status")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from ..operators.relational import union_tree
+    return union_tree(parts)
 
 
 def seed_rows(df: DataFrame, rows: list[dict], id_col: str | None = None) -> DataFrame:
