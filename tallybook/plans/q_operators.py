@@ -287,3 +287,28 @@ from t_validation_amount""")(
     lambda lg: lg.t_validation_amount.select(
         "validation_id", X.to_local_time("validation_date", "America/Chicago")
         .cast("timestamp_ntz").alias("local_time")))
+
+register("group_by_alias", """
+select cast(date_trunc('week', transaction_date) as date) as weekly, count(*) as cnt from t_transaction
+where transaction_state = 'cleared' group by weekly""")(
+    lambda lg: O.agg_group(lg.t_transaction.where(F.col("transaction_state") == "cleared"),
+                           [X.week_start("transaction_date").alias("weekly")],
+                           [F.count(F.lit(1)).alias("cnt")]))
+register("sort_asc", """
+select account_name_owner, cast(sum(amount) as decimal(38,2)) as totals from t_transaction
+group by account_name_owner order by account_name_owner""")(
+    lambda lg: O.sort_by(O.agg_group(lg.t_transaction, ["account_name_owner"],
+                                     [X.money_sum("amount").alias("totals")]),
+                         ["account_name_owner"]))
+
+
+def _uuid_sql(col: str) -> str:
+    h = f"sha256(concat_ws('|', 'txn', cast({col} as varchar)))"
+    return (f"concat_ws('-', substr({h},1,8), substr({h},9,4), substr({h},13,4), "
+            f"substr({h},17,4), substr({h},21,12))")
+
+
+register("scalar_uuid", f"""
+select transaction_id, {_uuid_sql('transaction_id')} as new_guid from t_transaction""")(
+    lambda lg: lg.t_transaction.select(
+        "transaction_id", X.guid_from(F.lit("txn"), F.col("transaction_id")).alias("new_guid")))
