@@ -162,9 +162,17 @@ def _key_sets_agg(df: DataFrame, key_sets):
 
 
 def _match_key(cols) -> Column:
-    """Injective string form of a key tuple (JSON array of the values), so
-    references of different key types can share one join."""
-    return F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
+    """Injective string form of a key tuple, so references with different key
+    types can share one join: a single column is its string value; several
+    are length-prefixed (``len:value`` per column), which no two distinct
+    tuples share."""
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("string")
+    parts = []
+    for c in cols:
+        v = F.col(c).cast("string")
+        parts += [F.length(v).cast("string"), F.lit(":"), v]
+    return F.concat(*parts)
 
 
 def _tag(g: DataFrame, rules, select, key_of) -> DataFrame:

@@ -31,12 +31,20 @@ def left_join_orphans(child: DataFrame, parent: DataFrame, child_key: str,
 
 def in_subquery_flag(df: DataFrame, key: str, sub: DataFrame, sub_key: str,
                      flag: str) -> DataFrame:
-    """Add ``flag`` = ``key IN (SELECT sub_key FROM sub)`` for use inside an OR.
-
-    Uses an IN-subquery column, which Catalyst plans as an existence join
-    (semi join that keeps every left row and outputs the match flag).
+    """Add ``flag`` = ``key IN (SELECT sub_key FROM sub)`` for positive use
+    (inside an OR, or as an UPDATE condition): TRUE on a match, else FALSE
+    (where SQL would give NULL or FALSE, which a WHERE treats alike).
+
+    A left join against the DISTINCT subquery keys (map-side de-duplicated),
+    so every left row is kept exactly once; unlike an existence join it is
+    eligible for AQE skew splitting when one key holds many left rows, and
+    AQE still turns it into a broadcast join when the key side is small.
     """
-    return df.withColumn(flag, F.col(key).isin(sub.select(sub_key)))
+    keys = (sub.select(F.col(sub_key).alias("_tb_sq_key")).where(F.col("_tb_sq_key").isNotNull())
+            .distinct().withColumn("_tb_sq_hit", F.lit(True)))
+    return (df.join(keys, F.col(key) == F.col("_tb_sq_key"), "left")
+            .withColumn(flag, F.coalesce(F.col("_tb_sq_hit"), F.lit(False)))
+            .drop("_tb_sq_key", "_tb_sq_hit"))
 
 
 def not_in(outer: DataFrame, key: str, inner: DataFrame, inner_key: str) -> DataFrame:

@@ -186,8 +186,8 @@ def deactivate_rare_descriptions(desc: DataFrame, txn: DataFrame, threshold: int
     """Active descriptions used fewer than ``threshold`` times become inactive."""
     active = desc.where(F.col("active_status") == F.lit(True)).select(
         F.col("description_name").alias("description"))
-    rare = (txn.join(active, "description", "left_semi").groupBy("description")
-            .agg(F.count("description").alias("_tb_n")).where(F.col("_tb_n") < threshold)
+    rare = (txn.groupBy("description").agg(F.count("description").alias("_tb_n"))
+            .join(active, "description", "left_semi").where(F.col("_tb_n") < threshold)
             .select(F.col("description").alias("_tb_rare")))
     flagged = J.in_subquery_flag(desc, "description_name", rare, "_tb_rare", "_tb_hit")
     return _set(flagged, F.col("_tb_hit"), active_status=False).select(*desc.columns)
@@ -204,9 +204,10 @@ def remap_name_if_match(pay: DataFrame, acct: DataFrame, column: str) -> DataFra
     no account and the remapped one does (two existence tests)."""
     names = acct.select("account_name_owner")
     swapped = F.replace(F.col(column), F.lit("-"), F.lit("_"))
-    flagged = (pay.withColumn("_tb_swapped", swapped)
-               .withColumn("_tb_now", F.col(column).isin(names))
-               .withColumn("_tb_then", F.col("_tb_swapped").isin(names)))
+    flagged = J.in_subquery_flag(pay.withColumn("_tb_swapped", swapped), column, names,
+                                 "account_name_owner", "_tb_now")
+    flagged = J.in_subquery_flag(flagged, "_tb_swapped", names, "account_name_owner",
+                                 "_tb_then")
     return _set(flagged, ~F.col("_tb_now") & F.col("_tb_then"),
                 **{column: F.col("_tb_swapped")}).select(*pay.columns)
 

@@ -215,19 +215,38 @@ def _credit_active_accounts(tables, owner) -> DataFrame:
 
 
 def _needing_payment(tables, owner, with_outstanding: bool) -> DataFrame:
+    """Per account: SUM(amount) of cleared rows if the account is an active
+    credit account, plus (detail form) outstanding credit 'payment' rows of
+    any account -- ``A AND IN(..) OR B`` with AND binding tighter, as in the
+    original.  Kept only when the sum is > 0.
+
+    Transactions are pre-aggregated per account (two conditional sums,
+    combined map-side) BEFORE the account membership test, so the join sees
+    one row per account however skewed the accounts are.
+    """
     t = table(tables, "t_transaction", owner)
-    in_credit = J.in_subquery_flag(t, "account_name_owner", _credit_active_accounts(tables, owner),
-                                   "account_name_owner", "_in_credit")
-    cond = (F.col("transaction_state") == "cleared") & F.col("_in_credit")
+    cleared = F.col("transaction_state") == "cleared"
+    outstanding = ((F.col("transaction_state") == "outstanding")
+                   & (F.col("account_type") == "credit") & (F.col("description") == "payment"))
+    measures = [F.sum(F.when(cleared, F.col("amount"))).alias("_s_cleared")]
+    if with_outstanding:
+        measures.append(F.sum(F.when(outstanding, F.col("amount"))).alias("_s_out"))
+        t = t.where(cleared | outstanding)
+    else:
+        t = t.where(cleared)
+    per_acct = t.groupBy("account_name_owner").agg(*measures)
+    flagged = J.in_subquery_flag(per_acct, "account_name_owner",
+                                 _credit_active_accounts(tables, owner), "account_name_owner",
+                                 "_in_credit")
+    part1 = F.when(F.col("_in_credit"), F.col("_s_cleared"))
     if with_outstanding:
-        # AND binds tighter than OR: the outstanding-payment branch is not
-        # restricted to active credit accounts (kept as in the original).
-        cond = cond | ((F.col("transaction_state") == "outstanding")
-                       & (F.col("account_type") == "credit")
-                       & (F.col("description") == "payment"))
-    g = (in_credit.where(cond).groupBy("account_name_owner")
-         .agg(X.money_sum("amount").alias("totals")))
-    return g.where(F.col("totals") > 0)
+        part2 = F.col("_s_out")
+        total = F.when(part1.isNull() & part2.isNull(), F.lit(None)).otherwise(
+            F.coalesce(part1, F.lit(0)) + F.coalesce(part2, F.lit(0)))
+    else:
+        total = part1
+    out = flagged.select("account_name_owner", total.cast("decimal(38,2)").alias("totals"))
+    return out.where(F.col("totals") > 0)
 
 
 def accounts_needing_payment(tables, owner=None) -> DataFrame:
@@ -315,9 +334,11 @@ def rare_descriptions(tables, threshold: int = 11, owner=None) -> DataFrame:
     t = table(tables, "t_transaction", owner)
     d = table(tables, "t_description", owner).where(_active()).select(
         F.col("description_name").alias("description"))
-    used = t.join(d, "description", "left_semi")
-    return (used.groupBy("description").agg(F.count("description").alias("cnt"))
-            .where(F.col("cnt") < threshold).orderBy(F.col("cnt").desc(), "description"))
+    # count per description first (map-side combined), then the semi join
+    # sees one row per description
+    counts = t.groupBy("description").agg(F.count("description").alias("cnt"))
+    return (counts.join(d, "description", "left_semi").where(F.col("cnt") < threshold)
+            .orderBy(F.col("cnt").desc(), "description"))
 
 
 def account_ledger(tables, account: str, owner=None) -> DataFrame:
