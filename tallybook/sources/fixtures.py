@@ -11,12 +11,15 @@ computed until an action runs on a report built from them.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ids import sequential_ids
+from ..session import shared_path
 from .schemas import MONEY
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -43,6 +46,27 @@ def _account_name(name_col: str) -> F.Column:
     return F.lower(F.replace(F.col(name_col), F.lit("#"), F.lit("_")))
 
 
+# Layout of the stored fact tables: range-clustered and sorted on these
+# columns, so scans of one account / key range skip files and row groups.
+CLUSTER_BY = {
+    "t_transaction": ("account_name_owner", "transaction_date"),
+    "t_medical_expense": ("transaction_id",),
+    "t_transaction_categories": ("transaction_id",),
+    "t_transfer": ("transfer_id",),
+    "t_receipt_image": ("receipt_image_id",),
+}
+
+
+def stored(fn):
+    """Ledger table property: derived by ``fn``; when the ledger stores its
+    tables, written once as parquet to the shared folder and read back."""
+    @functools.wraps(fn)
+    def get(self):
+        df = fn(self)
+        return self._store(fn.__name__, df) if self.materialize else df
+    return cached_property(get)
+
+
 class Ledger:
     """Lazy accessor for the derived ledger tables of one data directory.
 
@@ -56,15 +80,33 @@ class Ledger:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Ledger":
+        """The session's stored ledger for ``sf_dir`` (tables written once)."""
         key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
         lg = cls._shared.get(key)
         if lg is None:
-            lg = cls._shared[key] = cls(spark, sf_dir)
+            lg = cls._shared[key] = cls(spark, sf_dir, materialize=True)
         return lg
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
+        self._base = None
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a derived table as parquet under the shared checkpoint folder
+        (clustered for the fact tables) and return the stored table: lineage
+        is cut, scans keep column pruning / pushdown and split into tasks."""
+        if self._base is None:
+            self._base = shared_path(self.spark, "tallybook-ledger", uuid.uuid4().hex[:12])
+        path = f"{self._base}/{name}"
+        keys = CLUSTER_BY.get(name)
+        out = df
+        if keys:
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        out.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -73,7 +115,7 @@ class Ledger:
         return getattr(self, name)
 
     # -- dimensions ---------------------------------------------------------
-    @cached_property
+    @stored
     def t_account(self) -> DataFrame:
         c = self.source("customer")
         return c.select(
@@ -85,7 +127,7 @@ class Ledger:
             _money("c_acctbal").alias("cleared"),
             _owner("c_nationkey").alias("owner"))
 
-    @cached_property
+    @stored
     def t_account_billing(self) -> DataFrame:
         """Accounts with billing settings (the columns the backup job adds),
         some of them outside their declared ranges."""
@@ -103,7 +145,7 @@ class Ledger:
             .when(k % 4 == 2, "back_sat_only").otherwise("sideways")
             .alias("billing_cycle_weekend_shift"))
 
-    @cached_property
+    @stored
     def t_transaction(self) -> DataFrame:
         o = self.source("orders")
         a = self.t_account.select("account_id", "account_type", "account_name_owner", "owner")
@@ -135,7 +177,7 @@ class Ledger:
             F.when(k % 11 == 0, "double  space   note").otherwise("").alias("notes"),
             F.when(k % 13 == 0, k).alias("receipt_image_id"))
 
-    @cached_property
+    @stored
     def t_description(self) -> DataFrame:
         names = (self.t_transaction.select(F.col("description").alias("description_name"))
                  .distinct())
@@ -143,13 +185,13 @@ class Ledger:
             "description_id", "description_name",
             (F.col("description_name") != "t-mobile.com").alias("active_status"))
 
-    @cached_property
+    @stored
     def t_category(self) -> DataFrame:
         names = self.t_transaction.select(F.col("category").alias("category_name")).distinct()
         return sequential_ids(names, ["category_name"], "category_id", start=0).select(
             "category_id", "category_name", F.lit(True).alias("active_status"))
 
-    @cached_property
+    @stored
     def t_transaction_categories(self) -> DataFrame:
         li = self.source("lineitem")
         shifted = (F.col("l_suppkey") % 7 == 0) & (F.col("l_partkey") % 31 == 0)
@@ -158,7 +200,7 @@ class Ledger:
             (F.col("l_orderkey") + F.when(shifted, F.lit(100000000)).otherwise(F.lit(0)))
             .alias("transaction_id")).distinct()
 
-    @cached_property
+    @stored
     def t_receipt_image(self) -> DataFrame:
         d = self.source("documents")
         k = F.col("doc_id")
@@ -170,7 +212,7 @@ class Ledger:
             F.when(k % 17 == 0, "gif").when(k % 3 == 0, "jpeg").when(k % 3 == 1, "png")
             .otherwise("undefined").alias("image_format_type"))
 
-    @cached_property
+    @stored
     def t_payment(self) -> DataFrame:
         t = self.t_transaction.where(F.col("transaction_id") % 9 == 0)
         k, name = F.col("transaction_id"), F.col("account_name_owner")
@@ -183,7 +225,7 @@ class Ledger:
             F.concat(F.lit("guid-"), (k * 2).cast("string")).alias("guid_destination"),
             "owner")
 
-    @cached_property
+    @stored
     def t_transfer(self) -> DataFrame:
         li = self.source("lineitem").where(F.col("l_linenumber") == 1)
         k = F.col("l_orderkey")
@@ -196,7 +238,7 @@ class Ledger:
             F.concat(F.lit("guid-"), (k * 2).cast("string")).alias("guid_destination"),
             (F.col("l_returnflag") != "A").alias("active_status"))
 
-    @cached_property
+    @stored
     def t_validation_amount(self) -> DataFrame:
         e = self.source("events").where(F.col("event_id") % 4 == 0)
         et = F.col("event_type")
@@ -207,7 +249,7 @@ class Ledger:
             .when(et == "error", "bogus").otherwise("outstanding").alias("transaction_state"),
             _money("value").alias("amount"), F.lit(True).alias("active_status"))
 
-    @cached_property
+    @stored
     def t_pending_transaction(self) -> DataFrame:
         e = self.source("events").where(F.col("event_id") % 4 == 1)
         k = F.col("event_id")
@@ -221,7 +263,7 @@ class Ledger:
             F.when(k % 3 == 0, "pending").when(k % 3 == 1, "approved").otherwise("rejected")
             .alias("review_status"))
 
-    @cached_property
+    @stored
     def t_medical_provider(self) -> DataFrame:
         s = self.source("supplier")
         k = F.col("s_suppkey")
@@ -241,7 +283,7 @@ class Ledger:
             F.when(F.col("s_acctbal") < 0, "out_of_network").otherwise("in_network")
             .alias("network_status"))
 
-    @cached_property
+    @stored
     def t_family_member(self) -> DataFrame:
         c = self.source("customer").where(F.col("c_custkey") % 3 == 0)
         k = F.col("c_custkey")
@@ -253,7 +295,7 @@ class Ledger:
             F.when(k % 4 == 0, F.lit(None).cast("string")).when(k % 4 == 1, "12a4")
             .otherwise(F.lpad((k % 10000).cast("string"), 4, "0")).alias("ssn_last_four"))
 
-    @cached_property
+    @stored
     def t_medical_expense(self) -> DataFrame:
         li = self.source("lineitem")
         billed = _money("l_extendedprice")
@@ -266,7 +308,7 @@ class Ledger:
             (billed * F.lit(0.90).cast("decimal(4,2)")).cast(MONEY).alias("insurance_paid"),
             (billed * rate("l_tax")).cast(MONEY).alias("patient_responsibility"))
 
-    @cached_property
+    @stored
     def t_parameter(self) -> DataFrame:
         n = self.source("nation")
         return n.select(
@@ -275,7 +317,7 @@ class Ledger:
             F.col("n_regionkey").cast("string").alias("parameter_value"),
             _owner("n_nationkey").alias("owner"))
 
-    @cached_property
+    @stored
     def t_token_blacklist(self) -> DataFrame:
         e = self.source("events")
         return e.select(
@@ -283,7 +325,7 @@ class Ledger:
             F.sha2(F.col("event_id").cast("string"), 256).alias("token_hash"),
             (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("expires_at"))
 
-    @cached_property
+    @stored
     def t_user(self) -> DataFrame:
         s = self.source("supplier")
         k = F.col("s_suppkey")
@@ -293,7 +335,7 @@ class Ledger:
             .alias("username"),
             (F.col("s_acctbal") >= 0).alias("active_status"))
 
-    @cached_property
+    @stored
     def t_role(self) -> DataFrame:
         r = self.source("region")
         return r.select(F.col("r_regionkey").cast("long").alias("role_id"),
