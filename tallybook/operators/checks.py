@@ -232,7 +232,24 @@ def fk_orphan_count(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFram
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, rule: Rule, key_cols) -> DataFrame:
-    orphans = fk_orphans(child, parent, rule)
+    """Offending child rows of one reference.
+
+    The child's key tuples are first reduced to distinct keys (map-side
+    combined, so a key holding a third of the rows costs one row per map
+    task), anti-joined with the parent keys, and the (usually small) set of
+    orphan keys is semi-joined back to the child rows -- AQE broadcasts it
+    when small, so the child rows are not shuffled on a hot key.
+    """
+    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
+    keys = child.where(nn).select(*[F.col(c).alias(f"_tb_k{i}")
+                                    for i, c in enumerate(rule.columns)]).distinct()
+    p = parent.select(*[F.col(pc).alias(f"_tb_p{i}") for i, pc in enumerate(rule.ref_columns)])
+    on = reduce(lambda a, b: a & b, [F.col(f"_tb_k{i}") == F.col(f"_tb_p{i}")
+                                     for i in range(len(rule.columns))])
+    orphan_keys = keys.join(p, on, "left_anti")
+    back = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_k{i}")
+                                       for i, c in enumerate(rule.columns)])
+    orphans = child.join(orphan_keys, back, "left_semi")
     return _shape(orphans, rule, _key(orphans, key_cols), _detail(rule.columns))
 
 
