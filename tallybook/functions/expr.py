@@ -50,8 +50,7 @@ def money_sum(c: ColumnOrName) -> Column:
 def fits_numeric(c: ColumnOrName, precision: int = 12, scale: int = 2) -> Column:
     """True when the value fits NUMERIC(precision, scale) (NULL stays NULL)."""
     return F.when(col(c).isNull(), F.lit(None).cast("boolean")).otherwise(
-        F.try_cast(col(c), f"decimal({precision},{scale})").isNotNull()
-        if hasattr(F, "try_cast") else col(c).try_cast(f"decimal({precision},{scale})").isNotNull())
+        col(c).try_cast(f"decimal({precision},{scale})").isNotNull())
 
 
 # -- dates ------------------------------------------------------------------
@@ -129,8 +128,8 @@ def hex_lower(c: ColumnOrName) -> Column:
 
 
 def byte_length(c: ColumnOrName) -> Column:
-    """``length(bytea)``: bytes."""
-    return F.octet_length(col(c))
+    """``length(bytea)``: bytes, as BIGINT (PostgreSQL integer widened)."""
+    return F.octet_length(col(c)).cast("long")
 
 
 def anchored_match(c: ColumnOrName, pattern: str) -> Column:

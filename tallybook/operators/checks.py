@@ -86,9 +86,7 @@ def ok_expr(rule: Rule, as_of=None) -> Column:
                  else F.to_date(X.as_of_or_now(as_of)))
         return c0 <= bound
     if k == "numeric_fits":
-        p, s = rule.values
-        return F.when(c0.isNull(), F.lit(None).cast("boolean")).otherwise(
-            c0.try_cast(f"decimal({p},{s})").isNotNull())
+        return X.fits_numeric(c0, *rule.values)
     raise ValueError(f"not a row-level rule kind: {k}")
 
 

@@ -218,7 +218,7 @@ from t_transaction""")(
         "transaction_id", F.lower("description").alias("lowered"),
         X.replace_once("notes", "  ", " ").alias("collapsed"),
         F.btrim(F.col("notes"), F.lit(" ")).alias("trimmed"),
-        F.length("description").alias("desc_len"),
+        F.length("description").cast("long").alias("desc_len"),
         F.left(F.col("guid"), F.lit(6)).alias("guid_prefix"),
         F.concat(F.col("description"), F.lit("/"), F.col("category")).alias("joined")))
 register("scalar_binary_functions", """
@@ -280,7 +280,7 @@ select token_blacklist_id, sha256(cast(token_blacklist_id as varchar)) as digest
  length(token_hash) as hash_len from t_token_blacklist""")(
     lambda lg: lg.t_token_blacklist.select(
         "token_blacklist_id", X.sha256_hex("token_blacklist_id").alias("digest"),
-        F.length("token_hash").alias("hash_len")))
+        F.length("token_hash").cast("long").alias("hash_len")))
 register("scalar_time_zone", """
 select validation_id, cast(timezone('America/Chicago', cast(validation_date as timestamptz)) as timestamp) as local_time
 from t_validation_amount""")(
