@@ -103,8 +103,9 @@ class Ledger:
         keys = CLUSTER_BY.get(name)
         out = df
         if keys:
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            # no explicit partition count: AQE sizes the range partitions
+            # (advisory partition size), so files stay large at any scale
+            out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         out.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
