@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,8 +90,13 @@ def ok_expr(rule: Rule, as_of=None) -> Column:
     raise ValueError(f"not a row-level rule kind: {k}")
 
 
+@lru_cache(maxsize=4096)
 def violated(rule: Rule, as_of=None) -> Column:
-    """TRUE exactly when the rule fails (NULL in a CHECK passes)."""
+    """TRUE exactly when the rule fails (NULL in a CHECK passes).
+
+    Memoised: a rule's expression is a pure function of the rule and is
+    reused by every check query that evaluates it (a Column is an unresolved
+    expression, not bound to any DataFrame)."""
     if rule.kind == "not_null":
         return ~ok_expr(rule)
     return F.coalesce(~ok_expr(rule, as_of), F.lit(False))
@@ -99,15 +104,25 @@ def violated(rule: Rule, as_of=None) -> Column:
 
 def _key(df: DataFrame, key_cols) -> Column:
     cols = [c for c in key_cols if c in df.columns] or list(df.columns[:1])
+    return _key_cols(tuple(cols))
+
+
+@lru_cache(maxsize=4096)
+def _key_cols(cols: tuple) -> Column:
     return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
-def _detail(columns) -> Column:
+@lru_cache(maxsize=4096)
+def _detail_cols(columns: tuple) -> Column:
     return F.concat_ws(", ", *[F.concat(F.lit(f"{c}="),
                                         F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
                                for c in columns])
 
 
+def _detail(columns) -> Column:
+    return _detail_cols(tuple(columns))
+
+
 def _shape(df: DataFrame, rule: Rule, key: Column, detail: Column) -> DataFrame:
     return df.select(F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table"),
                      key.alias("key"), detail.alias("detail"))
@@ -160,6 +175,11 @@ def _key_sets_agg(df: DataFrame, key_sets):
 
 
 def _match_key(cols) -> Column:
+    return _match_key_t(tuple(cols))
+
+
+@lru_cache(maxsize=4096)
+def _match_key_t(cols: tuple) -> Column:
     """Injective string form of a key tuple, so references with different key
     types can share one join: a single column is its string value; several
     are length-prefixed (``len:value`` per column), which no two distinct
@@ -181,9 +201,7 @@ def _tag(g: DataFrame, rules, select, key_of) -> DataFrame:
     tagged = F.array(*[F.when(select(r.columns), F.struct(F.lit(r.name).alias("rule"),
                                                           key_of(r.columns).alias("key")))
                        for r in rules])
-    return (g.select(F.explode(F.filter(tagged, lambda x: x.isNotNull())).alias("_tb_t"),
-                     "_tb_n")
-            .select(F.col("_tb_t.rule").alias("rule"), F.col("_tb_t.key").alias("key"), "_tb_n"))
+    return g.select(F.inline(F.filter(tagged, lambda x: x.isNotNull())), "_tb_n")
 
 
 def unique_groups(df: DataFrame, rules) -> DataFrame:
@@ -333,10 +351,10 @@ def summary(tables, rules, as_of=None) -> DataFrame:
         (keyed if r.kind in SET_KINDS else row).setdefault(r.table, []).append(r)
 
     def shape(counts: DataFrame, tname: str, rs: list[Rule], prefix: str) -> DataFrame:
+        # unpivot the per-rule counts: (rule, severity, violations) + table
         stacked = ", ".join(f"'{r.name}', '{r.severity}', {prefix}{i}" for i, r in enumerate(rs))
-        return counts.selectExpr(
-            f"stack({len(rs)}, {stacked}) as (rule, severity, violations)").select(
-            "rule", F.lit(tname).alias("table"), "severity", "violations")
+        return counts.selectExpr(f"stack({len(rs)}, {stacked}) as (rule, severity, violations)",
+                                 f"'{tname}' as table")
 
     parts: list[DataFrame] = []
     for tname, rs in row.items():
