@@ -101,6 +101,12 @@ def from_epoch(c: ColumnOrName) -> Column:
     return F.timestamp_seconds(col(c)).cast("timestamp_ntz")
 
 
+def parse_datetime(c: ColumnOrName, fmt: str) -> Column:
+    """``PARSEDATETIME(s, fmt)`` / ``to_timestamp(s, fmt)`` with a Java-style
+    pattern -> TIMESTAMP WITHOUT TIME ZONE."""
+    return F.to_timestamp_ntz(col(c), F.lit(fmt))
+
+
 def to_local_time(c: ColumnOrName, zone: str) -> Column:
     """Wall-clock time of a UTC timestamp in ``zone`` (``SET timezone``)."""
     return F.from_utc_timestamp(col(c).cast("timestamp"), zone)

@@ -312,3 +312,10 @@ register("scalar_uuid", f"""
 select transaction_id, {_uuid_sql('transaction_id')} as new_guid from t_transaction""")(
     lambda lg: lg.t_transaction.select(
         "transaction_id", X.guid_from(F.lit("txn"), F.col("transaction_id")).alias("new_guid")))
+register("scalar_parse_datetime", """
+select transaction_id, strptime(cast(transaction_date as varchar) || ' 12:30:00', '%Y-%m-%d %H:%M:%S') as parsed
+from t_transaction""")(
+    lambda lg: lg.t_transaction.select(
+        "transaction_id",
+        X.parse_datetime(F.concat(F.col("transaction_date").cast("string"), F.lit(" 12:30:00")),
+                         "yyyy-MM-dd HH:mm:ss").alias("parsed")))
