@@ -103,7 +103,11 @@ def check_extract(spark: SparkSession, path: str, schema: T.StructType,
                   expected_rows: int | None = None) -> dict:
     """Read an extract back: it must exist and have the expected row count."""
     try:
-        n = import_csv(spark, path, schema).count()
+        df = import_csv(spark, path, schema)
+        # touch every column: the CSV reader parses only the columns a query
+        # needs, and a bare count() would not validate any field
+        n = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.count(c).alias(f"_c{i}") for i, c in enumerate(df.columns)]).first()["n"]
     except Exception as e:  # noqa: BLE001 -- reported, not raised
         return {"rows": None, "status": f"unreadable: {type(e).__name__}"}
     if expected_rows is not None and n != expected_rows:
