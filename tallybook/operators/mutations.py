@@ -277,8 +277,8 @@ def seed_self_members(family: DataFrame, acct: DataFrame) -> DataFrame:
 
 def insert_rows_unique(df: DataFrame, new_rows: DataFrame, key: list[str],
                        id_col: str) -> DataFrame:
-    """INSERT that skips rows whose unique key already exists (or repeats in
-    the batch: the first in key order wins); keys after the current max."""
+    """INSERT that skips rows whose unique key already exists; a key repeated
+    within the batch is inserted once.  New keys follow the current max."""
     fresh = new_rows.join(df.select(*key), key, "left_anti").dropDuplicates(key)
     keyed = next_ids(fresh, df, id_col, order_by=key)
     return df.unionByName(keyed, allowMissingColumns=True)

@@ -301,11 +301,10 @@ register("set_not_null", "select * from t_transaction")(
 register("drop_not_null", "select * from t_medical_expense")(
     lambda lg: V.drop_not_null(lg.t_medical_expense, "transaction_id"))
 register("widen_decimal", """
-select transaction_id, cast(cast(amount as decimal(8,2)) as decimal(12,2)) as amount from t_transaction
-where abs(amount) < 1000000""")(
+select transaction_id, cast(try_cast(amount as decimal(8,2)) as decimal(12,2)) as amount from t_transaction""")(
     lambda lg: V.widen_decimal(
-        lg.t_transaction.where(F.abs("amount") < 1000000).select(
-            "transaction_id", F.col("amount").cast(S.MONEY_NARROW).alias("amount")),
+        lg.t_transaction.select("transaction_id",
+                                F.col("amount").try_cast(S.MONEY_NARROW).alias("amount")),
         "amount", S.MONEY))
 register("extend_domain", """
 select 'ck_account_type' as rule, 't_account' as "table", cast(account_id as varchar) as key,
