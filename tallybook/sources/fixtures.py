@@ -79,7 +79,7 @@ class Ledger:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Ledger":
         """The session's stored ledger for ``sf_dir`` (tables written once)."""
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        key = (id(getattr(spark, "_jsparkSession", None) or spark), sf_dir.rstrip("/"))
         lg = cls._shared.get(key)
         if lg is None:
             lg = cls._shared[key] = cls(spark, sf_dir, materialize=True)
