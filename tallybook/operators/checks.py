@@ -10,14 +10,16 @@ Two outputs:
 
 * ``violations(df, rules)`` -> ``[rule, table, key, detail]``, one row per
   offending row (per duplicated key for ``unique``);
-* ``summary(tables, rules)`` -> ``[rule, table, severity, violations]``: all
-  row-level rules of a table are fused into ONE scan with conditional counts;
-  each set-level rule is one shuffle aggregate / anti join.
+* ``summary(tables, rules)`` -> ``[rule, table, severity, violations]``.
+
+Per table, all row-level rules run in ONE scan, and all uniqueness rules and
+outgoing references share ONE grouping-sets aggregation (map-side combined,
+so a hot key shrinks before the shuffle); references then anti-join the
+pre-aggregated keys with the parents' keys.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 
@@ -128,27 +130,7 @@ def _shape(df: DataFrame, rule: Rule, key: Column, detail: Column) -> DataFrame:
                      key.alias("key"), detail.alias("detail"))
 
 
-def check_rows(df: DataFrame, rule: Rule, key_cols, as_of=None) -> DataFrame:
-    """Offending rows of one row-level rule."""
-    cols = [c for c in rule.columns if df.schema[c].dataType.typeName() != "binary"]
-    detail = _detail(cols) if cols else F.concat(
-        F.lit("bytes="), X.byte_length(rule.columns[0]).cast("string"))
-    return _shape(df.where(violated(rule, as_of)), rule, _key(df, key_cols), detail)
-
-
 # -- set-level rules ----------------------------------------------------------------
-def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
-    """Duplicated keys (NULLs are distinct: rows with a NULL key column are
-    dropped first).  Partial aggregation pre-combines on the map side, so a
-    hot key costs one row per map task in the shuffle."""
-    keys = list(rule.columns)
-    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
-    dup = df.where(nn).groupBy(*keys).agg(F.count(F.lit(1)).alias("_tb_n")).where(
-        F.col("_tb_n") > 1)
-    return _shape(dup, rule, _key(dup, keys), F.concat(F.lit("count="),
-                                                        F.col("_tb_n").cast("string")))
-
-
 def _key_sets_agg(df: DataFrame, key_sets):
     """GROUPING SETS over several key column sets of ONE table: one scan and
     one shuffle (map-side combined) serve every uniqueness rule and every
@@ -224,29 +206,6 @@ def orphan_keys(g: DataFrame, select, rules, tables) -> DataFrame:
     return child.join(parents, ["rule", "key"], "left_anti")
 
 
-def fk_orphans(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
-    """Child rows whose reference has no parent row (MATCH SIMPLE: a NULL in
-    any referencing column passes).  An anti join on the key columns."""
-    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
-    p = parent.select(*[F.col(pc).alias(f"_tb_p{i}") for i, pc in enumerate(rule.ref_columns)])
-    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_p{i}")
-                                       for i, c in enumerate(rule.columns)])
-    return child.where(nn).join(p, cond, "left_anti")
-
-
-def fk_orphan_count(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
-    """Number of orphan child rows, pre-aggregated: the child is first
-    reduced to (key, rows) with map-side combining, so a hot key costs one
-    row per map task and the anti join shuffles distinct keys only."""
-    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
-    keys = child.where(nn).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_tb_rows"))
-    p = parent.select(*[F.col(pc).alias(f"_tb_p{i}") for i, pc in enumerate(rule.ref_columns)])
-    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_p{i}")
-                                       for i, c in enumerate(rule.columns)])
-    return (keys.join(p, cond, "left_anti")
-            .agg(F.coalesce(F.sum("_tb_rows"), F.lit(0)).alias("violations")))
-
-
 def fk_violations(child: DataFrame, parent: DataFrame, rule: Rule, key_cols) -> DataFrame:
     """Offending child rows of one reference.
 
@@ -391,7 +350,3 @@ def verdict(summary_df: DataFrame) -> DataFrame:
     return agg.withColumn("verdict", F.when(F.col("errors") > 0, "FAILED")
                           .when(F.col("warnings") > 0, "PASSED WITH WARNINGS")
                           .otherwise("PASSED"))
-
-
-def today() -> str:
-    return _dt.date.today().isoformat()
