@@ -43,8 +43,8 @@ register("migrate_tables", "\nunion all\n".join(
 def _extract(lg):
     df = lg.t_account
     path = IO.staging_dir(lg.spark, "extract")
-    IO.export_csv(df, path, order_by=["account_id"])
-    chk = IO.check_extract(lg.spark, path, df.schema, df.count())
+    n = IO.export_csv(df, path, order_by=["account_id"])
+    chk = IO.check_extract(lg.spark, path, df.schema, n)
     return lg.spark.createDataFrame([("t_account", chk["rows"], chk["status"])],
                                     "table_name string, extract_rows long, status string")
 

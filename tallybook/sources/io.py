@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,15 +69,21 @@ def _csv_schema(schema: T.StructType) -> T.StructType:
 
 
 def export_csv(df: DataFrame, path: str, columns: list[str] | None = None,
-               order_by: list[str] | None = None) -> None:
+               order_by: list[str] | None = None) -> int:
     """Explicit projection, ordered by key, CSV with header.  The sort is a
-    distributed range sort; part files come out in key order."""
+    distributed range sort; part files come out in key order.  Returns the
+    number of rows written, observed by the write job itself (no extra pass)."""
     cols = columns or df.columns
     out = df.select(*[F.lower(F.hex(F.col(c))).alias(c) if isinstance(
         df.schema[c].dataType, T.BinaryType) else F.col(c) for c in cols])
     if order_by:
         out = out.orderBy(*order_by)
+    # observed above the sort: only the write job carries the metric (the
+    # range-partition sampling job runs the plan below the sort)
+    obs = Observation("export")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    return int(obs.get["rows"])
 
 
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -95,8 +101,8 @@ def export_optional(spark: SparkSession, tables, name: str, path: str,
     df = _maybe(tables, name)
     if df is None:
         df = spark.createDataFrame([], _csv_schema(schema or S.SCHEMAS[name]))
-    export_csv(df, path, order_by=[c for c in S.PRIMARY_KEY.get(name, ()) if c in df.columns])
-    return df.count()
+    return export_csv(df, path,
+                      order_by=[c for c in S.PRIMARY_KEY.get(name, ()) if c in df.columns])
 
 
 def check_extract(spark: SparkSession, path: str, schema: T.StructType,
@@ -145,10 +151,9 @@ def migrate_tables(spark: SparkSession, tables, names: Iterable[str], target_dir
             rows.append((i, name, None, None, None, "missing"))
             failed = True
             continue
-        src_n = df.count()
         extract = f"{staging}/{name}"
-        export_csv(df, extract, order_by=[c for c in S.PRIMARY_KEY.get(name, ())
-                                          if c in df.columns])
+        src_n = export_csv(df, extract, order_by=[c for c in S.PRIMARY_KEY.get(name, ())
+                                                  if c in df.columns])
         chk = check_extract(spark, extract, df.schema, src_n)
         if chk["status"] != "ok":
             rows.append((i, name, src_n, chk["rows"], None, chk["status"]))
