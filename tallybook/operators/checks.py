@@ -196,13 +196,18 @@ def unique_groups(df: DataFrame, rules) -> DataFrame:
 def orphan_keys(g: DataFrame, select, rules, tables) -> DataFrame:
     """Child key groups with no parent row, for several references of one
     child table at once: ``[rule, key, _tb_n]`` anti-joined on (rule, key)
-    with the union of the parents' key columns -- one shuffle for all of
-    them, on pre-aggregated keys."""
+    with the parents' key columns -- one shuffle for all of them, on
+    pre-aggregated keys.  Each distinct (parent table, key columns) is read
+    once and tagged with every rule that references it."""
     child = _tag(g, rules, select, _match_key)
+    by_parent: dict[tuple, list[str]] = {}
+    for r in rules:
+        by_parent.setdefault((r.ref_table, tuple(r.ref_columns)), []).append(r.name)
     parents = union_tree([
-        _table(tables, r.ref_table).select(F.lit(r.name).alias("rule"),
-                                           _match_key(r.ref_columns).alias("key"))
-        for r in rules])
+        _table(tables, ref_table).select(
+            F.explode(F.array(*[F.lit(n) for n in names])).alias("rule"),
+            _match_key(ref_cols).alias("key"))
+        for (ref_table, ref_cols), names in by_parent.items()])
     return child.join(parents, ["rule", "key"], "left_anti")
 
 
@@ -323,19 +328,22 @@ def summary(tables, rules, as_of=None) -> DataFrame:
         parts.append(shape(counts, tname, rs, "c"))
     for tname, rs in keyed.items():
         g, select = _key_sets_agg(_table(tables, tname), [r.columns for r in rs])
+        # duplicated keys (unique rules) and orphan keys (references), both
+        # as [rule, key, _tb_n], counted in one aggregate per table
         uq = [r for r in rs if r.kind == "unique"]
-        if uq:
-            dup = _tag(g.where(F.col("_tb_n") > 1), uq, select, _match_key)
-            counts = dup.agg(*[F.count(F.when(F.col("rule") == r.name, 1)).alias(f"u{i}")
-                               for i, r in enumerate(uq)])
-            parts.append(shape(counts, tname, uq, "u"))
         fk = [r for r in rs if r.kind == "foreign_key"]
+        tagged = []
+        if uq:
+            tagged.append(_tag(g.where(F.col("_tb_n") > 1), uq, select, _match_key))
         if fk:
-            orphans = orphan_keys(g, select, fk, tables)
-            counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == r.name,
-                                                           F.col("_tb_n"))), F.lit(0))
-                                   .alias(f"f{i}") for i, r in enumerate(fk)])
-            parts.append(shape(counts, tname, fk, "f"))
+            tagged.append(orphan_keys(g, select, fk, tables))
+        hit = union_tree(tagged)
+        ordered = uq + fk
+        counts = hit.agg(*[
+            (F.count(F.when(F.col("rule") == r.name, 1)) if r.kind == "unique" else
+             F.coalesce(F.sum(F.when(F.col("rule") == r.name, F.col("_tb_n"))), F.lit(0)))
+            .alias(f"k{i}") for i, r in enumerate(ordered)])
+        parts.append(shape(counts, tname, ordered, "k"))
     return union_tree(parts)
 
 
