@@ -135,8 +135,9 @@ def _key_sets_agg(df: DataFrame, key_sets):
     """GROUPING SETS over several key column sets of ONE table: one scan and
     one shuffle (map-side combined) serve every uniqueness rule and every
     outgoing reference of the table.  Returns the aggregate ``g`` (key
-    columns, ``_tb_n`` rows, ``_tb_gid``) and a function giving the condition
-    that selects one key set's groups with no NULL key column."""
+    columns, ``_tb_n`` rows, ``_tb_gid``) and a function giving, for a key
+    set, its grouping id (the groups of that set are the rows with that id
+    and no NULL key column)."""
     sets: list[tuple[str, ...]] = []
     for ks in key_sets:
         if tuple(ks) not in sets:
@@ -144,16 +145,18 @@ def _key_sets_agg(df: DataFrame, key_sets):
     allcols = list(dict.fromkeys(c for ks in sets for c in ks))
     width = len(allcols)
 
-    def gid(ks):  # bit set for every column NOT grouped in this set
+    def gid(ks) -> int:  # bit set for every column NOT grouped in this set
         return sum(1 << (width - 1 - i) for i, c in enumerate(allcols) if c not in ks)
 
     g = (df.groupingSets([list(ks) for ks in sets], *allcols)
          .agg(F.count(F.lit(1)).alias("_tb_n"), F.grouping_id().alias("_tb_gid")))
+    return g, gid
 
-    def select(ks) -> Column:
-        return ((F.col("_tb_gid") == gid(tuple(ks)))
-                & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ks]))
-    return g, select
+
+@lru_cache(maxsize=4096)
+def _set_cond(gid: int, cols: tuple) -> Column:
+    return ((F.col("_tb_gid") == gid)
+            & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
 
 
 def _match_key(cols) -> Column:
@@ -175,13 +178,19 @@ def _match_key_t(cols: tuple) -> Column:
     return F.concat(*parts)
 
 
-def _tag(g: DataFrame, rules, select, key_of) -> DataFrame:
+@lru_cache(maxsize=4096)
+def _tag_entry(name: str, gid: int, cols: tuple, display: bool) -> Column:
+    key = _key_cols(cols) if display else _match_key_t(cols)
+    return F.when(_set_cond(gid, cols), F.struct(F.lit(name).alias("rule"), key.alias("key")))
+
+
+def _tag(g: DataFrame, rules, gid, display: bool = False) -> DataFrame:
     """One projection over the key-set aggregate: each group is tagged with
     the rules whose key set it belongs to -> ``[rule, key, _tb_n]``.  (One
     pass; separate per-rule filters would each be pushed below the aggregate
-    and repeat it.)"""
-    tagged = F.array(*[F.when(select(r.columns), F.struct(F.lit(r.name).alias("rule"),
-                                                          key_of(r.columns).alias("key")))
+    and repeat it.)  ``display`` keys are comma-joined values for reports,
+    otherwise injective match keys."""
+    tagged = F.array(*[_tag_entry(r.name, gid(tuple(r.columns)), tuple(r.columns), display)
                        for r in rules])
     return g.select(F.inline(F.filter(tagged, lambda x: x.isNotNull())), "_tb_n")
 
@@ -189,17 +198,17 @@ def _tag(g: DataFrame, rules, select, key_of) -> DataFrame:
 def unique_groups(df: DataFrame, rules) -> DataFrame:
     """Duplicated keys of several uniqueness rules of one table:
     ``[rule, key, _tb_n]`` with ``key`` the comma-joined key values."""
-    g, select = _key_sets_agg(df, [r.columns for r in rules])
-    return _tag(g.where(F.col("_tb_n") > 1), rules, select, lambda cols: _key(g, cols))
+    g, gid = _key_sets_agg(df, [r.columns for r in rules])
+    return _tag(g.where(F.col("_tb_n") > 1), rules, gid, display=True)
 
 
-def orphan_keys(g: DataFrame, select, rules, tables) -> DataFrame:
+def orphan_keys(g: DataFrame, gid, rules, tables) -> DataFrame:
     """Child key groups with no parent row, for several references of one
     child table at once: ``[rule, key, _tb_n]`` anti-joined on (rule, key)
     with the parents' key columns -- one shuffle for all of them, on
     pre-aggregated keys.  Each distinct (parent table, key columns) is read
     once and tagged with every rule that references it."""
-    child = _tag(g, rules, select, _match_key)
+    child = _tag(g, rules, gid)
     by_parent: dict[tuple, list[str]] = {}
     for r in rules:
         by_parent.setdefault((r.ref_table, tuple(r.ref_columns)), []).append(r.name)
@@ -327,16 +336,16 @@ def summary(tables, rules, as_of=None) -> DataFrame:
                           for i, r in enumerate(rs)])
         parts.append(shape(counts, tname, rs, "c"))
     for tname, rs in keyed.items():
-        g, select = _key_sets_agg(_table(tables, tname), [r.columns for r in rs])
+        g, gid = _key_sets_agg(_table(tables, tname), [r.columns for r in rs])
         # duplicated keys (unique rules) and orphan keys (references), both
         # as [rule, key, _tb_n], counted in one aggregate per table
         uq = [r for r in rs if r.kind == "unique"]
         fk = [r for r in rs if r.kind == "foreign_key"]
         tagged = []
         if uq:
-            tagged.append(_tag(g.where(F.col("_tb_n") > 1), uq, select, _match_key))
+            tagged.append(_tag(g.where(F.col("_tb_n") > 1), uq, gid))
         if fk:
-            tagged.append(orphan_keys(g, select, fk, tables))
+            tagged.append(orphan_keys(g, gid, fk, tables))
         hit = union_tree(tagged)
         ordered = uq + fk
         counts = hit.agg(*[
