@@ -88,3 +88,46 @@ def validation_record_count(tables) -> DataFrame:
     v = _t(tables, "t_validation_amount")
     return v.agg(F.count(F.lit(1)).alias("validation_count")).withColumn(
         "has_validation_data", F.col("validation_count") > 0)
+
+
+def validate_backup(tables, expected=tuple(t for _, t in ROW_COUNT_TABLES)) -> DataFrame:
+    """The backup-validation job as one plan: ``[step, check_name, severity,
+    detail]`` rows for table row counts (an empty required table is an
+    error), orphan checks (warnings when non-zero), the transaction date
+    range and the presence of validation records (info when absent)."""
+    parts = []
+    for name in expected:
+        n = _t(tables, name).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(n.select(
+            F.lit("row_counts").alias("step"), F.lit(name).alias("check_name"),
+            F.when(F.col("n") > 0, "success").otherwise("error").alias("severity"),
+            F.col("n").cast("string").alias("detail")))
+    for child, _, _, label in ISSUES:
+        n = orphans(tables, child).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(n.select(
+            F.lit("orphans").alias("step"), F.lit(label).alias("check_name"),
+            F.when(F.col("n") == 0, "success").otherwise("warning").alias("severity"),
+            F.col("n").cast("string").alias("detail")))
+    rng = transaction_date_range(tables)
+    parts.append(rng.select(
+        F.lit("date_range").alias("step"), F.lit("transaction_date").alias("check_name"),
+        F.when(F.col("total_transactions") > 0, "success").otherwise("error").alias("severity"),
+        F.concat_ws(" ", F.col("earliest_date").cast("string"), F.col("latest_date").cast("string"),
+                    F.col("total_transactions").cast("string")).alias("detail")))
+    val = validation_record_count(tables)
+    parts.append(val.select(
+        F.lit("validation_data").alias("step"), F.lit("t_validation_amount").alias("check_name"),
+        F.when(F.col("has_validation_data"), "success").otherwise("info").alias("severity"),
+        F.col("validation_count").cast("string").alias("detail")))
+    return union_tree(parts)
+
+
+def backup_verdict(report: DataFrame) -> DataFrame:
+    """Severity roll-up of a validation report -> counts and the verdict."""
+    sev = F.col("severity")
+    agg = report.agg(F.count(F.when(sev == "success", 1)).alias("successes"),
+                     F.count(F.when(sev == "warning", 1)).alias("warnings"),
+                     F.count(F.when(sev == "error", 1)).alias("errors"))
+    return agg.withColumn("verdict", F.when(F.col("errors") > 0, "FAILED")
+                          .when(F.col("warnings") > 0, "PASSED WITH WARNINGS")
+                          .otherwise("PASSED"))

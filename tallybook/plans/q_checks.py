@@ -137,3 +137,35 @@ from t_transaction
 register("validation_record_count", """
 select count(*) as validation_count, count(*) > 0 as has_validation_data from t_validation_amount
 """)(lambda lg: I.validation_record_count(lg))
+
+_VB_ROWS = "\nunion all\n".join(
+    f"select 'row_counts' as step, '{t}' as check_name, case when count(*) > 0 then 'success' "
+    f"else 'error' end as severity, cast(count(*) as varchar) as detail from {t}"
+    for _, t in I.ROW_COUNT_TABLES)
+_VB_SQL = _VB_ROWS + """
+union all
+select 'orphans', 'Orphaned Transaction Categories', case when count(*) = 0 then 'success' else 'warning' end,
+ cast(count(*) as varchar)
+from t_transaction_categories tc left join t_transaction t on tc.transaction_id = t.transaction_id
+where t.transaction_id is null
+union all
+select 'orphans', 'Orphaned Receipt Images', case when count(*) = 0 then 'success' else 'warning' end,
+ cast(count(*) as varchar)
+from t_receipt_image ri left join t_transaction t on ri.transaction_id = t.transaction_id
+where t.transaction_id is null
+union all
+select 'date_range', 'transaction_date', case when count(*) > 0 then 'success' else 'error' end,
+ concat_ws(' ', cast(min(transaction_date) as varchar), cast(max(transaction_date) as varchar),
+ cast(count(*) as varchar)) from t_transaction
+union all
+select 'validation_data', 't_validation_amount', case when count(*) > 0 then 'success' else 'info' end,
+ cast(count(*) as varchar) from t_validation_amount
+"""
+register("validate_backup", _VB_SQL)(lambda lg: I.validate_backup(lg))
+register("validate_backup_verdict", f"""
+select count(*) filter (where severity = 'success') as successes,
+ count(*) filter (where severity = 'warning') as warnings,
+ count(*) filter (where severity = 'error') as errors,
+ case when count(*) filter (where severity = 'error') > 0 then 'FAILED'
+      when count(*) filter (where severity = 'warning') > 0 then 'PASSED WITH WARNINGS' else 'PASSED' end as verdict
+from ({_VB_SQL}) r""")(lambda lg: I.backup_verdict(I.validate_backup(lg)))

@@ -86,3 +86,25 @@ def test_seeded_self_members_have_fresh_keys(ledger):
     top = ledger.t_family_member.agg(F.max("family_member_id")).first()[0]
     keys = [r.family_member_id for r in new.collect()]
     assert keys and min(keys) == top + 1 and len(set(keys)) == len(keys)
+
+
+def test_backup_verdict_levels(spark):
+    from tallybook.plans import integrity as I
+
+    def tables(links, txn_rows):
+        t = spark.createDataFrame(txn_rows, "transaction_id long, transaction_date date")
+        base = {name: spark.createDataFrame([(1,)], "x long") for _, name in I.ROW_COUNT_TABLES}
+        base["t_transaction"] = t
+        base["t_transaction_categories"] = spark.createDataFrame(links, "transaction_id long")
+        base["t_receipt_image"] = spark.createDataFrame([(1,)], "transaction_id long")
+        base["t_validation_amount"] = spark.createDataFrame([(1,)], "x long")
+        return base
+
+    import datetime as dt
+    day = dt.date(2024, 1, 1)
+    clean = I.backup_verdict(I.validate_backup(tables([(1,)], [(1, day)]))).first()
+    assert clean.verdict == "PASSED"
+    orphaned = I.backup_verdict(I.validate_backup(tables([(1,), (7,)], [(1, day)]))).first()
+    assert (orphaned.verdict, orphaned.warnings) == ("PASSED WITH WARNINGS", 1)
+    empty = I.backup_verdict(I.validate_backup(tables([], []))).first()
+    assert empty.verdict == "FAILED"
