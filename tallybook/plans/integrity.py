@@ -6,8 +6,6 @@ distributed aggregates; nothing is collected to the driver.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import io as IO
-from ..sources.fixtures import FIXTURE_COLUMNS
 from .registry import register
 
 # Tables carried by the migration job, in dependency order (fixture subset).
@@ -117,4 +116,3 @@ from (values (1, 'unknown_provider', 'general', 'unknown'), (2, 'pharmacy_generi
  (select coalesce(max(provider_id), 0) as top from t_medical_provider) m""")(
     lambda lg: IO.seed_rows(lg.t_medical_provider, SEED_PROVIDERS, id_col="provider_id"))
 
-_ = FIXTURE_COLUMNS

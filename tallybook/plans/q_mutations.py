@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import expr as X
 from ..operators import evolution as V
 from ..operators import mutations as M
 from ..sources import schemas as S
@@ -335,5 +334,3 @@ from (select transaction_id, account_type,
             F.lit("1").alias("reoccurring")),
         "oracle", "t_transaction"))
 
-# keep an explicit reference so linters do not drop the import used in SQL text builders
-_ = X
