@@ -116,3 +116,25 @@ from (values (1, 'unknown_provider', 'general', 'unknown'), (2, 'pharmacy_generi
  (select coalesce(max(provider_id), 0) as top from t_medical_provider) m""")(
     lambda lg: IO.seed_rows(lg.t_medical_provider, SEED_PROVIDERS, id_col="provider_id"))
 
+
+
+def _export(lg):
+    df = lg.t_account
+    path = IO.staging_dir(lg.spark, "export-account")
+    IO.export_csv(df, path, columns=["account_id", "account_name_owner", "account_type",
+                                     "active_status", "owner"], order_by=["account_id"])
+    return lg.spark.read.option("header", "true").csv(path).select(
+        F.count(F.lit(1)).alias("exported_rows"))
+
+
+register("export_csv", "select count(*) as exported_rows from t_account")(_export)
+
+
+def _import(lg):
+    df = lg.t_pending_transaction
+    path = IO.staging_dir(lg.spark, "import-pending")
+    IO.export_csv(df, path, order_by=["pending_transaction_id"])
+    return IO.import_csv(lg.spark, path, df.schema)
+
+
+register("import_csv", "select * from t_pending_transaction")(_import)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import reports as R
 from .registry import PARAMS as P
 from .registry import register
@@ -208,3 +210,17 @@ register("accounts_without_self_member", """
 select distinct account_name_owner from t_account where active_status = true
 and account_name_owner not in (select owner from t_family_member where relationship = 'self')
 """)(lambda lg: R.accounts_without_self_member(lg))
+
+
+def _double_space_rows(lg):
+    d = R.double_space_descriptions(lg).select(F.lit("description").alias("column_name"),
+                                               F.col("description").alias("value"))
+    n = R.double_space_notes(lg).select(F.lit("notes").alias("column_name"),
+                                        F.col("notes").alias("value"))
+    return d.unionByName(n)
+
+
+register("double_space_rows", """
+select 'description' as column_name, description as value from t_transaction where description like '%  %'
+union all
+select 'notes', notes from t_transaction where notes like '%  %'""")(_double_space_rows)
