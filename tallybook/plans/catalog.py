@@ -264,3 +264,32 @@ def rules(*names: str) -> list[Rule]:
 
 def rules_of_kind(kind: str, pool=None) -> list[Rule]:
     return [r for r in (pool or ALL_RULES + LEGACY_RULES) if r.kind == kind]
+
+
+def schema_findings() -> list[tuple[str, str, str]]:
+    """Contradictions inside the declared schema itself, as
+    (finding, table, detail): defaults outside their own domain, and
+    references whose child column allows fewer values than the parent.
+    Metadata only -- reported, never "fixed"."""
+    out = []
+    for r in DOMAIN_RULES:
+        default = S.DEFAULTS.get(r.table, {}).get(r.columns[0])
+        if isinstance(default, str) and default not in r.values:
+            out.append(("default_outside_domain", r.table,
+                        f"{r.columns[0]} default '{default}' fails {r.name}"))
+    domains = {(r.table, r.columns[0]): set(r.values) for r in DOMAIN_RULES}
+    for fk in FK_RULES + LEGACY_RULES:
+        if fk.kind != "foreign_key":
+            continue
+        for c, pc in zip(fk.columns, fk.ref_columns):
+            child, parent = domains.get((fk.table, c)), domains.get((fk.ref_table, pc))
+            if child is not None and parent is not None and child != parent:
+                out.append(("reference_domain_mismatch", fk.table,
+                            f"{fk.name}: {fk.table}.{c} allows {len(child)} values, "
+                            f"{fk.ref_table}.{pc} allows {len(parent)}"))
+    return sorted(set(out))
+
+
+def schema_audit(spark):
+    """``schema_findings`` as a DataFrame (a handful of rows)."""
+    return spark.createDataFrame(schema_findings(), "finding string, table string, detail string")

@@ -189,3 +189,10 @@ def test_check_summary_and_verdict(spark):
     got = {r.rule: r.violations for r in summ.collect()}
     assert got == {"ck_reoccurring_type": 1, "ck_transaction_state": 0, "pk_t_transaction": 0}
     assert C.verdict(summ).first().verdict == "FAILED"
+
+
+def test_schema_contradictions_are_reported(spark):
+    found = {(f, t) for f, t, _ in K.schema_findings()}
+    assert ("default_outside_domain", "t_account") in found          # 'unknown' account type
+    assert ("reference_domain_mismatch", "t_transaction") in found   # 3 vs 30 account types
+    assert K.schema_audit(spark).count() == len(K.schema_findings())
