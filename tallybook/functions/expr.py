@@ -26,10 +26,18 @@ def lit_date(d: str | _dt.date) -> Column:
 
 
 def lit_ts(t: str | _dt.datetime) -> Column:
-    """A TIMESTAMP WITHOUT TIME ZONE literal (``as_of`` values)."""
-    if isinstance(t, str):
-        t = _dt.datetime.fromisoformat(t)
-    return F.lit(t).cast("timestamp_ntz")
+    """A TIMESTAMP WITHOUT TIME ZONE literal (``as_of`` values), built from
+    its ISO text so that no session or process time zone is involved."""
+    if isinstance(t, _dt.datetime):
+        t = t.isoformat(sep=" ")
+    return F.lit(_dt.datetime.fromisoformat(t).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def _epoch_ntz() -> Column:
+    return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
 
 
 def as_of_or_now(as_of: str | _dt.datetime | None) -> Column:
@@ -87,18 +95,21 @@ def between_symmetric(c: ColumnOrName, a, b) -> Column:
 
 
 def epoch_seconds(c: ColumnOrName) -> Column:
-    """``extract(epoch from ts)`` with fractional seconds, as DOUBLE."""
-    return F.unix_micros(col(c).cast("timestamp")) / F.lit(1_000_000.0)
+    """``extract(epoch from ts)`` of a TIMESTAMP WITHOUT TIME ZONE, with
+    fractional seconds, as DOUBLE (wall clock read as UTC; no session zone)."""
+    return (F.timestamp_diff("MICROSECOND", _epoch_ntz(), col(c).cast("timestamp_ntz"))
+            / F.lit(1_000_000.0))
 
 
 def month_epoch(c: ColumnOrName) -> Column:
     """``extract(epoch from date_trunc('month', ts))`` in whole seconds."""
-    return F.unix_seconds(F.date_trunc("month", col(c).cast("timestamp")))
+    return F.timestamp_diff("SECOND", _epoch_ntz(),
+                            F.trunc(col(c), "month").cast("timestamp_ntz"))
 
 
 def from_epoch(c: ColumnOrName) -> Column:
     """``to_timestamp(n)`` -> TIMESTAMP WITHOUT TIME ZONE (UTC wall clock)."""
-    return F.timestamp_seconds(col(c)).cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", col(c), _epoch_ntz())
 
 
 def parse_datetime(c: ColumnOrName, fmt: str) -> Column:
@@ -108,8 +119,9 @@ def parse_datetime(c: ColumnOrName, fmt: str) -> Column:
 
 
 def to_local_time(c: ColumnOrName, zone: str) -> Column:
-    """Wall-clock time of a UTC timestamp in ``zone`` (``SET timezone``)."""
-    return F.from_utc_timestamp(col(c).cast("timestamp"), zone)
+    """Wall clock in ``zone`` of a UTC wall-clock timestamp (``SET timezone``);
+    independent of the session time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), col(c).cast("timestamp_ntz"))
 
 
 # -- text -------------------------------------------------------------------

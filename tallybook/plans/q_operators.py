@@ -286,7 +286,7 @@ select validation_id, cast(timezone('America/Chicago', cast(validation_date as t
 from t_validation_amount""")(
     lambda lg: lg.t_validation_amount.select(
         "validation_id", X.to_local_time("validation_date", "America/Chicago")
-        .cast("timestamp_ntz").alias("local_time")))
+        .alias("local_time")))
 
 register("group_by_alias", """
 select cast(date_trunc('week', transaction_date) as date) as weekly, count(*) as cnt from t_transaction

@@ -36,6 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.driver.memory", os.environ.get("TALLYBOOK_DRIVER_MEM", "8g")))
     for k, v in _LOCAL_CONF.items():
         builder = builder.config(k, v)
+    # results must not depend on the session zone; TALLYBOOK_TZ runs the
+    # suite under another zone to show it
+    builder = builder.config("spark.sql.session.timeZone", os.environ.get("TALLYBOOK_TZ", "UTC"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
