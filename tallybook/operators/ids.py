@@ -31,7 +31,14 @@ def sequential_ids(df: DataFrame, order_by: list[str | Column], id_col: str,
     numbering is a pure function of the data and the checkpoint is skipped:
     a recomputed partition sorts to the same rows in the same order.
     """
-    ordered = df.orderBy(*order_by).withColumn("_tb_mid", F.monotonically_increasing_id())
+    if unique_order:
+        ordered = df.orderBy(*order_by)
+    else:
+        # a tiebreak inside equal keys lets the range partitioner split a hot
+        # group of equal keys over many partitions instead of one task
+        ordered = (df.withColumn("_tb_tie", F.monotonically_increasing_id())
+                   .orderBy(*order_by, "_tb_tie").drop("_tb_tie"))
+    ordered = ordered.withColumn("_tb_mid", F.monotonically_increasing_id())
     if not unique_order:
         ensure_checkpoint_dir(df.sparkSession)
         ordered = ordered.checkpoint(eager=True)

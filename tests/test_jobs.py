@@ -108,3 +108,13 @@ def test_backup_verdict_levels(spark):
     assert (orphaned.verdict, orphaned.warnings) == ("PASSED WITH WARNINGS", 1)
     empty = I.backup_verdict(I.validate_backup(tables([], []))).first()
     assert empty.verdict == "FAILED"
+
+
+def test_sequential_ids_with_a_hot_tie_group(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0))
+                                     .otherwise(F.col("id")).alias("k")).repartition(6)
+    out = ids.sequential_ids(df, ["k"], "rid", start=1)
+    rows = out.collect()
+    assert sorted(r.rid for r in rows) == list(range(1, 3001))
+    hot = sorted(r.rid for r in rows if r.k == 0)
+    assert hot == list(range(1, 1001))          # the tie group is numbered first, densely
