@@ -178,16 +178,20 @@ class Ledger:
 
     @stored
     def t_description(self) -> DataFrame:
+        # names are distinct, so the numbering is a pure function of the data
+        # (no checkpoint needed); the stored table then fixes it for all reads
         names = (self.t_transaction.select(F.col("description").alias("description_name"))
                  .distinct())
-        return sequential_ids(names, ["description_name"], "description_id", start=1).select(
+        return sequential_ids(names, ["description_name"], "description_id", start=1,
+                              unique_order=True).select(
             "description_id", "description_name",
             (F.col("description_name") != "t-mobile.com").alias("active_status"))
 
     @stored
     def t_category(self) -> DataFrame:
         names = self.t_transaction.select(F.col("category").alias("category_name")).distinct()
-        return sequential_ids(names, ["category_name"], "category_id", start=0).select(
+        return sequential_ids(names, ["category_name"], "category_id", start=0,
+                              unique_order=True).select(
             "category_id", "category_name", F.lit(True).alias("active_status"))
 
     @stored
