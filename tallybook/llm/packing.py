@@ -141,6 +141,7 @@ class Windows:
                         start, length = start + room, length - room
                         continue
                 self.room.append((self.size, self._new()))  # empty, so it has the most room
+                at = len(self.room) - 1
             room, window = self.room.pop(at)
             out.append((start, length, window, self.size - room))
             if room > length:
