@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, order_minhash, packing, resampling
+from . import (cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, resampling, surrogates,
+               warc)
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -51,6 +52,34 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents")).drop("row")
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_entities, entities of every document, personal data replaced."""
+    return surrogates.anonymise(read(spark, sf_dir, "documents"))
+
+
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return cover_tree.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record read back."""
+    records, payloads = warc.build_archive(read(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, warc.write_warc(records, payloads)).drop("url")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learnt = docs.where(~langid.held_out())
+    return langid.identify(docs, langid.train(learnt))
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return main_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
@@ -67,8 +96,8 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, read(spark, sf_dir, "labels"), "row").drop("row")
 
 
-_QUERIES = {f.__name__: f for f in (op1_temperature_mixing, op2_exact_dedup, op8_packing, op9_order_minhash,
-                                    op10_resampling)}
+_QUERIES = {f.__name__: f for f in (op1_temperature_mixing, op2_exact_dedup, op3_surrogates, op4_cover_tree, op5_warc,
+                                    op6_language_id, op7_main_text, op8_packing, op9_order_minhash, op10_resampling)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +117,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.QUERY_SQL}
+    return {"op2_exact_dedup": exact_dedup.QUERY_SQL, "op4_cover_tree": cover_tree.QUERY_SQL,
+            "op5_warc": warc.QUERY_SQL}
