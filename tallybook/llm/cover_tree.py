@@ -353,10 +353,10 @@ def _links_of(classes: DataFrame) -> DataFrame:
 
 QUERY_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
          WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(vec, other) AS (SELECT a, b FROM link UNION SELECT r.vec, l.b FROM reach r JOIN link l ON l.a = r.other),

@@ -177,7 +177,7 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex,
              min(page_id) OVER (PARTITION BY body) AS first_page FROM p)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            (1 + ((('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31))::INT, 1)),
            '') AS payload_digest,
        CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
