@@ -42,6 +42,11 @@ def numbered(docs: DataFrame, label: str = "numbered") -> tuple[DataFrame, str]:
     return store(docs.withColumn(row, F.monotonically_increasing_id()), label), row
 
 
+def without(held: DataFrame, row: str, out: DataFrame) -> DataFrame:
+    """The rows of ``held`` whose number is not in ``out``, in one merge join at every size."""
+    return held.join(out.select(F.col("row").alias(row)).hint("merge"), row, "left_anti").drop(row)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples, one batch in memory at a time."""
     for batch in batches:

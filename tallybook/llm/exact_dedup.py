@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, store
+from .common import numbered, store, without
 
 BLOCK_BYTES = 4096
 
@@ -84,8 +84,7 @@ def exact_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 def drop_exact_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
     held, row = numbered(docs)
-    copies = exact_groups(held, text_col, id_col, row_col=row).where("not kept").select(F.col("row").alias(row))
-    return held.join(copies, row, "left_anti").select(*docs.columns)
+    return without(held, row, exact_groups(held, text_col, id_col, row_col=row).where("not kept"))
 
 
 def _cut(text_col: str, block_bytes: int) -> list[Column]:

@@ -107,7 +107,7 @@ def draws(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, b
         F.floor(weight * F.lit(total * budget_ratio) + 0.5).cast("long").alias("budget"))
     budgets = budgets.select("name", "have", "budget", F.expr("budget div have").alias("full"),
                              F.expr("budget % have").alias("rest"))
-    plan = budgets.join(_ends(blocks, budgets), "name", "left")
+    plan = store(budgets.join(_ends(blocks, budgets), "name", "left"), "budgets")  # one row a source
     drawn = (spread.join(plan, "name")
              .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
              .withColumn("place", _place(F.col("name"), F.col("epoch"), F.col("block")))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, numbered, rows_of, store
+from .common import batches_of, numbered, rows_of, store, without
 from .components import components
 from .words import labelled, shingles, word_hashes
 
@@ -176,7 +176,6 @@ def near_groups(held: DataFrame, row: str, text_col: str = "text", id_col: str =
     first row).  A null text counts as empty; texts without words are equal to
     each other and link with nothing else.  ``held`` must be a stored table.
     """
-    spark = held.sparkSession
     texts = held.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketches = store(texts.select("row", "text").mapInArrow(
         _sketch, "row long, words1 long, words2 long, keys array<long>"), "sketches")
@@ -197,9 +196,9 @@ def near_groups(held: DataFrame, row: str, text_col: str = "text", id_col: str =
             F.least("chunk", other).alias("low"), F.greatest("chunk", other).alias("high")))).alias("u")).select(
         "class", "bucket", "u.low", "u.high")
     units = store(units, "units")
-    wanted = texts.join(units.select(F.col("class").alias("row")).distinct(), "row", "left_semi")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (units.join(wanted.select(F.col("row").alias("class"), "text"), "class")
+    wanted = texts.join(units.select(F.col("class").alias("row")).distinct().hint("merge"), "row", "left_semi")
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = (units.join(wanted.select(F.col("row").alias("class"), "text").hint("merge"), "class")
              .select("bucket", "low", "high", "class", "text")
              .repartition(parts, "bucket", "low", "high")
              .sortWithinPartitions("bucket", "low", "high", "class")
@@ -227,5 +226,4 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, columns as they were."""
     held, row = numbered(docs)
-    out = near_groups(held, row, text_col, id_col).where("not kept").select(F.col("row").alias(row))
-    return held.join(out, row, "left_anti").select(*docs.columns)
+    return without(held, row, near_groups(held, row, text_col, id_col).where("not kept"))

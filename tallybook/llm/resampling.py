@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, numbered, rows_of, store
+from .common import batches_of, numbered, rows_of, store, without
 from .words import CACHE_WORDS, mix
 
 LABELLED = 20_000
@@ -245,5 +245,4 @@ def kth_largest(df: DataFrame, col: str, k: int) -> float:
 def drop_low_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that the resampling rejects, columns as they were."""
     held, row = numbered(docs)
-    out = resample(held, labels, row, text_col, id_col).where("not kept").select(F.col("row").alias(row))
-    return held.join(out, row, "left_anti").select(*docs.columns)
+    return without(held, row, resample(held, labels, row, text_col, id_col).where("not kept"))
