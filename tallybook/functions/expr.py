@@ -87,6 +87,11 @@ def year_of(c: ColumnOrName) -> Column:
     return F.year(col(c)).cast("long")
 
 
+def in_year(c: ColumnOrName, year: int) -> Column:
+    """``extract(year from d) = year`` as a range of dates, which scans push down."""
+    return col(c).between(lit_date(f"{year:04d}-01-01"), lit_date(f"{year:04d}-12-31"))
+
+
 def between_symmetric(c: ColumnOrName, a, b) -> Column:
     """``c BETWEEN SYMMETRIC a AND b``: bounds in either order, both closed."""
     a_, b_ = (lit_date(a) if isinstance(a, str) else F.lit(a) if not isinstance(a, Column) else a,

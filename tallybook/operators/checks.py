@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -247,6 +247,36 @@ def _table(tables, name):
     return tables[name] if isinstance(tables, dict) else getattr(tables, name)
 
 
+def _missing(tables, rule: Rule) -> str | None:
+    """Tables or columns that ``rule`` needs and that are absent; None if it can run."""
+    gone = []
+    for name, columns in ((rule.table, rule.columns), (rule.ref_table, rule.ref_columns)):
+        if name is None:
+            continue
+        try:
+            have = _table(tables, name).columns
+        except (KeyError, AttributeError):
+            gone.append(name)
+            continue
+        gone += [f"{name}.{c}" for c in columns if c not in have]
+    return ", ".join(gone) or None
+
+
+def _split(tables, rules) -> tuple[list[Rule], list[tuple[Rule, str]]]:
+    """Rules that can run, and those that cannot with what they lack."""
+    found = [(r, _missing(tables, r)) for r in rules]
+    return [r for r, gone in found if not gone], [(r, gone) for r, gone in found if gone]
+
+
+def _session(tables, rules) -> SparkSession:
+    for r in rules:
+        try:
+            return _table(tables, r.table).sparkSession
+        except (KeyError, AttributeError):
+            continue
+    return SparkSession.active()
+
+
 def fused_row_violations(df: DataFrame, table: str, rules, key_cols, as_of=None) -> DataFrame:
     """All row-level rules of one table in ONE scan.
 
@@ -273,22 +303,24 @@ def violations(tables, rules, key_cols: dict[str, tuple[str, ...]], as_of=None)
     """``[rule, table, key, detail]`` for every rule that applies.
 
     Row-level rules are fused per table (one scan each); every unique key and
-    reference is one aggregate / anti join.
+    reference is one aggregate / anti join.  A rule whose table or columns are
+    absent gives one row without key that says what it lacks.
     """
     parts = []
     row_rules: dict[str, list[Rule]] = {}
     uniq: dict[str, list[Rule]] = {}
-    for r in rules:
+    able, unable = _split(tables, rules)
+    if unable:
+        parts.append(_session(tables, rules).createDataFrame(
+            [(r.name, r.table, None, f"not evaluated: {gone} missing") for r, gone in unable],
+            "rule string, table string, key string, detail string"))
+    for r in able:
         df = _table(tables, r.table)
-        if not r.applies_to(df):
-            continue
         keys = key_cols.get(r.table, ())
         if r.kind == "unique":
             uniq.setdefault(r.table, []).append(r)
         elif r.kind == "foreign_key":
-            parent = _table(tables, r.ref_table)
-            if all(c in parent.columns for c in r.ref_columns):
-                parts.append(fk_violations(df, parent, r, keys))
+            parts.append(fk_violations(df, _table(tables, r.ref_table), r, keys))
         else:
             row_rules.setdefault(r.table, []).append(r)
     for tname, rs in row_rules.items():
@@ -299,12 +331,13 @@ def violations(tables, rules, key_cols: dict[str, tuple[str, ...]], as_of=None)
             "rule", F.lit(tname).alias("table"), "key",
             F.concat(F.lit("count="), F.col("_tb_n").cast("string")).alias("detail")))
     if not parts:
-        raise ValueError("no rule applies to the given tables")
+        raise ValueError("no rules are given")
     return union_tree(parts)
 
 
 def summary(tables, rules, as_of=None) -> DataFrame:
-    """``[rule, table, severity, violations]`` for every applicable rule.
+    """``[rule, table, severity, violations]`` for every rule; ``violations`` is
+    NULL and the severity ``error`` for a rule whose table or columns are absent.
 
     Per table: ONE scan evaluates every row-level rule (conditional counts,
     unpivoted); ONE grouping-sets aggregation serves every uniqueness rule
@@ -313,14 +346,8 @@ def summary(tables, rules, as_of=None) -> DataFrame:
     """
     row: dict[str, list[Rule]] = {}
     keyed: dict[str, list[Rule]] = {}
-    for r in rules:
-        df = _table(tables, r.table)
-        if not r.applies_to(df):
-            continue
-        if r.kind == "foreign_key":
-            parent = _table(tables, r.ref_table)
-            if not all(c in parent.columns for c in r.ref_columns):
-                continue
+    able, unable = _split(tables, rules)
+    for r in able:
         (keyed if r.kind in SET_KINDS else row).setdefault(r.table, []).append(r)
 
     def shape(counts: DataFrame, tname: str, rs: list[Rule], prefix: str) -> DataFrame:
@@ -330,6 +357,10 @@ def summary(tables, rules, as_of=None) -> DataFrame:
                                  f"'{tname}' as table")
 
     parts: list[DataFrame] = []
+    if unable:
+        parts.append(_session(tables, rules).createDataFrame(
+            [(r.name, "error", None, r.table) for r, _ in unable],
+            "rule string, severity string, violations long, table string"))
     for tname, rs in row.items():
         df = _table(tables, tname)
         counts = df.agg(*[F.count(F.when(violated(r, as_of), 1)).alias(f"c{i}")
@@ -358,8 +389,9 @@ def summary(tables, rules, as_of=None) -> DataFrame:
 
 def verdict(summary_df: DataFrame) -> DataFrame:
     """Roll-up of a summary: one row with error / warning / passed counts and
-    the verdict PASSED, PASSED WITH WARNINGS or FAILED."""
-    failed = F.col("violations") > 0
+    the verdict PASSED, PASSED WITH WARNINGS or FAILED.  A rule that could not
+    be evaluated counts as an error."""
+    failed = F.col("violations").isNull() | (F.col("violations") > 0)
     agg = summary_df.agg(
         F.count(F.when(failed & (F.col("severity") == "error"), 1)).alias("errors"),
         F.count(F.when(failed & (F.col("severity") == "warning"), 1)).alias("warnings"),

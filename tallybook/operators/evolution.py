@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +45,13 @@ def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
 
 def set_not_null(df: DataFrame, column: str) -> DataFrame:
     """``ALTER COLUMN c SET NOT NULL``: the job fails (lazily, when the data
-    is read) if a NULL is present; rows pass through unchanged."""
-    guard = F.when(F.col(column).isNull(),
-                   F.raise_error(F.lit(f"column {column} contains NULL")))
-    return df.where(guard.isNull())
+    is read) if a NULL is present; the column becomes non-nullable in the schema."""
+    kind = df.schema[column].dataType
+    fail = F.raise_error(F.lit(f"column {column} contains NULL")).cast(kind)
+    # never reached: a last literal is what makes the expression non-nullable
+    last = {"string": "", "boolean": False, "binary": b"", "date": dt.date(1970, 1, 1),
+            "timestamp": dt.datetime(1970, 1, 1), "timestamp_ntz": dt.datetime(1970, 1, 1)}.get(kind.typeName(), 0)
+    return df.withColumn(column, F.coalesce(F.col(column), fail, F.lit(last).cast(kind)))
 
 
 def drop_not_null(df: DataFrame, column: str) -> DataFrame:

@@ -20,28 +20,21 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def sequential_ids(df: DataFrame, order_by: list[str | Column], id_col: str,
-                   start: int | Column = 1, first: bool = True,
-                   unique_order: bool = False) -> DataFrame:
+                   start: int | Column = 1, first: bool = True) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_by`` order.
 
     ``start`` is a literal or a column (e.g. a broadcast 1-row maximum).
-    Ties in ``order_by`` are numbered in an arbitrary order, so the sorted
-    frame is checkpointed to keep that order fixed under re-execution.  When
-    the caller guarantees ``order_by`` is unique (``unique_order``), the
-    numbering is a pure function of the data and the checkpoint is skipped:
-    a recomputed partition sorts to the same rows in the same order.
+    The sorted frame is always checkpointed: the rows and the counts per
+    partition are read from it separately, and two runs of a range sort may
+    cut its partitions at different places, which would lose rows.
     """
-    if unique_order:
-        ordered = df.orderBy(*order_by)
-    else:
-        # a tiebreak inside equal keys lets the range partitioner split a hot
-        # group of equal keys over many partitions instead of one task
-        ordered = (df.withColumn("_tb_tie", F.monotonically_increasing_id())
-                   .orderBy(*order_by, "_tb_tie").drop("_tb_tie"))
-    ordered = ordered.withColumn("_tb_mid", F.monotonically_increasing_id())
-    if not unique_order:
-        ensure_checkpoint_dir(df.sparkSession)
-        ordered = ordered.checkpoint(eager=True)
+    # a tiebreak inside equal keys lets the range partitioner split a hot
+    # group of equal keys over many partitions instead of one task
+    ordered = (df.withColumn("_tb_tie", F.monotonically_increasing_id())
+               .orderBy(*order_by, "_tb_tie").drop("_tb_tie")
+               .withColumn("_tb_mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = ordered.checkpoint(eager=True)
     pid = F.shiftright(F.col("_tb_mid"), 33)
     per_part = ordered.groupBy(pid.alias("_tb_pid")).agg(F.count(F.lit(1)).alias("_tb_n"))
     # one row per partition: a window over it is bounded by the partition count

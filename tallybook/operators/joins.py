@@ -113,6 +113,7 @@ def update_from_join(target: DataFrame, lookup: DataFrame, keys: list[str],
 def scalar_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
                   value: str, alias: str) -> DataFrame:
     """Correlated scalar subquery ``(SELECT value FROM lookup WHERE k = key)``
-    as a left join; NULL when no row matches."""
-    sub = lookup.select(F.col(lookup_key).alias("_tb_lk"), F.col(value).alias(alias))
+    as a left join; NULL when no row matches.  Two matches raise, as the
+    subquery would."""
+    sub = assert_unique(lookup.where(F.col(lookup_key).isNotNull()), [lookup_key]).select(F.col(lookup_key).alias("_tb_lk"), F.col(value).alias(alias))
     return df.join(sub, F.col(key) == F.col("_tb_lk"), "left").drop("_tb_lk")

@@ -80,11 +80,14 @@ def refresh_account_fields(txn: DataFrame, acct: DataFrame) -> DataFrame:
 
 def store_grand_total(acct: DataFrame, grand_total: DataFrame, target: str,
                       column: str = "totals") -> DataFrame:
-    """Write the (1-row) grand total onto one account row; other rows NULL."""
+    """Write the (1-row) grand total onto one account row; other rows keep
+    their value (NULL where the column is new)."""
+    if column not in acct.columns:
+        acct = acct.withColumn(column, F.lit(None).cast(S.MONEY_SUM))
     with_total = acct.crossJoin(F.broadcast(grand_total.select(F.col("totals").alias("_tb_gt"))))
     return with_total.withColumn(
         column, F.when(F.col("account_name_owner") == target, F.col("_tb_gt"))
-        .cast(S.MONEY_SUM)).drop("_tb_gt")
+        .otherwise(F.col(column)).cast(S.MONEY_SUM)).drop("_tb_gt")
 
 
 def flip_credit_sign(txn: DataFrame, account_type: str = "credit") -> DataFrame:
@@ -277,9 +280,10 @@ def seed_self_members(family: DataFrame, acct: DataFrame) -> DataFrame:
 
 def insert_rows_unique(df: DataFrame, new_rows: DataFrame, key: list[str],
                        id_col: str) -> DataFrame:
-    """INSERT that skips rows whose unique key already exists; a key repeated
-    within the batch is inserted once.  New keys follow the current max."""
-    fresh = new_rows.join(df.select(*key), key, "left_anti").dropDuplicates(key)
+    """INSERT that skips rows whose unique key already exists.  New keys follow
+    the current max.  A key repeated within the batch breaks the unique rule,
+    so the job fails, as the insert would."""
+    fresh = J.assert_unique(new_rows.join(df.select(*key), key, "left_anti"), key)
     keyed = next_ids(fresh, df, id_col, order_by=key)
     return df.unionByName(keyed, allowMissingColumns=True)
 
@@ -302,8 +306,9 @@ def stamp_update(df: DataFrame, as_of: str) -> DataFrame:
 
 def apply_defaults(df: DataFrame, table: str, as_of: str | None = None) -> DataFrame:
     """Conform rows to the table schema: absent columns take the declared
-    default (epoch for the stamp columns, ``as_of`` where the schema says
-    now()), present columns are cast to the declared type, schema order."""
+    default (epoch or, where the schema says now(), ``as_of``), present columns
+    are cast to the declared type, schema order.  An absent NOT NULL column
+    without default raises, unless it is a generated key."""
     schema = S.SCHEMAS[table]
     defaults = S.DEFAULTS.get(table, {})
     cols = []
@@ -312,12 +317,12 @@ def apply_defaults(df: DataFrame, table: str, as_of: str | None = None) -> DataF
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         elif f.name in defaults:
             cols.append(F.lit(defaults[f.name]).cast(f.dataType).alias(f.name))
-        elif f.name in S.EPOCH_DEFAULT_COLUMNS or f.dataType in (S.TS, S.TSZ):
-            now_default = table in ("t_medical_provider", "t_family_member",
-                                    "t_medical_expense", "t_validation_amount",
-                                    "t_pending_transaction")
-            val = X.lit_ts(as_of) if (now_default and as_of) else X.lit_ts("1970-01-01 00:00:00")
-            cols.append(val.cast(f.dataType).alias(f.name))
+        elif f.name in S.NOW_DEFAULT_COLUMNS.get(table, ()):
+            cols.append(X.lit_ts(as_of or "1970-01-01 00:00:00").cast(f.dataType).alias(f.name))
+        elif f.name in S.EPOCH_DEFAULT_COLUMNS:
+            cols.append(X.lit_ts("1970-01-01 00:00:00").cast(f.dataType).alias(f.name))
+        elif not f.nullable and f.name not in S.PRIMARY_KEY.get(table, ()):
+            raise ValueError(f"{table}.{f.name} is NOT NULL and has no default")
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -88,18 +88,31 @@ def validation_record_count(tables) -> DataFrame:
         "has_validation_data", F.col("validation_count") > 0)
 
 
+def _has(tables, name: str) -> bool:
+    try:
+        return _t(tables, name) is not None
+    except (KeyError, AttributeError):
+        return False
+
+
 def validate_backup(tables, expected=tuple(t for _, t in ROW_COUNT_TABLES)) -> DataFrame:
     """The backup-validation job as one plan: ``[step, check_name, severity,
-    detail]`` rows for table row counts (an empty required table is an
-    error), orphan checks (warnings when non-zero), the transaction date
+    detail]`` rows for table row counts (an empty table is accessible
+    and succeeds, a missing one is an error), orphan checks (warnings when non-zero), the transaction date
     range and the presence of validation records (info when absent)."""
     parts = []
+    missing = [name for name in expected if not _has(tables, name)]
+    if missing:
+        parts.append(_t(tables, "t_transaction").sparkSession.createDataFrame(
+            [("row_counts", name, "error", "missing") for name in missing],
+            "step string, check_name string, severity string, detail string"))
     for name in expected:
+        if name in missing:
+            continue
         n = _t(tables, name).agg(F.count(F.lit(1)).alias("n"))
         parts.append(n.select(
             F.lit("row_counts").alias("step"), F.lit(name).alias("check_name"),
-            F.when(F.col("n") > 0, "success").otherwise("error").alias("severity"),
-            F.col("n").cast("string").alias("detail")))
+            F.lit("success").alias("severity"), F.col("n").cast("string").alias("detail")))
     for child, _, _, label in ISSUES:
         n = orphans(tables, child).agg(F.count(F.lit(1)).alias("n"))
         parts.append(n.select(

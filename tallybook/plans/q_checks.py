@@ -17,17 +17,29 @@ from .registry import register
 AS_OF_DATE = P["as_of"]
 
 
-def _applicable(rules):
-    out = []
-    for r in rules:
-        cols = FIXTURE_COLUMNS.get(r.table, [])
-        if not all(c in cols for c in r.columns):
-            continue
-        if r.kind == "foreign_key" and not all(
-                c in FIXTURE_COLUMNS.get(r.ref_table, []) for c in r.ref_columns):
-            continue
-        out.append(r)
-    return out
+def _lacks(r) -> str:
+    """What a rule needs that the fixtures do not hold."""
+    gone = []
+    for table, columns in ((r.table, r.columns), (r.ref_table, r.ref_columns)):
+        if table is not None and table not in FIXTURE_COLUMNS:
+            gone.append(table)
+        elif table is not None:
+            gone += [f"{table}.{c}" for c in columns if c not in FIXTURE_COLUMNS[table]]
+    return ", ".join(gone)
+
+
+def _violation_sql(r, as_of):
+    if gone := _lacks(r):
+        return (f"select '{r.name}' as rule, '{r.table}' as \"table\", cast(null as varchar) as key, "
+                f"'not evaluated: {gone} missing' as detail")
+    return O.violation_sql(r, FIXTURE_COLUMNS[r.table], _key_cols(r.table), as_of)
+
+
+def _count_sql(r, as_of):
+    if _lacks(r):
+        return (f"select '{r.name}' as rule, '{r.table}' as \"table\", 'error' as severity, "
+                f"cast(null as bigint) as violations")
+    return O.count_sql(r, as_of)
 
 
 def _key_cols(table):
@@ -35,19 +47,16 @@ def _key_cols(table):
 
 
 def register_violations(name: str, rules, as_of: str | None = None):
-    rules = _applicable(rules)
-    if not rules:
-        raise ValueError(f"{name}: no rule applies to the fixtures")
-    sql = "\nunion all\n".join(
-        O.violation_sql(r, FIXTURE_COLUMNS[r.table], _key_cols(r.table), as_of) for r in rules)
+    rules = list(rules)
+    sql = "\nunion all\n".join(_violation_sql(r, as_of) for r in rules)
     keys = {r.table: _key_cols(r.table) for r in rules}
     register(name, sql)(lambda lg: C.violations(lg, rules, keys, as_of=as_of))
     return rules
 
 
 def register_summary(name: str, rules, as_of: str | None = None):
-    rules = _applicable(rules)
-    sql = "\nunion all\n".join(O.count_sql(r, as_of) for r in rules)
+    rules = list(rules)
+    sql = "\nunion all\n".join(_count_sql(r, as_of) for r in rules)
     register(name, sql)(lambda lg: C.summary(lg, rules, as_of=as_of))
     return rules, sql
 
@@ -83,9 +92,9 @@ _summary_rules, SUMMARY_SQL = register_summary("check_summary", _ALL_FOR_SUMMARY
 register("validation_verdict", f"""
 select errors, warnings, passed,
  case when errors > 0 then 'FAILED' when warnings > 0 then 'PASSED WITH WARNINGS' else 'PASSED' end as verdict
-from (select count(*) filter (where violations > 0 and severity = 'error') as errors,
-             count(*) filter (where violations > 0 and severity = 'warning') as warnings,
-             count(*) filter (where not violations > 0) as passed
+from (select count(*) filter (where coalesce(violations, 1) > 0 and severity = 'error') as errors,
+             count(*) filter (where coalesce(violations, 1) > 0 and severity = 'warning') as warnings,
+             count(*) filter (where violations = 0) as passed
       from ({SUMMARY_SQL}) s) v
 """)(lambda lg: C.verdict(C.summary(lg, _summary_rules, as_of=AS_OF_DATE)))
 
@@ -99,31 +108,26 @@ select count(*) as orphaned_count from t_receipt_image r
 left join t_transaction t on r.transaction_id = t.transaction_id where t.transaction_id is null
 """)(lambda lg: I.orphan_count(lg, "t_receipt_image"))
 
-_IR = """
-select 't_transaction_categories' as table_name, 'orphaned_records' as issue_type, count(*) as issue_count,
- 'Transaction categories without corresponding transactions' as description
-from t_transaction_categories tc left join t_transaction t on tc.transaction_id = t.transaction_id
-where t.transaction_id is null having count(*) > 0
-union all
-select 't_receipt_image', 'orphaned_records', count(*), 'Receipt images without corresponding transactions'
-from t_receipt_image ri left join t_transaction t on ri.transaction_id = t.transaction_id
-where t.transaction_id is null having count(*) > 0
+_LOOSE = """
+with loose as (
+ select 1 as pos, 't_transaction_categories' as child, count(*) as n from t_transaction_categories c
+ where not exists (select 1 from t_transaction t where t.transaction_id = c.transaction_id)
+ union all
+ select 2, 't_receipt_image', count(*) from t_receipt_image c
+ where not exists (select 1 from t_transaction t where t.transaction_id = c.transaction_id))"""
+_IR = f"""{_LOOSE}
+select child as table_name, 'orphaned_records' as issue_type, n as issue_count,
+ case pos when 1 then 'Transaction categories' else 'Receipt images' end || ' without corresponding transactions'
+ as description from loose where n > 0
 """
 register("integrity_report", _IR)(lambda lg: I.integrity_report(lg))
 
-_IV = f"""
-select issue_type, issue_count, last_checked from (
-select 'Orphaned Transaction Categories' as issue_type, count(*) as issue_count,
- timestamp '{P["as_of"]}' as last_checked
-from t_transaction_categories tc left join t_transaction t on tc.transaction_id = t.transaction_id
-where t.transaction_id is null
-union all
-select 'Orphaned Receipt Images', count(*), timestamp '{P["as_of"]}'
-from t_receipt_image ri left join t_transaction t on ri.transaction_id = t.transaction_id
-where t.transaction_id is null) v
+_IV = f"""{_LOOSE}
+select case pos when 1 then 'Orphaned Transaction Categories' else 'Orphaned Receipt Images' end as issue_type,
+ n as issue_count, cast('{P["as_of"]}' as timestamp) as last_checked from loose
 """
 register("integrity_view", _IV)(lambda lg: I.integrity_view(lg, as_of=P["as_of"]))
-register("integrity_view_issues", _IV + " where issue_count > 0")(
+register("integrity_view_issues", _IV + " where n > 0")(
     lambda lg: I.integrity_view(lg, as_of=P["as_of"]).where(F.col("issue_count") > 0))
 
 _RC = "\nunion all\n".join(

@@ -75,12 +75,12 @@ register("load_table", "select * from t_transaction")(_load_typed)
 register("verify_core_nonempty", "\nunion all\n".join(
     [f"select '{t}' as table_name, count(*) as row_count, true as required, "
      f"case when count(*) = 0 then 'empty' else 'ok' end as status from {t}"
-     for t in ("t_transaction", "t_account")]
+     for t in ("t_transaction", "t_account", "t_category", "t_description")]
     + [f"select '{t}', count(*), false, 'ok' from {t}"
        for t in ("t_medical_provider", "t_family_member", "t_medical_expense",
                  "t_token_blacklist")]))(
     lambda lg: IO.verify_core_nonempty(
-        lg, ["t_transaction", "t_account"],
+        lg, ["t_transaction", "t_account", "t_category", "t_description"],
         ["t_medical_provider", "t_family_member", "t_medical_expense", "t_token_blacklist"]))
 
 

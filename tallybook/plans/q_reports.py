@@ -76,12 +76,14 @@ from t_transaction where account_type = 'credit' group by 1 order by 1
 """)(lambda lg: R.credits_by_month(lg))
 
 FLAGSHIP_SQL = f"""
-select a.to_month as month, a.to_sum as income, b.to_sum as expense, cast(a.to_sum - b.to_sum as decimal(38,2)) as net from
-(select cast(date_trunc('month', transaction_date) as date) as to_month, cast(sum(abs(amount)) as decimal(38,2)) as to_sum
- from t_transaction where transaction_type = 'income' and transaction_date > date '{P["since"]}' group by 1) a,
-(select cast(date_trunc('month', transaction_date) as date) as to_month, cast(sum(abs(amount)) as decimal(38,2)) as to_sum
- from t_transaction where transaction_type = 'expense' and transaction_date > date '{P["since"]}' group by 1) b
-where a.to_month = b.to_month order by a.to_month
+with monthly as (
+ select cast(date_trunc('month', transaction_date) as date) as month,
+  cast(sum(abs(amount)) filter (where transaction_type = 'income') as decimal(38,2)) as income,
+  cast(sum(abs(amount)) filter (where transaction_type = 'expense') as decimal(38,2)) as expense
+ from t_transaction where transaction_date > date '{P["since"]}' group by all
+ having count(*) filter (where transaction_type = 'income') > 0
+    and count(*) filter (where transaction_type = 'expense') > 0)
+select month, income, expense, cast(income - expense as decimal(38,2)) as net from monthly order by month
 """
 register("income_expense_net_by_month", FLAGSHIP_SQL)(
     lambda lg: R.income_expense_net_by_month(lg, since=P["since"]))

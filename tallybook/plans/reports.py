@@ -61,10 +61,12 @@ def _side_total(tables, owner, account_type: str, alias: str) -> DataFrame:
 
 
 def debits_and_credits(tables, owner=None) -> DataFrame:
-    """One row: total debits and total credits (scalar cross join of two
-    1-row aggregates; either may be NULL when its side has no rows)."""
-    return J.cross_join_scalars(_side_total(tables, owner, "debit", "debits"),
-                                _side_total(tables, owner, "credit", "credits"))
+    """One row: total debits and total credits, from one scan (a side is NULL
+    when it has no rows)."""
+    t = table(tables, "t_transaction", owner)
+    side = lambda kind: F.when(F.col("account_type") == kind, F.col("amount"))
+    return (t.where(F.col("account_type").isin("debit", "credit") & _active())
+            .agg(X.money_sum(side("debit")).alias("debits"), X.money_sum(side("credit")).alias("credits")))
 
 
 def grand_total(tables, owner=None) -> DataFrame:
@@ -282,7 +284,7 @@ def _projection(t: DataFrame, first: Column) -> DataFrame:
 def project_next_year_like(tables, pattern: str, year: int, account: str,
                            owner=None) -> DataFrame:
     t = table(tables, "t_transaction", owner)
-    t = t.where(F.col("description").like(pattern) & (X.year_of("transaction_date") == year))
+    t = t.where(F.col("description").like(pattern) & X.in_year("transaction_date", year))
     return _projection(t, F.lit(account).alias("account"))
 
 
@@ -300,13 +302,13 @@ def _recurring() -> Column:
 
 def project_next_year_recurring(tables, year: int, owner=None) -> DataFrame:
     t = table(tables, "t_transaction", owner)
-    t = t.where(_recurring() & (X.year_of("transaction_date") == year))
+    t = t.where(_recurring() & X.in_year("transaction_date", year))
     return _projection(t, F.col("description").alias("account"))
 
 
 def recurring_count_by_description(tables, year: int, owner=None) -> DataFrame:
     t = table(tables, "t_transaction", owner)
-    return (t.where(_recurring() & (X.year_of("transaction_date") == year))
+    return (t.where(_recurring() & X.in_year("transaction_date", year))
             .groupBy("description").agg(F.count("description").alias("cnt")))
 
 
@@ -344,7 +346,7 @@ def rare_descriptions(tables, threshold: int = 11, owner=None) -> DataFrame:
 def account_ledger(tables, account: str, owner=None) -> DataFrame:
     """One account's active rows, newest first (the query the composite
     (account, active, date desc) index was built for; here the table layout
-    written by ``sources.io.write_ledger`` gives the same pruning)."""
+    written by ``sources.io.write_table`` gives the same pruning)."""
     t = table(tables, "t_transaction", owner)
     return (t.where((F.col("account_name_owner") == account) & _active())
             .orderBy(F.col("transaction_date").desc(), F.col("transaction_id").desc()))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from . import schemas as S
 # a real value, e.g. the default of ``notes``).
 CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX", "dateFormat": "yyyy-MM-dd",
-               "escape": '"', "multiLine": "true"}
+               "escape": '"'}
 # the empty string is written quoted ("") and read back as ''
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
 
@@ -63,6 +64,21 @@ def load_mode(df: DataFrame, path: str, truncate_first: bool) -> None:
 
 
 # -- CSV -------------------------------------------------------------------------------------
+# Line breaks inside a text are written as \\n and \\r, and a backslash as two, so that
+# every record is one line and a large file can be read by many tasks.
+def _escaped(c: str):
+    out = F.col(c)
+    for plain, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        out = F.replace(out, F.lit(plain), F.lit(code))
+    return out.alias(c)
+
+
+def _unescaped(c: str):
+    parts = F.transform(F.split(F.col(c), r"\\\\"), lambda x: F.replace(
+        F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\").alias(c)
+
+
 def _csv_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType() if isinstance(
         f.dataType, T.BinaryType) else f.dataType, True) for f in schema.fields])
@@ -75,7 +91,8 @@ def export_csv(df: DataFrame, path: str, columns: list[str] | None = None,
     number of rows written, observed by the write job itself (no extra pass)."""
     cols = columns or df.columns
     out = df.select(*[F.lower(F.hex(F.col(c))).alias(c) if isinstance(
-        df.schema[c].dataType, T.BinaryType) else F.col(c) for c in cols])
+        df.schema[c].dataType, T.BinaryType) else _escaped(c) if isinstance(
+        df.schema[c].dataType, T.StringType) else F.col(c) for c in cols])
     if order_by:
         out = out.orderBy(*order_by)
     # observed above the sort: only the write job carries the metric (the
@@ -91,7 +108,8 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     raw = (spark.read.schema(_csv_schema(schema)).options(**CSV_OPTIONS)
            .option("mode", "FAILFAST").csv(path))
     return raw.select(*[F.unhex(F.col(f.name)).alias(f.name) if isinstance(
-        f.dataType, T.BinaryType) else F.col(f.name) for f in schema.fields])
+        f.dataType, T.BinaryType) else _unescaped(f.name) if isinstance(
+        f.dataType, T.StringType) else F.col(f.name) for f in schema.fields])
 
 
 def export_optional(spark: SparkSession, tables, name: str, path: str,
@@ -107,17 +125,25 @@ def export_optional(spark: SparkSession, tables, name: str, path: str,
 
 def check_extract(spark: SparkSession, path: str, schema: T.StructType,
                   expected_rows: int | None = None) -> dict:
-    """Read an extract back: it must exist and have the expected row count."""
+    """Read an extract back: it must exist and have the expected row count (any
+    but none if that is not known).  Failures of the job itself are raised."""
     try:
         df = import_csv(spark, path, schema)
+    except AnalysisException as e:
+        return {"rows": None, "status": f"unreadable: {type(e).__name__}"}
+    try:
         # touch every column: the CSV reader parses only the columns a query
         # needs, and a bare count() would not validate any field
         n = df.agg(F.count(F.lit(1)).alias("n"),
                    *[F.count(c).alias(f"_c{i}") for i, c in enumerate(df.columns)]).first()["n"]
-    except Exception as e:  # noqa: BLE001 -- reported, not raised
+    except Exception as e:  # only what the file itself causes is a status
+        if "MALFORMED_RECORD" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+            raise
         return {"rows": None, "status": f"unreadable: {type(e).__name__}"}
     if expected_rows is not None and n != expected_rows:
         return {"rows": n, "status": "count mismatch"}
+    if expected_rows is None and n == 0:
+        return {"rows": n, "status": "empty"}
     return {"rows": n, "status": "ok"}
 
 
@@ -161,7 +187,7 @@ def migrate_tables(spark: SparkSession, tables, names: Iterable[str], target_dir
             continue
         target = f"{target_dir}/{name}"
         load_mode(import_csv(spark, extract, df.schema), target,
-                  (truncate or {}).get(name, True))
+                  (truncate or {}).get(name, False))
         loaded = spark.read.parquet(target).count()
         status = "ok" if loaded == src_n else "count mismatch"
         failed = status != "ok"
@@ -172,17 +198,23 @@ def migrate_tables(spark: SparkSession, tables, names: Iterable[str], target_dir
 def verify_core_nonempty(tables, required: Iterable[str],
                          optional: Iterable[str] = ()) -> DataFrame:
     """(table_name, row_count, required, status): required tables must have
-    rows, optional ones must exist.  One count per table, unioned."""
-    parts = []
+    rows, optional ones must exist.  One count per table, unioned; a table that
+    does not exist is ``missing``, without a count."""
+    parts, missing = [], []
     for name, req in [(n, True) for n in required] + [(n, False) for n in optional]:
         df = _maybe(tables, name)
         if df is None:
+            missing.append((name, None, req, "missing"))
             continue
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count", F.lit(req).alias("required"),
             F.when(F.lit(req) & (F.col("row_count") == 0), "empty").otherwise("ok")
             .alias("status")))
     from ..operators.relational import union_tree
+    if missing:
+        session = parts[0].sparkSession if parts else SparkSession.active()
+        parts.append(session.createDataFrame(
+            missing, "table_name string, row_count long, required boolean, status string"))
     return union_tree(parts)
 
 
