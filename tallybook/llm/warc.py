@@ -1,8 +1,8 @@
 """Content-addressed WARC archive.
 
 An archive is two tables: ``payloads`` holds every distinct payload once under
-its SHA-256, checked while it is built (all payloads with one digest must be
-the same bytes), and ``records`` holds the exact WARC and HTTP headers of every
+its SHA-256, checked while it is built (all payloads with one digest must have one
+length, MD5 and 64-bit hash as well), and ``records`` holds the exact WARC and HTTP headers of every
 record with the digest of its payload.  Joining the two gives the original
 records back byte by byte.
 
@@ -66,8 +66,10 @@ def build_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.monotonically_increasing_id().alias("row"), "page_id", "url", "digest",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         base32_sha1(F.col("payload")).alias("payload_digest")), "warc-rows")
-    once = digested.groupBy("digest").agg(F.min("payload").alias("payload"), F.max("payload").alias("other"))
-    payloads = store(once.select("digest", F.when(F.col("payload") == F.col("other"), F.col("payload")).otherwise(
+    check = F.struct(F.octet_length("payload").alias("n"), F.md5("payload").alias("m"), F.xxhash64("payload").alias("x"))
+    once = digested.groupBy("digest").agg(F.min("payload").alias("payload"), F.min(check).alias("least"),
+                                          F.max(check).alias("most"))
+    payloads = store(once.select("digest", F.when(F.col("least") == F.col("most"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("different payloads with digest "), "digest"))).alias("payload")), "warc-payloads")
     first = plain.groupBy("digest").agg(F.min(F.struct(
         F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first"))
