@@ -24,7 +24,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
