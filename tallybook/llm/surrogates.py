@@ -266,10 +266,7 @@ def _mentions(key: str):
 def surrogate_clashes(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """``kind, made`` of surrogates that different entities share, over all documents."""
     pairs = docs.select(F.col(text_col)).mapInArrow(_mentions(key), "kind string, entity string, made string").distinct()
-    return pairs.groupBy("kind", "made").agg(F.count(F.lit(1)).alias("n")).where(
-        (F.col("n") > 1) & (F.col("kind") != "name")).select("kind", "made").union(
-        pairs.where("kind = 'name'").groupBy("kind", "made").agg(F.countDistinct("entity").alias("n"))
-        .where("n > 1").select("kind", "made"))
+    return pairs.groupBy("kind", "made").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", "made")
 
 
 _OUT_TYPE = ("doc_id long, text string, n_entities long, "
