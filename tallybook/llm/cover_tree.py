@@ -18,12 +18,13 @@ Equal vectors are one class with a weight, and a task returns a count per
 vector and one link of each vector to its part, never all pairs.  Where the
 vectors have no structure below the threshold, no metric bound prunes anything
 and the work grows with the square of the distinct vectors, spread over tasks
-of bounded size.
+of bounded size.  A chunk's tree is grown once and stored with its vectors.
 """
 
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -176,13 +177,16 @@ def _descend(a: Tree, ka: int, b: Tree, kb: int, left: np.ndarray, right: np.nda
         i = int(left[run[0]])
         xs = a.children[ka][i] if deeper_a else np.array([i])
         ys = np.concatenate([b.children[kb][j] if deeper_b else np.array([j]) for j in right[run].tolist()])
+        widest = rb[ys].max()
         for s in range(0, len(xs), 1024):
             part = xs[s:s + 1024]
-            d = np.sqrt(np.maximum(2 - 2 * (a.points[ca[part]] @ b.points[cb[ys]].T), 0))
-            near = d <= limit + SLACK + ra[part][:, None] + rb[ys][None, :]
+            dot = a.points[ca[part]] @ b.points[cb[ys]].T
+            # the widest partner's bound first, then each pair's own
+            p, q = np.nonzero(dot >= 1 - (limit + SLACK + ra[part] + widest)[:, None] ** 2 / 2 - SLACK)
+            near = np.sqrt(np.maximum(2 - 2 * dot[p, q], 0)) <= limit + SLACK + ra[part[p]] + rb[ys[q]]
             if same:
-                near &= part[:, None] <= ys[None, :]
-            p, q = np.nonzero(near)
+                near &= part[p] <= ys[q]
+            p, q = p[near], q[near]
             out_l.append(part[p])
             out_r.append(ys[q])
     none = np.empty(0, np.int64)
@@ -192,19 +196,27 @@ def _descend(a: Tree, ka: int, b: Tree, kb: int, left: np.ndarray, right: np.nda
 _ROW = pa.schema([("a", pa.int64()), ("n", pa.int64()), ("b", pa.int64())])
 
 
-def unit_links(first: list[tuple], second: list[tuple] | None, cosine: float = COSINE) -> Iterator[tuple[int, int, int]]:
+class Chunk:
+    """Classes of a chunk, their weights and the tree of their vectors, from ``(class, weight, vector)`` members."""
+
+    def __init__(self, members: list[tuple]):
+        self.classes = np.array([m[0] for m in members], dtype=np.int64)
+        self.weights = np.array([m[1] for m in members], dtype=np.int64)
+        self.tree = Tree(np.array([m[2] for m in members], dtype=np.float64))
+
+
+def unit_links(first: Chunk, second: Chunk | None, cosine: float = COSINE) -> Iterator[tuple[int, int, int]]:
     """``(class, weight linked, a class of its part)`` for every linked class of one or two chunks.
 
-    Members are ``(class, weight, vector)``; ``second`` None: within ``first``.
+    ``second`` None: within ``first``.
     """
     chunks = [first] if second is None else [first, second]
-    trees = [Tree(np.array([m[2] for m in c], dtype=np.float64)) for c in chunks]
-    a, b = trees[0], trees[-1]
-    offset = 0 if second is None else len(first)
-    everyone = list(itertools.chain(*chunks))
-    weight = np.array([m[1] for m in everyone], dtype=np.int64)
-    linked = np.zeros(len(everyone), np.int64)
-    part = np.arange(len(everyone))
+    a, b = chunks[0].tree, chunks[-1].tree
+    offset = 0 if second is None else len(first.classes)
+    classes = np.concatenate([c.classes for c in chunks])
+    weight = np.concatenate([c.weights for c in chunks])
+    linked = np.zeros(len(classes), np.int64)
+    part = np.arange(len(classes))
 
     def find(x: int) -> int:
         while part[x] != x:
@@ -239,20 +251,26 @@ def unit_links(first: list[tuple], second: list[tuple] | None, cosine: float = C
             np.add.at(linked, gy, weight[gx])
             unite(gx, gy)
     for k in np.flatnonzero(linked).tolist():
-        yield everyone[k][0], int(linked[k]), everyone[find(k)][0]
+        yield int(classes[k]), int(linked[k]), int(classes[find(k)])
+
+
+_CHUNK = pa.schema([("cell", pa.int32()), ("chunk", pa.int32()), ("grown", pa.binary())])
+
+
+def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``cell, chunk, class, weight, vector`` sorted by chunk: each chunk with its tree."""
+    def rows():
+        for (cell, chunk), run in itertools.groupby(rows_of(batches), key=lambda r: r[:2]):
+            yield cell, chunk, pickle.dumps(Chunk([row[2:] for row in run]), pickle.HIGHEST_PROTOCOL)
+    return batches_of(rows(), _CHUNK, 1)
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``cell a, chunk a, cell b, chunk b, side, class, weight, vector`` sorted by unit and side."""
+    """Rows ``cell a, chunk a, cell b, chunk b, side, chunk with tree`` sorted by unit and side."""
     def rows():
-        for unit, run in itertools.groupby(rows_of(batches), key=lambda r: r[:4]):
-            sides: list[list[tuple]] = [[], []]
-            for row in run:
-                sides[row[4]].append(row[5:])
-            if unit[:2] == unit[2:]:
-                yield from unit_links(sides[0], None)
-            elif sides[0] and sides[1]:
-                yield from unit_links(sides[0], sides[1])
+        for _, run in itertools.groupby(rows_of(batches), key=lambda r: r[:4]):
+            grown = [pickle.loads(row[5]) for row in run]  # one chunk: with itself
+            yield from unit_links(grown[0], grown[1] if len(grown) > 1 else None)
     return batches_of(rows(), _ROW)
 
 
@@ -332,22 +350,22 @@ def _links_of(classes: DataFrame) -> DataFrame:
     partners = spark.createDataFrame([(a, b, chunks[a], chunks[b]) for a, b in pairs],
                                      "a int, b int, na int, nb int")
     number = F.coalesce(*[F.when(F.col("cell") == c, F.lit(n)) for c, n in chunks.items()])
-    member = dealt.drop("off").withColumn("chunk", F.pmod(F.xxhash64("class"), number).cast("int"))
+    member = dealt.withColumn("chunk", F.pmod(F.xxhash64("class"), number).cast("int"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = sum(chunks.values())
+    grown = store(member.select("cell", "chunk", "class", "weight", "unit")
+                  .repartition(max(1, min(count, max(tasks, count // 64))), "cell", "chunk")
+                  .sortWithinPartitions("cell", "chunk", "class")
+                  .mapInArrow(_grow, "cell int, chunk int, grown binary"), "vector-chunks")
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    as_a = (member.join(partners, member.cell == partners.a)
-            .withColumn("other", F.explode(span("nb")))
-            .where("a != b or chunk <= other")
-            .select("a", F.col("chunk").alias("ca"), "b", F.col("other").alias("cb"), F.lit(0).alias("side"),
-                    "class", "weight", "unit"))
-    as_b = (member.join(partners, member.cell == partners.b)
-            .withColumn("other", F.explode(span("na")))
-            .where("a != b or other < chunk")
-            .select("a", F.col("other").alias("ca"), "b", F.col("chunk").alias("cb"), F.lit(1).alias("side"),
-                    "class", "weight", "unit"))
-    units = sum(chunks[a] * chunks[b] if a != b else chunks[a] * (chunks[a] + 1) // 2 for a, b in pairs)
-    parts = max(1, min(units, max(int(spark.conf.get("spark.sql.shuffle.partitions")), units // 64)))
-    return (as_a.union(as_b).repartition(parts, "a", "ca", "b", "cb")
-            .sortWithinPartitions("a", "ca", "b", "cb", "side", "class")
+    units = (partners.withColumn("ca", F.explode(span("na"))).withColumn("cb", F.explode(span("nb")))
+             .where("a != b or ca <= cb").select("a", "ca", "b", "cb"))
+    as_a = units.join(grown, (F.col("a") == F.col("cell")) & (F.col("ca") == F.col("chunk")))
+    as_b = units.where("a != b or ca != cb").join(grown, (F.col("b") == F.col("cell")) & (F.col("cb") == F.col("chunk")))
+    sides = [df.select("a", "ca", "b", "cb", F.lit(k).alias("side"), "grown") for k, df in enumerate((as_a, as_b))]
+    parts = sum(chunks[a] * chunks[b] if a != b else chunks[a] * (chunks[a] + 1) // 2 for a, b in pairs)
+    return (sides[0].union(sides[1]).repartition(max(1, min(parts, max(tasks, parts // 64))), "a", "ca", "b", "cb")
+            .sortWithinPartitions("a", "ca", "b", "cb", "side")
             .mapInArrow(_links, "a long, n long, b long"))
 
 

@@ -64,9 +64,9 @@ def test_cover_tree_counts_every_link(spread):
     cos = x @ x.T
     members = [(i, int(w[i]), x[i]) for i in range(150)]
     want = ((cos >= 0.9) * w[None, :]).sum(axis=1) - w
-    got = {c: n for c, n, _ in V.unit_links(members, None)}
+    got = {c: n for c, n, _ in V.unit_links(V.Chunk(members), None)}
     assert [got.get(i, 0) for i in range(150)] == want.tolist()
-    two = {c: n for c, n, _ in V.unit_links(members[:70], members[70:])}
+    two = {c: n for c, n, _ in V.unit_links(V.Chunk(members[:70]), V.Chunk(members[70:]))}
     cross = ((cos[:70, 70:] >= 0.9) * w[None, 70:]).sum(axis=1).tolist() + ((cos[70:, :70] >= 0.9) * w[None, :70]).sum(
         axis=1).tolist()
     assert [two.get(i, 0) for i in range(150)] == cross
