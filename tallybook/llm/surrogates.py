@@ -8,8 +8,8 @@ family name).
 A replacement depends on the key, the kind and the entity in normal form alone,
 so all mentions of an entity, in any document, get the same one.  It keeps the
 format: digits stay digits where they were, letters stay letters of the same
-case and script, card numbers that passed the check-digit test still do, names
-keep gender and number of words.  Digits and letters are permuted by a keyed
+case and script, card and account numbers that passed the check-digit test
+still do, names keep gender and number of words.  Digits and letters are permuted by a keyed
 Feistel cipher over all characters of one alphabet, which is one-to-one, so
 different entities of one format stay different.  Names are spelled from the
 cipher of their letters' digest; ``surrogate_clashes`` counts replacements that
@@ -20,7 +20,6 @@ until there are none.
 from __future__ import annotations
 
 import hashlib
-import hmac
 import re
 import string
 import unicodedata
@@ -79,8 +78,9 @@ _ENTITY = re.compile("|".join((
 _HINT = re.compile(rf"[@\d]|\b(?:{'|'.join(map(re.escape, [*_TITLE, *_GENDER]))})\b|(?i:passw|pwd|token|secret|key)")
 
 
-def _digest(key: str, *parts: str) -> int:
-    return int.from_bytes(hmac.new(key.encode(), "\x1f".join(parts).encode(), hashlib.sha256).digest()[:16], "big")
+def _digest(size: int, key: str, *parts: str) -> int:
+    """Keyed digest of ``size`` bytes as a number."""
+    return int.from_bytes(hashlib.shake_256("\x1f".join((key, *parts)).encode()).digest(size), "big")
 
 
 def permute(value: int, size: int, key: str, tweak: str) -> int:
@@ -88,11 +88,11 @@ def permute(value: int, size: int, key: str, tweak: str) -> int:
     if size < 2:
         return value
     side = max(1, (size - 1).bit_length() + 1 >> 1)
-    mask = (1 << side) - 1
+    mask, width = (1 << side) - 1, (side + 7) // 8
     while True:
         left, right = value >> side, value & mask
         for r in range(ROUNDS):
-            left, right = right, left ^ (_digest(key, tweak, str(r), str(right)) & mask)
+            left, right = right, left ^ (_digest(width, key, tweak, str(r), f"{right:x}") & mask)
         value = left << side | right
         if value < size:
             return value
@@ -142,6 +142,11 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+def iban_check(country: str, body: str) -> str:
+    """The two check digits that make ``country``, digits, ``body`` a valid account number."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
+
+
 def _regrouped(template: str, characters: str) -> str:
     """``characters`` in the places of the letters and digits of ``template``."""
     source = iter(characters)
@@ -161,7 +166,7 @@ def _spelled(word: str, key: str, kind: str, gender: str) -> str:
     """A name of the same script and case, one for each word in lower case."""
     script = script_of(word)
     syllables = SYLLABLES[script].split()
-    value = _digest(key, kind, gender, word.lower()) >> 88  # 40 bits: eight syllables at most
+    value = _digest(5, key, kind, gender, word.lower())  # 40 bits: eight syllables at most
     out = ""
     while value:
         value, at = divmod(value, len(syllables))
@@ -193,6 +198,9 @@ def surrogate(kind: str, text: str, key: str = KEY, gender: str = "n") -> str:
     if kind == "ssn":
         return _regrouped(text, permute_text(plain, key, kind))
     if kind == "iban":
+        if iban_check(plain[:2], plain[4:]) == plain[2:4]:
+            body = permute_text(plain[4:], key, f"valid{kind}{plain[:2]}")
+            return _regrouped(text, plain[:2] + iban_check(plain[:2], body) + body)
         return _regrouped(text, plain[:2] + permute_text(plain[2:], key, kind + plain[:2]))
     if kind == "secret":
         head = re.match(r"(?:AKIA|ASIA)|[^=:]*[=:]\s*", text)[0]

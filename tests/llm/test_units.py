@@ -124,6 +124,12 @@ def test_permutation_is_one_to_one_and_surrogates_keep_format():
             assert S.luhn(made.replace(" ", "")) == 0
     assert S.replace(text) == (new, found)
     assert S.replace("nothing here") == ("nothing here", []) and S.replace(None) == (None, [])
+    made = S.surrogate("iban", "GB82 WEST 1234 5698 7654 32")
+    assert made[:2] == "GB" and made != "GB82 WEST 1234 5698 7654 32" and [len(w) for w in made.split()] == [4] * 5 + [2]
+    assert S.iban_check("GB", made.replace(" ", "")[4:]) == made[2:4]
+    secret = "password=" + "aZ9" * 60  # every part of a long one changes
+    made = S.surrogate("secret", secret)
+    assert len(made) == len(secret) and all(made[k:k + 12] != secret[k:k + 12] for k in range(9, len(secret) - 12, 12))
     assert S.surrogate("email", "A@B.com") == S.surrogate("email", "a@b.COM")
 
 
