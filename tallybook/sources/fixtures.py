@@ -215,7 +215,7 @@ class Ledger:
 
     @stored
     def t_payment(self) -> DataFrame:
-        t = self.t_transaction.where(F.col("transaction_id") % 9 == 0)
+        t = self.t_transaction
         k, name = F.col("transaction_id"), F.col("account_name_owner")
         return t.select(
             k.alias("payment_id"), name.alias("account_name_owner"),
@@ -228,7 +228,7 @@ class Ledger:
 
     @stored
     def t_transfer(self) -> DataFrame:
-        li = self.source("lineitem").where(F.col("l_linenumber") == 1)
+        li = self.source("lineitem")
         k = F.col("l_orderkey")
         return li.select(
             k.alias("transfer_id"), _key_name("customer_", "l_suppkey", 9).alias("source_account"),
@@ -241,7 +241,7 @@ class Ledger:
 
     @stored
     def t_validation_amount(self) -> DataFrame:
-        e = self.source("events").where(F.col("event_id") % 4 == 0)
+        e = self.source("events")
         et = F.col("event_type")
         return e.select(
             F.col("event_id").alias("validation_id"), F.col("user_id").alias("account_id"),
@@ -252,7 +252,7 @@ class Ledger:
 
     @stored
     def t_pending_transaction(self) -> DataFrame:
-        e = self.source("events").where(F.col("event_id") % 4 == 1)
+        e = self.source("events")
         k = F.col("event_id")
         return e.select(
             k.alias("pending_transaction_id"),
@@ -286,7 +286,7 @@ class Ledger:
 
     @stored
     def t_family_member(self) -> DataFrame:
-        c = self.source("customer").where(F.col("c_custkey") % 3 == 0)
+        c = self.source("customer")
         k = F.col("c_custkey")
         return c.select(
             k.alias("family_member_id"), _owner("c_nationkey").alias("owner"),
