@@ -285,7 +285,8 @@ def fused_row_violations(df: DataFrame, table: str, rules, key_cols, as_of=None)
     is exploded into one output row per (row, rule).
     """
     def detail(r: Rule) -> Column:
-        cols = [c for c in r.columns if df.schema[c].dataType.typeName() != "binary"]
+        # bytes are shown by their length only; where the rule is NOT NULL there are none
+        cols = [c for c in r.columns if r.kind == "not_null" or df.schema[c].dataType.typeName() != "binary"]
         return _detail(cols) if cols else F.concat(
             F.lit("bytes="), X.byte_length(r.columns[0]).cast("string"))
 

@@ -204,6 +204,7 @@ LEGACY_RULES = [
     _uq("t_description_description_name_key", "t_description", "description_name"),
     _uq("transaction_constraint", "t_transaction", "account_name_owner", "transaction_date",
         "description", "category", "amount", "notes"),
+    _uq("payment_constraint", "t_payment", "account_name_owner", "transaction_date", "amount"),
     _uq("payment_constraint_destination", "t_payment", "destination_account",
         "transaction_date", "amount"),
     _uq("transfer_constraint", "t_transfer", "source_account", "destination_account",
@@ -220,6 +221,8 @@ LEGACY_RULES = [
         ("description_name",)),
     _fk("fk_legacy_pending_account", "t_pending_transaction", ("account_name_owner",),
         "t_account", ("account_name_owner",)),
+    _fk("fk_account_name_owner", "t_payment", ("account_name_owner",), "t_account",
+        ("account_name_owner",)),
     _fk("fk_legacy_payment_source_account", "t_payment", ("source_account",), "t_account",
         ("account_name_owner",)),
     _fk("fk_legacy_payment_destination_account", "t_payment", ("destination_account",),

@@ -73,8 +73,8 @@ def _head(r: Rule) -> str:
 
 
 def violation_sql(r: Rule, table_cols: list[str], key_cols, as_of: str | None,
-                  source: str | None = None) -> str:
-    src = source or r.table
+                  prefix: str = "") -> str:
+    src = prefix + r.table
     keys = [c for c in key_cols if c in table_cols] or table_cols[:1]
     if r.kind == "unique":
         nn = " and ".join(f"{c} is not null" for c in r.columns)
@@ -84,7 +84,7 @@ def violation_sql(r: Rule, table_cols: list[str], key_cols, as_of: str | None,
                 f"having count(*) > 1) d")
     if r.kind == "foreign_key":
         return (f"{_head(r)}, {key_sql(keys)} as key, {detail_sql(r.columns)} as detail "
-                f"from {src} c where {fk_orphan_where(r, 'c')}")
+                f"from {src} c where {fk_orphan_where(r, 'c', prefix)}")
     if r.kind == "max_bytes":
         detail = f"'bytes=' || cast(octet_length({r.columns[0]}) as varchar)"
     else:
@@ -93,14 +93,14 @@ def violation_sql(r: Rule, table_cols: list[str], key_cols, as_of: str | None,
             f"where {violated_sql(r, as_of)}")
 
 
-def fk_orphan_where(r: Rule, alias: str) -> str:
+def fk_orphan_where(r: Rule, alias: str, prefix: str = "") -> str:
     nn = " and ".join(f"{alias}.{c} is not null" for c in r.columns)
     match = " and ".join(f"p.{pc} = {alias}.{c}" for c, pc in zip(r.columns, r.ref_columns))
-    return f"{nn} and not exists (select 1 from {r.ref_table} p where {match})"
+    return f"{nn} and not exists (select 1 from {prefix}{r.ref_table} p where {match})"
 
 
-def count_sql(r: Rule, as_of: str | None, source: str | None = None) -> str:
-    src = source or r.table
+def count_sql(r: Rule, as_of: str | None, prefix: str = "") -> str:
+    src = prefix + r.table
     head = f"select '{r.name}' as rule, '{r.table}' as \"table\", '{r.severity}' as severity"
     if r.kind == "unique":
         nn = " and ".join(f"{c} is not null" for c in r.columns)
@@ -108,5 +108,5 @@ def count_sql(r: Rule, as_of: str | None, source: str | None = None) -> str:
         return (f"{head}, count(*) as violations from (select {cols} from {src} where {nn} "
                 f"group by {cols} having count(*) > 1) d")
     if r.kind == "foreign_key":
-        return f"{head}, count(*) as violations from {src} c where {fk_orphan_where(r, 'c')}"
+        return f"{head}, count(*) as violations from {src} c where {fk_orphan_where(r, 'c', prefix)}"
     return f"{head}, count(*) filter (where {violated_sql(r, as_of)}) as violations from {src}"

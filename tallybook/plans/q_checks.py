@@ -7,39 +7,29 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..operators import checks as C
+from ..sources import complete
+from ..sources.complete import CompleteLedger
 from ..sources.fixtures import FIXTURE_COLUMNS
 from . import catalog as K
 from . import integrity as I
 from . import oracle_checks as O
+from .oracle_fixtures import FULL
 from .registry import PARAMS as P
 from .registry import register
 
 AS_OF_DATE = P["as_of"]
 
 
-def _lacks(r) -> str:
-    """What a rule needs that the fixtures do not hold."""
-    gone = []
-    for table, columns in ((r.table, r.columns), (r.ref_table, r.ref_columns)):
-        if table is not None and table not in FIXTURE_COLUMNS:
-            gone.append(table)
-        elif table is not None:
-            gone += [f"{table}.{c}" for c in columns if c not in FIXTURE_COLUMNS[table]]
-    return ", ".join(gone)
+def _columns(table):
+    return complete.columns(table) if table in complete.COLUMNS else FIXTURE_COLUMNS[table]
 
 
 def _violation_sql(r, as_of):
-    if gone := _lacks(r):
-        return (f"select '{r.name}' as rule, '{r.table}' as \"table\", cast(null as varchar) as key, "
-                f"'not evaluated: {gone} missing' as detail")
-    return O.violation_sql(r, FIXTURE_COLUMNS[r.table], _key_cols(r.table), as_of)
+    return O.violation_sql(r, _columns(r.table), _key_cols(r.table), as_of, FULL)
 
 
 def _count_sql(r, as_of):
-    if _lacks(r):
-        return (f"select '{r.name}' as rule, '{r.table}' as \"table\", 'error' as severity, "
-                f"cast(null as bigint) as violations")
-    return O.count_sql(r, as_of)
+    return O.count_sql(r, as_of, FULL)
 
 
 def _key_cols(table):
@@ -50,14 +40,14 @@ def register_violations(name: str, rules, as_of: str | None = None):
     rules = list(rules)
     sql = "\nunion all\n".join(_violation_sql(r, as_of) for r in rules)
     keys = {r.table: _key_cols(r.table) for r in rules}
-    register(name, sql)(lambda lg: C.violations(lg, rules, keys, as_of=as_of))
+    register(name, sql)(lambda lg: C.violations(CompleteLedger(lg), rules, keys, as_of=as_of))
     return rules
 
 
 def register_summary(name: str, rules, as_of: str | None = None):
     rules = list(rules)
     sql = "\nunion all\n".join(_count_sql(r, as_of) for r in rules)
-    register(name, sql)(lambda lg: C.summary(lg, rules, as_of=as_of))
+    register(name, sql)(lambda lg: C.summary(CompleteLedger(lg), rules, as_of=as_of))
     return rules, sql
 
 
@@ -96,7 +86,7 @@ from (select count(*) filter (where coalesce(violations, 1) > 0 and severity = '
              count(*) filter (where coalesce(violations, 1) > 0 and severity = 'warning') as warnings,
              count(*) filter (where violations = 0) as passed
       from ({SUMMARY_SQL}) s) v
-""")(lambda lg: C.verdict(C.summary(lg, _summary_rules, as_of=AS_OF_DATE)))
+""")(lambda lg: C.verdict(C.summary(CompleteLedger(lg), _summary_rules, as_of=AS_OF_DATE)))
 
 # -- backup-validation checks -----------------------------------------------------
 register("orphan_transaction_categories", """

@@ -1,3 +1,7 @@
+from tallybook.operators import checks as C
+from tallybook.plans import catalog as K
+from tallybook.sources import complete
+from tallybook.sources import schemas as S
 from tallybook.sources.fixtures import FIXTURE_COLUMNS, LEDGER_TABLES
 
 
@@ -18,3 +22,18 @@ def test_dimension_keys_are_dense(ledger):
     assert (d[0], d[1]) == (1, d[2])
     c = ledger.t_category.agg(F.min("category_id"), F.max("category_id"), F.count("*")).first()
     assert (c[0], c[1]) == (0, c[2] - 1)
+
+
+def test_complete_tables_have_every_declared_column(ledger):
+    full = complete.CompleteLedger(ledger)
+    for name, schema in S.SCHEMAS.items():
+        df = getattr(full, name)
+        assert df.columns[:len(schema.names)] == schema.names, name
+        for f in schema.fields:
+            wider = complete.WIDER.get((name, f.name))
+            assert df.schema[f.name].dataType.simpleString() == (wider or f.dataType.simpleString()), (name, f.name)
+
+
+def test_every_rule_of_the_catalogue_can_run(ledger):
+    able, unable = C._split(complete.CompleteLedger(ledger), list(K.BY_NAME.values()))
+    assert not unable and len(able) == len(K.BY_NAME)
