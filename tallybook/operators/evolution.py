@@ -74,14 +74,24 @@ def extend_domain_check(df: DataFrame, table: str, rule_name: str, column: str,
 
 
 # Renames between the Oracle / test dialects and the final schema.
+VARIANT_TABLE_RENAMES = {"t_parm": "t_parameter"}
 VARIANT_COLUMN_RENAMES = {
     "oracle": {"t_receipt_image": {"jpg_image": "image"},
+               "t_category": {"category": "category_name"},
+               "t_description": {"description": "description_name"},
                "t_parm": {"parm_id": "parameter_id", "parm_name": "parameter_name",
                           "parm_value": "parameter_value"}},
-    "test": {"t_medical_expense": {"medical_provider_id": "provider_id",
+    "test": {"t_medical_provider": {"medical_provider_id": "provider_id",
+                                    "provider_address": "address_line1",
+                                    "provider_phone_number": "phone", "provider_email": "email"},
+             "t_medical_expense": {"medical_provider_id": "provider_id",
                                    "expense_date": "service_date", "amount": "billed_amount",
-                                   "description": "service_description"}},
+                                   "description": "service_description",
+                                   "insurance_claim_id": "claim_number",
+                                   "out_of_pocket_amount": "patient_responsibility"}},
 }
+# columns of a dialect that are joined by a space into one
+VARIANT_JOINED = {"test": {"t_family_member": {"member_name": ("first_name", "last_name")}}}
 VARIANT_DROPPED = {"oracle": {"t_account": ("totals", "totals_balanced"),
                               "t_transaction": ("reoccurring",)}}
 REOCCURRING_RENAMES = {"bi-annually": "biannually", "every_two_weeks": "fortnightly"}
@@ -91,7 +101,9 @@ FLAG_COLUMNS = ("active_status", "reoccurring")
 def conform_variant(df: DataFrame, dialect: str, table: str) -> DataFrame:
     """Map a table of an older dialect to the final shape: CHAR(1) '1'/'0'
     flags become BOOLEAN, renamed recurrence types and columns are mapped,
-    retired columns are dropped."""
+    retired columns are dropped, and what is left has the declared types
+    (``NUMERIC(8,2)`` becomes ``NUMERIC(12,2)``) in the declared order, with
+    columns unknown to the schema last."""
     out = df
     for c in FLAG_COLUMNS:
         if c in out.columns and out.schema[c].dataType == T.StringType():
@@ -104,6 +116,10 @@ def conform_variant(df: DataFrame, dialect: str, table: str) -> DataFrame:
     for old, new in VARIANT_COLUMN_RENAMES.get(dialect, {}).get(table, {}).items():
         if old in out.columns:
             out = out.withColumnRenamed(old, new)
-    for c in VARIANT_DROPPED.get(dialect, {}).get(table, ()):
-        out = out.drop(c)
-    return out
+    for new, parts in VARIANT_JOINED.get(dialect, {}).get(table, {}).items():
+        if all(c in out.columns for c in parts):
+            out = out.withColumn(new, F.concat_ws(" ", *parts)).drop(*parts)
+    out = out.drop(*VARIANT_DROPPED.get(dialect, {}).get(table, ()))
+    schema = S.SCHEMAS[VARIANT_TABLE_RENAMES.get(table, table)]
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in out.columns],
+                      *[c for c in out.columns if c not in schema.names])

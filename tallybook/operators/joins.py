@@ -8,7 +8,9 @@ partitions.  The only explicit broadcasts here are of 1-row aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +31,24 @@ def left_join_orphans(child: DataFrame, parent: DataFrame, child_key: str,
     return child.join(p, F.col(child_key) == F.col("_tb_pk"), "left_anti")
 
 
+def spread_nulls(left: DataFrame, left_keys: list[str], right: DataFrame,
+                 right_keys: list[str]) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a join column that spreads left rows with a NULL key over
+    all partitions (they match nothing, but would all hash to one partition),
+    and the join condition.  Equal keys have equal join columns; where the key
+    types differ the sides are left as they are."""
+    on = reduce(lambda a, b: a & b, [F.col(a) == F.col(b)
+                                     for a, b in zip(left_keys, right_keys, strict=True)])
+    if any(left.schema[a].dataType != right.schema[b].dataType
+           for a, b in zip(left_keys, right_keys)):
+        return left, right, on
+    null = reduce(lambda a, b: a | b, [F.col(a).isNull() for a in left_keys])
+    left = left.withColumn("_tb_at", F.when(null, F.xxhash64(*left.columns))
+                           .otherwise(F.xxhash64(*left_keys)))
+    right = right.withColumn("_tb_to", F.xxhash64(*right_keys))
+    return left, right, on & (F.col("_tb_at") == F.col("_tb_to"))
+
+
 def in_subquery_flag(df: DataFrame, key: str, sub: DataFrame, sub_key: str,
                      flag: str) -> DataFrame:
     """Add ``flag`` = ``key IN (SELECT sub_key FROM sub)`` for positive use
@@ -42,9 +62,10 @@ def in_subquery_flag(df: DataFrame, key: str, sub: DataFrame, sub_key: str,
     """
     keys = (sub.select(F.col(sub_key).alias("_tb_sq_key")).where(F.col("_tb_sq_key").isNotNull())
             .distinct().withColumn("_tb_sq_hit", F.lit(True)))
-    return (df.join(keys, F.col(key) == F.col("_tb_sq_key"), "left")
+    left, keys, on = spread_nulls(df, [key], keys, ["_tb_sq_key"])
+    return (left.join(keys, on, "left")
             .withColumn(flag, F.coalesce(F.col("_tb_sq_hit"), F.lit(False)))
-            .drop("_tb_sq_key", "_tb_sq_hit"))
+            .drop("_tb_sq_key", "_tb_sq_hit", "_tb_at", "_tb_to"))
 
 
 def not_in(outer: DataFrame, key: str, inner: DataFrame, inner_key: str) -> DataFrame:
@@ -70,11 +91,20 @@ def not_in(outer: DataFrame, key: str, inner: DataFrame, inner_key: str) -> Data
             .drop("_tb_n", "_tb_nulls"))
 
 
-def cross_join_scalars(*one_row: DataFrame) -> DataFrame:
+def one_row(df: DataFrame) -> DataFrame:
+    """``df`` if it has at most one row; more rows fail the job.  An aggregate
+    without keys, so what is broadcast is one row whatever the caller passes."""
+    held = df.agg(F.count(F.lit(1)).alias("_tb_rows"), *[F.first(c).alias(c) for c in df.columns])
+    return held.where(F.when(F.col("_tb_rows") > 1,
+                             F.raise_error(F.lit("more than one row")).cast("boolean"))
+                      .otherwise(F.col("_tb_rows") == 1)).drop("_tb_rows")
+
+
+def cross_join_scalars(*scalars: DataFrame) -> DataFrame:
     """Cartesian product of 1-row aggregates (``FROM (..) A, (..) B``)."""
-    out = one_row[0]
-    for df in one_row[1:]:
-        out = out.crossJoin(F.broadcast(df))
+    out = one_row(scalars[0])
+    for df in scalars[1:]:
+        out = out.crossJoin(F.broadcast(one_row(df)))
     return out
 
 
@@ -115,5 +145,7 @@ def scalar_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
     """Correlated scalar subquery ``(SELECT value FROM lookup WHERE k = key)``
     as a left join; NULL when no row matches.  Two matches raise, as the
     subquery would."""
-    sub = assert_unique(lookup.where(F.col(lookup_key).isNotNull()), [lookup_key]).select(F.col(lookup_key).alias("_tb_lk"), F.col(value).alias(alias))
-    return df.join(sub, F.col(key) == F.col("_tb_lk"), "left").drop("_tb_lk")
+    sub = assert_unique(lookup.where(F.col(lookup_key).isNotNull()), [lookup_key]).select(
+        F.col(lookup_key).alias("_tb_lk"), F.col(value).alias(alias))
+    left, sub, on = spread_nulls(df, [key], sub, ["_tb_lk"])
+    return left.join(sub, on, "left").drop("_tb_lk", "_tb_at", "_tb_to")

@@ -84,7 +84,7 @@ def store_grand_total(acct: DataFrame, grand_total: DataFrame, target: str,
     their value (NULL where the column is new)."""
     if column not in acct.columns:
         acct = acct.withColumn(column, F.lit(None).cast(S.MONEY_SUM))
-    with_total = acct.crossJoin(F.broadcast(grand_total.select(F.col("totals").alias("_tb_gt"))))
+    with_total = acct.crossJoin(F.broadcast(J.one_row(grand_total.select(F.col("totals").alias("_tb_gt")))))
     return with_total.withColumn(
         column, F.when(F.col("account_name_owner") == target, F.col("_tb_gt"))
         .otherwise(F.col(column)).cast(S.MONEY_SUM)).drop("_tb_gt")
@@ -337,9 +337,8 @@ def cascade_update(child: DataFrame, child_cols: list[str], mapping: DataFrame,
         *[F.col(o).alias(f"_tb_o{i}") for i, o in enumerate(old_cols)],
         *[F.col(n).alias(f"_tb_n{i}") for i, n in enumerate(new_cols)],
         F.lit(True).alias("_tb_hit"))
-    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_o{i}")
-                                       for i, c in enumerate(child_cols)])
-    out = child.join(m, cond, "left")
+    left, m, cond = J.spread_nulls(child, child_cols, m, [f"_tb_o{i}" for i in range(len(child_cols))])
+    out = left.join(m, cond, "left")
     for i, c in enumerate(child_cols):
         out = out.withColumn(c, F.when(F.col("_tb_hit"), F.col(f"_tb_n{i}")).otherwise(F.col(c)))
     return out.select(*child.columns)

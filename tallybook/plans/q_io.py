@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..sources import io as IO
+from ..sources import schemas as S
+from ..sources.complete import CompleteLedger
+from .registry import PARAMS as P
 from .registry import register
 
 # Tables carried by the migration job, in dependency order (fixture subset).
@@ -39,6 +44,30 @@ register("migrate_tables", "\nunion all\n".join(
     _migrate)
 
 
+# The whole migration of the reference: every declared column, optional tables, one of
+# them absent, the truncate flags of the schema, and the reference checked after the load.
+_PRESENT = [t for t in (*S.STANDARD_TABLES, *S.OPTIONAL_TABLES) if t != "t_token_blacklist"]
+_RECEIPT_REFERENCE = ("fk_receipt_image", "t_transaction", "receipt_image_id", "t_receipt_image", "receipt_image_id")
+
+
+def _migrate_ledger(lg):
+    full = CompleteLedger(lg)
+    tables = {t: getattr(full, t) for t in _PRESENT}
+    return IO.migrate_tables(lg.spark, tables, S.STANDARD_TABLES, IO.staging_dir(lg.spark, "target"),
+                             truncate=S.TRUNCATE_BEFORE_LOAD, optional=S.OPTIONAL_TABLES,
+                             columns={t: S.SCHEMAS[t].names for t in _PRESENT}, references=[_RECEIPT_REFERENCE])
+
+
+register("migrate_ledger", "\nunion all\n".join(
+    [f"select {i} as step, '{t}' as table_name, count(*) as source_rows, count(*) as extract_rows, "
+     f"count(*) as loaded_rows, 'ok' as status from full_{t}" for i, t in enumerate(_PRESENT, 1)]
+    + ["select 15, 't_token_blacklist', null, 0, null, 'absent'",
+       "select 16, 'fk_receipt_image', null, null, null, case when count(*) = 0 then 'ok' else "
+       "cast(count(*) as varchar) || ' rows without parent' end from full_t_transaction t where receipt_image_id is not null "
+       "and not exists (select 1 from full_t_receipt_image r where r.receipt_image_id = t.receipt_image_id)"]))(
+    _migrate_ledger)
+
+
 def _extract(lg):
     df = lg.t_account
     path = IO.staging_dir(lg.spark, "extract")
@@ -99,11 +128,12 @@ select count(*) as row_count, cast(0 as bigint) as exported_rows from t_token_bl
 # The provider rows the schema seeds on creation.
 SEED_PROVIDERS = [
     {"provider_name": "unknown_provider", "provider_type": "general", "network_status": "unknown"},
-    {"provider_name": "pharmacy_generic", "provider_type": "pharmacy", "network_status": "unknown"},
+    {"provider_name": "pharmacy_generic", "provider_type": "pharmacy", "specialty": "retail_pharmacy",
+     "network_status": "unknown"},
     {"provider_name": "urgent_care_generic", "provider_type": "urgent_care",
      "network_status": "unknown"},
     {"provider_name": "hospital_generic", "provider_type": "hospital", "network_status": "unknown"},
-    {"provider_name": "laboratory_generic", "provider_type": "laboratory",
+    {"provider_name": "laboratory_generic", "provider_type": "laboratory", "specialty": "general_lab",
      "network_status": "unknown"},
 ]
 
@@ -117,17 +147,39 @@ from (values (1, 'unknown_provider', 'general', 'unknown'), (2, 'pharmacy_generi
     lambda lg: IO.seed_rows(lg.t_medical_provider, SEED_PROVIDERS, id_col="provider_id"))
 
 
+def _seed_providers(lg):
+    """The seed rows with all declared columns and defaults."""
+    now = dt.datetime.fromisoformat(P["as_of"])
+    filled = {**S.DEFAULTS["t_medical_provider"], "date_added": now, "date_updated": now}
+    return IO.seed_rows(CompleteLedger(lg).t_medical_provider, [{**filled, **r} for r in SEED_PROVIDERS],
+                        id_col="provider_id")
+
+
+register("seed_providers", f"""
+select * from full_t_medical_provider union all by name
+select m.top + v.ord as provider_id, v.provider_name, v.provider_type, v.specialty, 'US' as country,
+ 'unknown' as network_status, true as active_status, timestamp '{P["as_of"]}' as date_added,
+ timestamp '{P["as_of"]}' as date_updated
+from (values (1, 'unknown_provider', 'general', null), (2, 'pharmacy_generic', 'pharmacy', 'retail_pharmacy'),
+ (3, 'urgent_care_generic', 'urgent_care', null), (4, 'hospital_generic', 'hospital', null),
+ (5, 'laboratory_generic', 'laboratory', 'general_lab')) v(ord, provider_name, provider_type, specialty),
+ (select coalesce(max(provider_id), 0) as top from full_t_medical_provider) m""")(_seed_providers)
+
+
 
 def _export(lg):
     df = lg.t_account
     path = IO.staging_dir(lg.spark, "export-account")
     IO.export_csv(df, path, columns=["account_id", "account_name_owner", "account_type",
                                      "active_status", "owner"], order_by=["account_id"])
-    return lg.spark.read.option("header", "true").csv(path).select(
-        F.count(F.lit(1)).alias("exported_rows"))
+    # the lines of the extract as text; every part repeats the header, and the ids make all other lines different
+    return lg.spark.read.text(path).select(F.col("value").alias("line")).distinct()
 
 
-register("export_csv", "select count(*) as exported_rows from t_account")(_export)
+register("export_csv", """
+select 'account_id,account_name_owner,account_type,active_status,owner' as line union all
+select concat_ws(',', cast(account_id as varchar), account_name_owner, account_type, cast(active_status as varchar), owner)
+from t_account""")(_export)
 
 
 def _import(lg):

@@ -334,3 +334,51 @@ from (select transaction_id, account_type,
             F.lit("1").alias("reoccurring")),
         "oracle", "t_transaction"))
 
+
+
+def _narrow(c):
+    return F.col(c).cast(S.MONEY_NARROW).alias(c)
+
+
+register("conform_variant_test_provider", """
+select provider_id, provider_name, concat(cast(provider_id as varchar), ' main street') as address_line1, phone,
+ concat(provider_name, '@example.org') as email from t_medical_provider""")(
+    lambda lg: V.conform_variant(lg.t_medical_provider.select(
+        F.concat("provider_name", F.lit("@example.org")).alias("provider_email"),
+        F.col("phone").alias("provider_phone_number"),
+        F.concat(F.col("provider_id").cast("string"), F.lit(" main street")).alias("provider_address"),
+        "provider_name", F.col("provider_id").alias("medical_provider_id")), "test", "t_medical_provider"))
+
+register("conform_variant_test_family", """
+select family_member_id, concat(member_name, ' ', relationship) as member_name from t_family_member""")(
+    lambda lg: V.conform_variant(lg.t_family_member.select(
+        "family_member_id", F.col("member_name").alias("first_name"), F.col("relationship").alias("last_name")),
+        "test", "t_family_member"))
+
+register("conform_variant_test_expense", """
+select provider_id, service_date, concat('visit ', cast(provider_id as varchar)) as service_description, billed_amount,
+ patient_responsibility, concat('c', cast(transaction_id as varchar)) as claim_number from t_medical_expense""")(
+    lambda lg: V.conform_variant(lg.t_medical_expense.select(
+        F.col("provider_id").alias("medical_provider_id"), F.col("service_date").alias("expense_date"),
+        _narrow("billed_amount").alias("amount"),
+        F.concat(F.lit("visit "), F.col("provider_id").cast("string")).alias("description"),
+        F.concat(F.lit("c"), F.col("transaction_id").cast("string")).alias("insurance_claim_id"),
+        _narrow("patient_responsibility").alias("out_of_pocket_amount")), "test", "t_medical_expense"))
+
+register("conform_variant_oracle_category", """
+select category_id, category_name, active_status from t_category""")(
+    lambda lg: V.conform_variant(lg.t_category.select(
+        "category_id", F.col("category_name").alias("category"),
+        F.when(F.col("active_status"), "1").otherwise("0").alias("active_status")), "oracle", "t_category"))
+
+register("conform_variant_oracle_parameter", """
+select parameter_id, parameter_name, parameter_value from t_parameter""")(
+    lambda lg: V.conform_variant(lg.t_parameter.select(
+        F.col("parameter_value").alias("parm_value"), F.col("parameter_name").alias("parm_name"),
+        F.col("parameter_id").cast("decimal(38,0)").alias("parm_id")), "oracle", "t_parm"))
+
+register("conform_variant_oracle_receipt", """
+select receipt_image_id, transaction_id, image from t_receipt_image""")(
+    lambda lg: V.conform_variant(lg.t_receipt_image.select(
+        F.col("image").alias("jpg_image"), F.col("transaction_id").cast("decimal(38,0)").alias("transaction_id"),
+        "receipt_image_id"), "oracle", "t_receipt_image"))

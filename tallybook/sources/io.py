@@ -160,41 +160,81 @@ MIGRATION_SCHEMA = T.StructType([
     T.StructField("loaded_rows", T.LongType()), T.StructField("status", T.StringType())])
 
 
+def _rows_at(spark: SparkSession, path: str) -> int:
+    """Rows of a target table; 0 if it does not exist yet."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return 0
+
+
 def migrate_tables(spark: SparkSession, tables, names: Iterable[str], target_dir: str,
-                   truncate: dict[str, bool] | None = None,
-                   staging: str | None = None) -> DataFrame:
+                   truncate: dict[str, bool] | None = None, staging: str | None = None,
+                   optional: Iterable[str] = (), columns: dict[str, list[str]] | None = None,
+                   references: Iterable[tuple[str, str, str, str, str]] = ()) -> DataFrame:
     """Export -> check -> (truncate) load -> read back, per table in the
-    given dependency order; stop at the first failure (later tables are
-    reported as skipped).  Returns one report row per table."""
+    given dependency order; stop at the first failure (later steps are
+    reported as skipped).  Returns one report row per step.
+
+    ``names`` must exist.  A table of ``optional`` that does not gives an empty
+    extract with its declared header, is not loaded and is ``absent``.  A table
+    is emptied before its load only where ``truncate`` says so; otherwise rows
+    are appended, and ``loaded_rows`` counts those of this load.  ``columns``
+    picks the columns of a table's extract.  ``references`` ``(name, child,
+    child key, parent, parent key)`` are checked on the loaded tables at the
+    end; ``status`` gives the number of rows without a parent.
+    """
     staging = staging or staging_dir(spark, "migrate")
-    rows, failed = [], False
-    for i, name in enumerate(names, start=1):
+    needed, rows, failed = list(names), [], False
+    for name in [*needed, *optional]:
+        step = len(rows) + 1
         if failed:
-            rows.append((i, name, None, None, None, "skipped"))
+            rows.append((step, name, None, None, None, "skipped"))
             continue
-        df = _maybe(tables, name)
+        df, extract = _maybe(tables, name), f"{staging}/{name}"
         if df is None:
-            rows.append((i, name, None, None, None, "missing"))
-            failed = True
+            if name in needed:
+                rows.append((step, name, None, None, None, "missing"))
+                failed = True
+            else:
+                rows.append((step, name, None, export_optional(spark, tables, name, extract), None, "absent"))
             continue
-        extract = f"{staging}/{name}"
-        src_n = export_csv(df, extract, order_by=[c for c in S.PRIMARY_KEY.get(name, ())
-                                                  if c in df.columns])
-        chk = check_extract(spark, extract, df.schema, src_n)
-        if chk["status"] != "ok":
-            rows.append((i, name, src_n, chk["rows"], None, chk["status"]))
-            failed = True
-            continue
-        target = f"{target_dir}/{name}"
-        load_mode(import_csv(spark, extract, df.schema), target,
-                  (truncate or {}).get(name, False))
-        loaded = spark.read.parquet(target).count()
-        status = "ok" if loaded == src_n else "count mismatch"
+        if name in (columns or {}):
+            df = df.select(*columns[name])
+        n, extracted, loaded, status = _migrate_one(spark, df, name, extract, f"{target_dir}/{name}",
+                                                    (truncate or {}).get(name, False))
         failed = status != "ok"
-        rows.append((i, name, src_n, chk["rows"], loaded, status))
+        rows.append((step, name, n, extracted, loaded, status))
+    for name, child, child_key, parent, parent_key in references:
+        status = "skipped"
+        if not failed:
+            orphans = _orphans(spark, target_dir, child, child_key, parent, parent_key)
+            failed = orphans > 0
+            status = f"{orphans} rows without parent" if failed else "ok"
+        rows.append((len(rows) + 1, name, None, None, None, status))
     return spark.createDataFrame(rows, MIGRATION_SCHEMA)
 
 
+def _migrate_one(spark: SparkSession, df: DataFrame, name: str, extract: str, target: str, truncate: bool):
+    """(rows exported, rows read back from the extract, rows loaded, status) of one table."""
+    n = export_csv(df, extract, order_by=[c for c in S.PRIMARY_KEY.get(name, ()) if c in df.columns])
+    chk = check_extract(spark, extract, df.schema, n)
+    if chk["status"] != "ok":
+        return n, chk["rows"], None, chk["status"]
+    before = 0 if truncate else _rows_at(spark, target)
+    load_mode(import_csv(spark, extract, df.schema), target, truncate)
+    loaded = _rows_at(spark, target) - before
+    return n, chk["rows"], loaded, "ok" if loaded == n else "count mismatch"
+
+
+def _orphans(spark: SparkSession, target_dir: str, child: str, child_key: str, parent: str, parent_key: str) -> int:
+    keys = spark.read.parquet(f"{target_dir}/{child}").select(F.col(child_key).alias("k")).where("k is not null")
+    have = spark.read.parquet(f"{target_dir}/{parent}").select(F.col(parent_key).alias("k"))
+    return keys.join(have, "k", "left_anti").count()
+
+
 def verify_core_nonempty(tables, required: Iterable[str],
                          optional: Iterable[str] = ()) -> DataFrame:
     """(table_name, row_count, required, status): required tables must have

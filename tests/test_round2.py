@@ -101,3 +101,53 @@ def test_side_totals_are_null_without_rows_and_one_scan(spark):
     t = t.withColumn("amount", F.col("amount").cast("decimal(12,2)"))
     row = R.debits_and_credits({"t_transaction": t}).first()
     assert (float(row.debits), row.credits) == (2.0, None)
+
+
+def test_null_keys_are_spread_and_match_nothing(spark):
+    left = spark.range(0, 4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+    keys = spark.createDataFrame([(0,), (20,), (20,), (None,)], "s long")
+    out = J.in_subquery_flag(left, "k", keys, "s", "hit")
+    assert out.columns == ["id", "k", "hit"]
+    assert sorted(r.id for r in out.where("hit").collect()) == [0, 20]
+    assert out.count() == 4000
+    spread, _, _ = J.spread_nulls(left, ["k"], keys, ["s"])
+    nulls = spread.where("k is null").groupBy(F.expr("pmod(_tb_at, 8)").alias("p")).count().collect()
+    assert len(nulls) == 8 and max(r["count"] for r in nulls) < 2 * 3600 / 8
+    narrow = spark.createDataFrame([(20,)], "s int")  # other key type: joined as it is
+    assert [r.id for r in J.in_subquery_flag(left, "k", narrow, "s", "hit").where("hit").collect()] == [20]
+
+
+def test_scalars_must_be_one_row(spark):
+    one, two = spark.range(1), spark.range(2).withColumnRenamed("id", "n")
+    assert J.cross_join_scalars(one, spark.createDataFrame([], "n long")).count() == 0
+    with pytest.raises(Exception, match="more than one row"):
+        J.cross_join_scalars(one, two).collect()
+
+
+def test_migration_appends_reports_absent_tables_and_checks_the_reference(spark, tmp_path):
+    parent = spark.createDataFrame([(1, "a"), (2, "b")], "receipt_image_id long, t string")
+    child = spark.createDataFrame([(1, 1), (2, None), (3, 9)], "transaction_id long, receipt_image_id long")
+    reference = [("fk", "t_transaction", "receipt_image_id", "t_receipt_image", "receipt_image_id")]
+
+    def run(truncate):
+        rep = IO.migrate_tables(spark, {"t_transaction": child, "t_receipt_image": parent},
+                                ["t_transaction", "t_receipt_image"], str(tmp_path / "target"), truncate=truncate,
+                                optional=["t_token_blacklist"], columns={"t_receipt_image": ["receipt_image_id"]},
+                                references=reference)
+        return [tuple(r)[1:] for r in rep.orderBy("step").collect()]
+
+    expected = [("t_transaction", 3, 3, 3, "ok"), ("t_receipt_image", 2, 2, 2, "ok"),
+                ("t_token_blacklist", None, 0, None, "absent"), ("fk", None, None, None, "1 rows without parent")]
+    assert run(None) == expected
+    again = run({"t_receipt_image": True})  # the first table is appended to, the second emptied first
+    assert again[:3] == expected[:3] and again[3][4] == "2 rows without parent"
+    assert spark.read.parquet(str(tmp_path / "target" / "t_transaction")).count() == 6
+    images = spark.read.parquet(str(tmp_path / "target" / "t_receipt_image"))
+    assert images.columns == ["receipt_image_id"] and images.count() == 2
+
+
+def test_dialect_tables_get_declared_types_and_order(spark):
+    old = spark.createDataFrame([("visit", 1, "5.25")], "description string, medical_provider_id int, amount string")
+    out = E.conform_variant(old, "test", "t_medical_expense")
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [
+        ("provider_id", "bigint"), ("service_description", "string"), ("billed_amount", "decimal(12,2)")]
