@@ -12,10 +12,10 @@ Two outputs:
   offending row (per duplicated key for ``unique``);
 * ``summary(tables, rules)`` -> ``[rule, table, severity, violations]``.
 
-Per table, all row-level rules run in ONE scan, and all uniqueness rules and
-outgoing references share ONE grouping-sets aggregation (map-side combined,
-so a hot key shrinks before the shuffle); references then anti-join the
-pre-aggregated keys with the parents' keys.
+Per table, all row-level rules run in ONE scan.  Each set of key columns is one
+aggregate over those columns (map-side combined, so a hot key shrinks before
+the shuffle), shared by every uniqueness rule and reference on them; references
+then anti-join the pre-aggregated keys with the parents' keys.
 """
 
 from __future__ import annotations
@@ -131,93 +131,49 @@ def _shape(df: DataFrame, rule: Rule, key: Column, detail: Column) -> DataFrame:
 
 
 # -- set-level rules ----------------------------------------------------------------
-def _key_sets_agg(df: DataFrame, key_sets):
-    """GROUPING SETS over several key column sets of ONE table: one scan and
-    one shuffle (map-side combined) serve every uniqueness rule and every
-    outgoing reference of the table.  Returns the aggregate ``g`` (key
-    columns, ``_tb_n`` rows, ``_tb_gid``) and a function giving, for a key
-    set, its grouping id (the groups of that set are the rows with that id
-    and no NULL key column)."""
-    sets: list[tuple[str, ...]] = []
-    for ks in key_sets:
-        if tuple(ks) not in sets:
-            sets.append(tuple(ks))
-    allcols = list(dict.fromkeys(c for ks in sets for c in ks))
-    width = len(allcols)
-
-    def gid(ks) -> int:  # bit set for every column NOT grouped in this set
-        return sum(1 << (width - 1 - i) for i, c in enumerate(allcols) if c not in ks)
-
-    g = (df.groupingSets([list(ks) for ks in sets], *allcols)
-         .agg(F.count(F.lit(1)).alias("_tb_n"), F.grouping_id().alias("_tb_gid")))
-    return g, gid
+def _key_counts(df: DataFrame, key_sets) -> dict[tuple[str, ...], DataFrame]:
+    """Rows per key (``_tb_n``) for several key column sets of ONE table.
 
-
-@lru_cache(maxsize=4096)
-def _set_cond(gid: int, cols: tuple) -> Column:
-    return ((F.col("_tb_gid") == gid)
-            & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-
-
-def _match_key(cols) -> Column:
-    return _match_key_t(tuple(cols))
-
-
-@lru_cache(maxsize=4096)
-def _match_key_t(cols: tuple) -> Column:
-    """Injective string form of a key tuple, so references with different key
-    types can share one join: a single column is its string value; several
-    are length-prefixed (``len:value`` per column), which no two distinct
-    tuples share."""
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("string")
-    parts = []
-    for c in cols:
-        v = F.col(c).cast("string")
-        parts += [F.length(v).cast("string"), F.lit(":"), v]
-    return F.concat(*parts)
+    Each set is its own aggregate over its own columns (map-side combined), so
+    no row is copied per set.  A set that lacks one column of another one is
+    rolled up from that one's groups: both read the same shuffle, not the table.
+    """
+    out: dict[tuple[str, ...], DataFrame] = {}
+    for ks in sorted({tuple(k) for k in key_sets}, key=lambda k: (-len(k), k)):
+        finer = next((s for s in out if len(s) == len(ks) + 1 and set(ks) < set(s)), None)
+        if finer:
+            out[ks] = out[finer].groupBy(*ks).agg(F.sum("_tb_n").alias("_tb_n"))
+        else:
+            out[ks] = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_tb_n"))
+    return out
 
 
 @lru_cache(maxsize=4096)
-def _tag_entry(name: str, gid: int, cols: tuple, display: bool) -> Column:
-    key = _key_cols(cols) if display else _match_key_t(cols)
-    return F.when(_set_cond(gid, cols), F.struct(F.lit(name).alias("rule"), key.alias("key")))
-
-
-def _tag(g: DataFrame, rules, gid, display: bool = False) -> DataFrame:
-    """One projection over the key-set aggregate: each group is tagged with
-    the rules whose key set it belongs to -> ``[rule, key, _tb_n]``.  (One
-    pass; separate per-rule filters would each be pushed below the aggregate
-    and repeat it.)  ``display`` keys are comma-joined values for reports,
-    otherwise injective match keys."""
-    tagged = F.array(*[_tag_entry(r.name, gid(tuple(r.columns)), tuple(r.columns), display)
-                       for r in rules])
-    return g.select(F.inline(F.filter(tagged, lambda x: x.isNotNull())), "_tb_n")
+def _groups_with(cols: tuple, least: int) -> Column:
+    """Groups of at least ``least`` rows without a NULL in the key.  One
+    predicate on the count, which stays above the aggregate: a filter on the
+    key alone would be pushed below it, and no two sets could share a shuffle."""
+    nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    return F.when(nn, F.col("_tb_n") >= least).otherwise(False)
 
 
 def unique_groups(df: DataFrame, rules) -> DataFrame:
     """Duplicated keys of several uniqueness rules of one table:
     ``[rule, key, _tb_n]`` with ``key`` the comma-joined key values."""
-    g, gid = _key_sets_agg(df, [r.columns for r in rules])
-    return _tag(g.where(F.col("_tb_n") > 1), rules, gid, display=True)
-
-
-def orphan_keys(g: DataFrame, gid, rules, tables) -> DataFrame:
-    """Child key groups with no parent row, for several references of one
-    child table at once: ``[rule, key, _tb_n]`` anti-joined on (rule, key)
-    with the parents' key columns -- one shuffle for all of them, on
-    pre-aggregated keys.  Each distinct (parent table, key columns) is read
-    once and tagged with every rule that references it."""
-    child = _tag(g, rules, gid)
-    by_parent: dict[tuple, list[str]] = {}
-    for r in rules:
-        by_parent.setdefault((r.ref_table, tuple(r.ref_columns)), []).append(r.name)
-    parents = union_tree([
-        _table(tables, ref_table).select(
-            F.explode(F.array(*[F.lit(n) for n in names])).alias("rule"),
-            _match_key(ref_cols).alias("key"))
-        for (ref_table, ref_cols), names in by_parent.items()])
-    return child.join(parents, ["rule", "key"], "left_anti")
+    counts = _key_counts(df, [r.columns for r in rules])
+    return union_tree([
+        counts[tuple(r.columns)].where(_groups_with(tuple(r.columns), 2))
+        .select(F.lit(r.name).alias("rule"), _key_cols(tuple(r.columns)).alias("key"), "_tb_n")
+        for r in rules])
+
+
+def orphan_keys(counts: DataFrame, rule: Rule, parent: DataFrame) -> DataFrame:
+    """Key groups of one reference that have no parent row: the pre-aggregated
+    child keys anti-joined, in their own types, with the parent's key columns."""
+    p = parent.select(*[F.col(c).alias(f"_tb_p{i}") for i, c in enumerate(rule.ref_columns)])
+    on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_tb_p{i}")
+                                     for i, c in enumerate(rule.columns)])
+    return counts.join(p, on, "left_anti").where(_groups_with(tuple(rule.columns), 1))
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, rule: Rule, key_cols) -> DataFrame:
@@ -341,8 +297,8 @@ def summary(tables, rules, as_of=None) -> DataFrame:
     NULL and the severity ``error`` for a rule whose table or columns are absent.
 
     Per table: ONE scan evaluates every row-level rule (conditional counts,
-    unpivoted); ONE grouping-sets aggregation serves every uniqueness rule
-    and every outgoing reference; each reference then anti-joins its
+    unpivoted); one aggregate per set of key columns serves every uniqueness
+    rule and reference on it; each reference then anti-joins its
     pre-aggregated keys with the parent's key columns.
     """
     row: dict[str, list[Rule]] = {}
@@ -368,23 +324,19 @@ def summary(tables, rules, as_of=None) -> DataFrame:
                           for i, r in enumerate(rs)])
         parts.append(shape(counts, tname, rs, "c"))
     for tname, rs in keyed.items():
-        g, gid = _key_sets_agg(_table(tables, tname), [r.columns for r in rs])
         # duplicated keys (unique rules) and orphan keys (references), both
-        # as [rule, key, _tb_n], counted in one aggregate per table
-        uq = [r for r in rs if r.kind == "unique"]
-        fk = [r for r in rs if r.kind == "foreign_key"]
-        tagged = []
-        if uq:
-            tagged.append(_tag(g.where(F.col("_tb_n") > 1), uq, gid))
-        if fk:
-            tagged.append(orphan_keys(g, gid, fk, tables))
-        hit = union_tree(tagged)
-        ordered = uq + fk
-        counts = hit.agg(*[
-            (F.count(F.when(F.col("rule") == r.name, 1)) if r.kind == "unique" else
-             F.coalesce(F.sum(F.when(F.col("rule") == r.name, F.col("_tb_n"))), F.lit(0)))
-            .alias(f"k{i}") for i, r in enumerate(ordered)])
-        parts.append(shape(counts, tname, ordered, "k"))
+        # as [rule, _tb_n], counted in one aggregate per table
+        groups = _key_counts(_table(tables, tname), [r.columns for r in rs])
+        hit = union_tree([
+            (groups[tuple(r.columns)].where(_groups_with(tuple(r.columns), 2))
+             .select(F.lit(i).alias("rule"), F.lit(1).cast("long").alias("_tb_n"))
+             if r.kind == "unique" else
+             orphan_keys(groups[tuple(r.columns)], r, _table(tables, r.ref_table))
+             .select(F.lit(i).alias("rule"), "_tb_n"))
+            for i, r in enumerate(rs)])
+        counts = hit.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("_tb_n"))), F.lit(0))
+                           .alias(f"k{i}") for i in range(len(rs))])
+        parts.append(shape(counts, tname, rs, "k"))
     return union_tree(parts)
 
 

@@ -40,14 +40,14 @@ def register_violations(name: str, rules, as_of: str | None = None):
     rules = list(rules)
     sql = "\nunion all\n".join(_violation_sql(r, as_of) for r in rules)
     keys = {r.table: _key_cols(r.table) for r in rules}
-    register(name, sql)(lambda lg: C.violations(CompleteLedger(lg), rules, keys, as_of=as_of))
+    register(name, sql)(lambda lg: C.violations(CompleteLedger.of(lg), rules, keys, as_of=as_of))
     return rules
 
 
 def register_summary(name: str, rules, as_of: str | None = None):
     rules = list(rules)
     sql = "\nunion all\n".join(_count_sql(r, as_of) for r in rules)
-    register(name, sql)(lambda lg: C.summary(CompleteLedger(lg), rules, as_of=as_of))
+    register(name, sql)(lambda lg: C.summary(CompleteLedger.of(lg), rules, as_of=as_of))
     return rules, sql
 
 
@@ -86,7 +86,7 @@ from (select count(*) filter (where coalesce(violations, 1) > 0 and severity = '
              count(*) filter (where coalesce(violations, 1) > 0 and severity = 'warning') as warnings,
              count(*) filter (where violations = 0) as passed
       from ({SUMMARY_SQL}) s) v
-""")(lambda lg: C.verdict(C.summary(CompleteLedger(lg), _summary_rules, as_of=AS_OF_DATE)))
+""")(lambda lg: C.verdict(C.summary(CompleteLedger.of(lg), _summary_rules, as_of=AS_OF_DATE)))
 
 # -- backup-validation checks -----------------------------------------------------
 register("orphan_transaction_categories", """

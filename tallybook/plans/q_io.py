@@ -51,7 +51,7 @@ _RECEIPT_REFERENCE = ("fk_receipt_image", "t_transaction", "receipt_image_id", "
 
 
 def _migrate_ledger(lg):
-    full = CompleteLedger(lg)
+    full = CompleteLedger.of(lg)
     tables = {t: getattr(full, t) for t in _PRESENT}
     return IO.migrate_tables(lg.spark, tables, S.STANDARD_TABLES, IO.staging_dir(lg.spark, "target"),
                              truncate=S.TRUNCATE_BEFORE_LOAD, optional=S.OPTIONAL_TABLES,
@@ -151,7 +151,7 @@ def _seed_providers(lg):
     """The seed rows with all declared columns and defaults."""
     now = dt.datetime.fromisoformat(P["as_of"])
     filled = {**S.DEFAULTS["t_medical_provider"], "date_added": now, "date_updated": now}
-    return IO.seed_rows(CompleteLedger(lg).t_medical_provider, [{**filled, **r} for r in SEED_PROVIDERS],
+    return IO.seed_rows(CompleteLedger.of(lg).t_medical_provider, [{**filled, **r} for r in SEED_PROVIDERS],
                         id_col="provider_id")
 
 

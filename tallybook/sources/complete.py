@@ -116,9 +116,19 @@ class CompleteLedger:
     def __init__(self, ledger: Ledger):
         self.ledger = ledger
 
+    @classmethod
+    def of(cls, ledger: Ledger) -> "CompleteLedger":
+        """The one accessor of ``ledger``."""
+        if not hasattr(ledger, "_complete"):
+            ledger._complete = cls(ledger)
+        return ledger._complete
+
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in COLUMNS:
-            return getattr(self.ledger, name)
+        df = getattr(self.ledger, name) if name not in COLUMNS else self._complete(name)
+        setattr(self, name, df)  # planned once per accessor
+        return df
+
+    def _complete(self, name: str) -> DataFrame:
         df = getattr(self.ledger, BASE.get(name, name))
         if name in PER_OWNER:
             df = df.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(NAMED_OWNERS - 1))))
@@ -127,5 +137,7 @@ class CompleteLedger:
             p = getattr(self.ledger, parent).select(F.col(parent_key).alias("p_key"),
                                                     *[F.col(c).alias(f"p_{c}") for c in taken])
             df = df.join(p, F.col(child_key) == F.col("p_key"), "left")
-        return df.select(*[F.expr(text).cast(kind).alias(c) if kind else F.expr(text).alias(c)
-                           for c, text, kind in expressions(name)])
+        df = df.select(*[F.expr(text).cast(kind).alias(c) if kind else F.expr(text).alias(c)
+                         for c, text, kind in expressions(name)])
+        # joined tables are written once, as the derived ones are, rather than joined again by every check
+        return self.ledger._store(f"complete_{name}", df) if name in PARENT and self.ledger.materialize else df

@@ -47,3 +47,32 @@ def test_csv_import_fails_on_malformed_rows(spark):
         IO.import_csv(spark, path, spark.createDataFrame([], "a long, b string").schema).collect()
     chk = IO.check_extract(spark, path, spark.createDataFrame([], "a long, b string").schema)
     assert chk["status"].startswith("unreadable")
+
+
+def test_checks_copy_no_rows_per_key_set(ledger):
+    from tallybook.operators import checks as C
+    from tallybook.plans import catalog as K
+    from tallybook.sources.complete import CompleteLedger
+
+    plan = _plan(C.summary(CompleteLedger.of(ledger), K.rules(
+        "pk_t_account", "unique_owner_account_name_owner", "unique_owner_account_name_owner_account_type",
+        "fk_legacy_pending_account", "fk_pending_account")))
+    assert "Expand" not in plan
+
+
+def test_key_sets_with_nulls_roll_up_as_counted_alone(spark):
+    from itertools import combinations
+
+    from tallybook.operators import checks as C
+
+    rows = [(1, "a", None), (1, "a", None), (1, None, 2), (1, None, 2), (None, "a", 2), (2, "b", 3), (2, "b", 4)]
+    df = spark.createDataFrame(rows, "x long, y string, z long")
+    sets = [s for n in (1, 2, 3) for s in combinations("xyz", n)]
+    rules = [C.Rule("-".join(s), "t", "unique", s) for s in sets]
+    expected = {}
+    for s in sets:
+        keys = [tuple(r["xyz".index(c)] for c in s) for r in rows]
+        expected["-".join(s)] = len({k for k in keys if None not in k and keys.count(k) > 1})
+    got = {r.rule: r.violations for r in C.summary({"t": df}, rules).collect()}
+    assert got == expected
+    assert {r.rule for r in C.violations({"t": df}, rules, {}).collect()} == {k for k, n in expected.items() if n}
