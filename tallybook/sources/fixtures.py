@@ -76,27 +76,46 @@ class Ledger:
 
     _shared: dict[tuple[int, str], "Ledger"] = {}
 
+    @staticmethod
+    def _key(spark: SparkSession, sf_dir: str) -> tuple[int, str]:
+        return id(getattr(spark, "_jsparkSession", None) or spark), sf_dir.rstrip("/")
+
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> "Ledger":
-        """The session's stored ledger for ``sf_dir`` (tables written once)."""
-        key = (id(getattr(spark, "_jsparkSession", None) or spark), sf_dir.rstrip("/"))
+    def of(cls, spark: SparkSession, sf_dir: str, path: str | None = None) -> "Ledger":
+        """The session's stored ledger for ``sf_dir`` (tables written once), in
+        a new folder of ``path``, by default under the shared checkpoint folder.
+        Source files that change later are read after ``release()``."""
+        key = cls._key(spark, sf_dir)
         lg = cls._shared.get(key)
         if lg is None:
-            lg = cls._shared[key] = cls(spark, sf_dir, materialize=True)
+            lg = cls._shared[key] = cls(spark, sf_dir, materialize=True, path=path)
         return lg
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False,
+                 path: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize = materialize
+        self._path = path
         self._base = None
 
+    def release(self) -> None:
+        """Delete the stored tables and forget them: the next ``Ledger.of``
+        derives them anew from the source files."""
+        self._shared.pop(self._key(self.spark, self.sf_dir), None)
+        if self._base is not None:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._base)
+            folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            self._base = None
+
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         """Write a derived table as parquet under the shared checkpoint folder
         (clustered for the fact tables) and return the stored table: lineage
         is cut, scans keep column pruning / pushdown and split into tasks."""
         if self._base is None:
-            self._base = shared_path(self.spark, "tallybook-ledger", uuid.uuid4().hex[:12])
+            name = uuid.uuid4().hex[:12]
+            self._base = (f"{self._path.rstrip('/')}/{name}" if self._path
+                          else shared_path(self.spark, "tallybook-ledger", name))
         path = f"{self._base}/{name}"
         keys = CLUSTER_BY.get(name)
         out = df

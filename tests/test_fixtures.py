@@ -37,3 +37,23 @@ def test_complete_tables_have_every_declared_column(ledger):
 def test_every_rule_of_the_catalogue_can_run(ledger):
     able, unable = C._split(complete.CompleteLedger(ledger), list(K.BY_NAME.values()))
     assert not unable and len(able) == len(K.BY_NAME)
+
+
+def test_stored_ledger_is_kept_where_the_caller_says_and_can_be_released(spark, tmp_path):
+    import os
+    import shutil
+
+    from tallybook.sources.fixtures import Ledger
+
+    source, kept = str(tmp_path / "sf"), str(tmp_path / "kept")
+    shutil.copytree("/root/testdata/sf0.001", source)
+    lg = Ledger.of(spark, source, path=kept)
+    before = lg.t_role.count()
+    assert Ledger.of(spark, source) is lg and len(os.listdir(kept)) == 1
+    lg.source("region").limit(2).toPandas().to_parquet(f"{source}/region.parquet")
+    assert Ledger.of(spark, source).t_role.count() == before  # stored
+    lg.release()
+    assert os.listdir(kept) == []
+    again = Ledger.of(spark, source, path=kept)
+    assert again is not lg and again.t_role.count() == 2
+    again.release()
