@@ -57,3 +57,10 @@ def test_stored_ledger_is_kept_where_the_caller_says_and_can_be_released(spark,
     again = Ledger.of(spark, source, path=kept)
     assert again is not lg and again.t_role.count() == 2
     again.release()
+
+
+def test_declared_values_are_spelled_apart_from_the_catalogue():
+    from tallybook.plans import oracle_checks as O
+
+    apart = {r.name for r in K.ROW_RULES if r.kind not in ("not_null", "lowercase", "not_empty", "not_future")}
+    assert apart == set(O.DECLARED)
