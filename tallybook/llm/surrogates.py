@@ -2,14 +2,15 @@
 
 Detected: e-mail addresses, telephone numbers, payment card and similar long
 numbers, IPv4 addresses, social security numbers, IBANs, access keys and other
-secrets, and names of persons (after a form of address, or a given name with a
-family name).
+secrets, and names of persons (after a form of address, or a listed given name
+with initials and family names after it, across any white space), with every
+other mention of a word of such a name in the same document.
 
 A replacement depends on the key, the kind and the entity in normal form alone,
 so all mentions of an entity, in any document, get the same one.  It keeps the
 format: digits stay digits where they were, letters stay letters of the same
 case and script, card and account numbers that passed the check-digit test
-still do, names keep gender and number of words.  Digits and letters are permuted by a keyed
+still do, names keep number of words and the gender of listed given names.  Digits and letters are permuted by a keyed
 Feistel cipher over all characters of one alphabet, which is one-to-one, so
 different entities of one format stay different.  Names are spelled from the
 cipher of their letters' digest; ``surrogate_clashes`` counts replacements that
@@ -43,10 +44,10 @@ TITLES = {
 GIVEN = {
     "m": "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Peter Paul Andrew Hans "
          "Karl Stefan Jürgen Klaus Wolfgang Pierre Jacques François Michel Philippe José Juan Carlos Luis Miguel Pedro "
-         "Антон Иван Сергей Дмитрий Γιώργος Νίκος",
+         "Mohammed Ahmed Omar Raj Arjun Wei Hiroshi Mehmet Antonio Giovanni Антон Иван Сергей Дмитрий Γιώργος Νίκος",
     "f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Emma Olivia Anna Laura Julia Ursula "
          "Monika Petra Sabine Heike Claudia Marie Isabelle Nathalie Sophie Catherine María Carmen Ana Lucía Elena Rosa "
-         "Анна Мария Елена Ольга Ελένη Σοφία",
+         "Aisha Fatima Priya Mei Yuki Ayşe Francesca Giulia Анна Мария Елена Ольга Ελένη Σοφία",
 }
 SYLLABLES = {
     "latin": "ba be bo da de di do fa fe ga go ha he ka ke ko la le li lo ma me mi mo na ne no ra re ri ro sa se si so ta te "
@@ -60,7 +61,16 @@ ENDINGS = {("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("
 
 _GENDER = {w: g for g, names in GIVEN.items() for w in names.split()}
 _TITLE = {w: g for g, names in TITLES.items() for w in names.split()}
-_CAP = r"[^\W\d_a-zà-öø-ÿ][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_LETTERS = r"(?:[^\W\d_][\u0300-\u036f]*)+"
+#: a word of a name: letters of any script, inner apostrophes (not a genitive's); hyphens join two words
+_WORD = re.compile(rf"(?<!\w){_LETTERS}(?:['’](?!s\b){_LETTERS})*(?!\w)")
+_JOINT = re.compile(r"\s+|-")
+_STOP_JOINT = re.compile(r"\.\s*|\s+|-")  # after an initial or a form of address
+#: lower-case words inside a name, which stay as they are when a family name follows
+PARTICLES = frozenset("van von der den de del della da di dos du ter zu bin ibn al".split())
+_ANCHORS = "|".join(map(re.escape, sorted({unicodedata.normalize(f, w) for w in (*_TITLE, *_GENDER) for f in ("NFC", "NFD")},
+                                          key=len, reverse=True)))
+_ANCHOR = re.compile(_ANCHORS)
 _ENTITY = re.compile("|".join((
     r"(?P<email>[\w.+%-]+@[\w-]+(?:\.[\w-]+)+)",
     r"(?P<secret>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?i:password|passwd|pwd|token|secret|api_?key|access_?key)\s*[=:]\s*"
@@ -71,11 +81,9 @@ _ENTITY = re.compile("|".join((
     r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
     r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]*\d))",
     r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]*\d))",
-    rf"(?P<title>\b(?:{'|'.join(map(re.escape, _TITLE))})\b\.?)(?P<after>(?: {_CAP}){{1,3}})",
-    rf"(?P<person>\b(?:{'|'.join(_GENDER)})\b(?: {_CAP}){{1,2}})",
 )))
 #: a text without any of these holds no entity
-_HINT = re.compile(rf"[@\d]|\b(?:{'|'.join(map(re.escape, [*_TITLE, *_GENDER]))})\b|(?i:passw|pwd|token|secret|key)")
+_HINT = re.compile(rf"[@\d]|{_ANCHORS}|(?i:passw|pwd|token|secret|key)")
 
 
 def _digest(size: int, key: str, *parts: str) -> int:
@@ -162,20 +170,35 @@ def script_of(word: str) -> str:
     return "latin"
 
 
-def _spelled(word: str, key: str, kind: str, gender: str) -> str:
+def _initial(letter: str, key: str) -> str:
+    """Another capital of the same script and block, one for each."""
+    first = ord(letter) & ~127
+    script = unicodedata.name(letter, "").split(" ")[0]
+    capitals = [c for c in map(chr, range(first, first + 128))
+                if c.isupper() and c.lower().upper() == c and unicodedata.name(c, "").startswith(script)]
+    if letter not in capitals:
+        return letter
+    return capitals[permute(capitals.index(letter), len(capitals), key, f"initial{first}{script}")]
+
+
+def _spelled(word: str, key: str) -> str:
     """A name of the same script and case, one for each word in lower case."""
+    if word in PARTICLES:
+        return word
+    if len(word) == 1:
+        return _initial(word, key)
     script = script_of(word)
     syllables = SYLLABLES[script].split()
-    value = _digest(5, key, kind, gender, word.lower())  # 40 bits: eight syllables at most
+    value = _digest(5, key, "name", normal_form("name", word))  # 40 bits: eight syllables at most
     out = ""
     while value:
         value, at = divmod(value, len(syllables))
         out += syllables[at]
-    out += ENDINGS.get((script, gender), "") if kind == "given" else ""
-    return out.upper() if len(word) > 1 and word.isupper() else out.capitalize()
+    out += ENDINGS.get((script, _GENDER.get(unicodedata.normalize("NFC", word).capitalize(), "n")), "")
+    return out.upper() if word.isupper() else out.capitalize()
 
 
-def surrogate(kind: str, text: str, key: str = KEY, gender: str = "n") -> str:
+def surrogate(kind: str, text: str, key: str = KEY) -> str:
     """Replacement of one entity, as long and of the same format (names: of the same script)."""
     plain = "".join(c for c in text if c.isalnum())
     if kind == "email":
@@ -206,27 +229,81 @@ def surrogate(kind: str, text: str, key: str = KEY, gender: str = "n") -> str:
         head = re.match(r"(?:AKIA|ASIA)|[^=:]*[=:]\s*", text)[0]
         body = text[len(head):]
         return head + permute_text(body, key, kind, hexadecimal=bool(re.fullmatch("[\"']?[0-9a-f]+[\"']?", body)))
-    words = text.split(" ")
-    given = len(words) > 1 or words[0] in _GENDER
-    return " ".join(_spelled(w, key, "given" if given and k < len(words) - (len(words) > 1) else "family",
-                             _GENDER.get(w, gender) if given and k < len(words) - (len(words) > 1) else "n")
-                    for k, w in enumerate(words))
+    return _WORD.sub(lambda m: _spelled(m[0], key), text)
 
 
-def entities(text: str | None) -> Iterator[tuple[str, int, int, str]]:
-    """``(kind, start, end, gender)`` of every entity of a whole text, in order."""
+def _name_end(text: str, at: int, limit: int, most: int, joint: re.Pattern = _JOINT) -> int:
+    """End of up to ``most`` name words that follow ``at``; ``at`` itself if there is none.
+
+    A word begins with a capital of any script; single capitals are initials
+    and, like particles, count only with a name word after them.
+    """
+    end, n, before = at, 0, 0
+    while before < 4 and (gap := joint.match(text, at, limit)) and (word := _WORD.match(text, gap.end(), limit)):
+        joint, first = _JOINT, word[0][0]
+        if len(word[0]) == 1 and first.isupper():
+            joint, before = _STOP_JOINT, before + 1
+        elif word[0] in PARTICLES:
+            before += 1
+        elif (first.isupper() or first.istitle()) and (n < most or gap[0] == "-"):
+            n, before, end = n + (gap[0] != "-"), 0, word.end()
+        else:
+            break
+        at = word.end()
+    return end
+
+
+def _names(text: str, start: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Spans of the names between two other entities."""
+    at = start
+    while found := _ANCHOR.search(text, at, limit):
+        at = found.end()
+        word = _WORD.match(text, found.start(), limit)
+        if unicodedata.normalize("NFC", found[0]) in _TITLE:
+            if at < limit and text[at].isalnum() or found.start() and text[found.start() - 1].isalnum():
+                continue
+            end = _name_end(text, at, limit, 3, _STOP_JOINT)
+            if end > at:
+                yield _STOP_JOINT.match(text, at, limit).end(), end
+                at = end
+        elif word and word[0] == found[0]:
+            end = _name_end(text, at, limit, 2)
+            if end > at:
+                yield found.start(), end
+                at = end
+
+
+def mentions(text: str | None) -> Iterator[tuple[str, int, int, bool]]:
+    """``(kind, start, end, repeated)`` of every mention in a whole text, in order.
+
+    ``repeated`` marks a word of a name that was detected elsewhere in the text.
+    """
     if not text or not _HINT.search(text):
         return
-    for m in _ENTITY.finditer(text):
-        kind, gender = m.lastgroup, "n"
-        if kind == "after":
-            start, end, kind = m.start("after") + 1, m.end("after"), "name"
-            gender = _TITLE[m["title"].rstrip(".")]
-        else:
-            start, end = m.span()
-            if kind == "person":
-                kind, gender = "name", _GENDER[m["person"].split(" ")[0]]
-        yield kind, start, end, gender
+    plain = [(m.lastgroup, *m.span()) for m in _ENTITY.finditer(text)]
+    out, at = [], 0
+    for kind, start, end in [*plain, ("", len(text), len(text))]:
+        out += [("name", a, b, False) for a, b in _names(text, at, start)]
+        out += [(kind, start, end, False)] if kind else []
+        at = end
+    known = {normal_form("name", w[0]) for kind, a, b, _ in out if kind == "name" for w in _WORD.finditer(text, a, b)
+             if len(w[0]) > 1 and w[0] not in PARTICLES}
+    if not known:
+        yield from out
+        return
+    at = 0
+    for item in [*out, ("", len(text), len(text), False)]:
+        for w in _WORD.finditer(text, at, item[1]):
+            if w[0][0] != w[0][0].lower() and normal_form("name", w[0]) in known:
+                yield "name", *w.span(), True
+        if item[0]:
+            yield item
+        at = item[2]
+
+
+def entities(text: str | None) -> Iterator[tuple[str, int, int]]:
+    """``(kind, start, end)`` of every entity of a whole text, in order, without a name's repeated words."""
+    return ((kind, start, end) for kind, start, end, repeated in mentions(text) if not repeated)
 
 
 def normal_form(kind: str, text: str) -> str:
@@ -235,17 +312,17 @@ def normal_form(kind: str, text: str) -> str:
         return text.lower()
     if kind in ("phone", "card", "ssn", "iban"):
         return "".join(c for c in text if c.isalnum())
-    return text.lower() if kind == "name" else text
+    return unicodedata.normalize("NFC", text).lower() if kind == "name" else text
 
 
-def replace(text: str | None, key: str = KEY) -> tuple[str | None, list[dict]]:
-    """The whole text with surrogates, and the entities' spans in it and in the original."""
+def rewritten(text: str | None, key: str = KEY) -> tuple[str | None, list[tuple[dict, bool]]]:
+    """The whole text with surrogates, and every mention's spans in it and in the original, with ``repeated``."""
     out, found, at, shift = [], [], 0, 0
-    for kind, start, end, gender in entities(text):
-        new = surrogate(kind, text[start:end], key, gender)
+    for kind, start, end, repeated in mentions(text):
+        new = surrogate(kind, text[start:end], key)
         out += [text[at:start], new]
-        found.append({"kind": kind, "start": start, "length": end - start,
-                      "new_start": start + shift, "new_length": len(new)})
+        found.append(({"kind": kind, "start": start, "length": end - start,
+                       "new_start": start + shift, "new_length": len(new)}, repeated))
         shift += len(new) - (end - start)
         at = end
     if not found:
@@ -253,22 +330,28 @@ def replace(text: str | None, key: str = KEY) -> tuple[str | None, list[dict]]:
     return "".join([*out, text[at:]]), found
 
 
+def replace(text: str | None, key: str = KEY) -> tuple[str | None, list[dict]]:
+    """The whole text with surrogates, and the detected entities' spans; a name's repeated words are replaced too."""
+    new, found = rewritten(text, key)
+    return new, [f for f, repeated in found if not repeated]
+
+
 _MENTION = pa.schema([("kind", pa.string()), ("entity", pa.string()), ("made", pa.string())])
 
 
 def _mentions(key: str):
-    def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for (text,) in rows_of(batches):
-                for kind, start, end, gender in entities(text):
-                    new = surrogate(kind, text[start:end], key, gender)
+                for kind, start, end in entities(text):
                     if kind == "name":  # words are replaced one by one, so that short mentions agree
-                        for a, b in zip(text[start:end].split(" "), new.split(" "), strict=True):
-                            yield kind, a.lower(), b.lower()
+                        for w in _WORD.finditer(text, start, end):
+                            yield kind, normal_form(kind, w[0]), normal_form(kind, _spelled(w[0], key))
                     else:
+                        new = surrogate(kind, text[start:end], key)
                         yield kind, normal_form(kind, text[start:end]), normal_form(kind, new)
         return batches_of(rows(), _MENTION)
-    return mentions
+    return pairs
 
 
 def surrogate_clashes(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
@@ -304,8 +387,8 @@ def anonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", id_col: s
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc, text in rows_of(batches):
-                new, found = replace(text, own)
-                yield doc, new, len(found), found
+                new, found = rewritten(text, own)
+                yield doc, new, len(found), [f for f, _ in found]
         return batches_of(rows(), _OUT, 512)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(

@@ -133,6 +133,25 @@ def test_permutation_is_one_to_one_and_surrogates_keep_format():
     assert S.surrogate("email", "A@B.com") == S.surrogate("email", "a@b.COM")
 
 
+def test_names_across_white_space_initials_scripts_and_repeats():
+    for name in ("Mary Smith", "Mary\nSmith", "Mary  \t Smith", "John F. Kennedy", "John F Kennedy", "Hans von Stein",
+                 "Иван Петров", "Mary Smith-Jones", "Aisha Khan", "Jose\u0301 Mun\u0303oz"):
+        new, found = S.replace(f"then {name} said")
+        assert [(f["start"], f["length"]) for f in found] == [(5, len(name))], name
+        left = set(new.split()) & set(name.split())
+        assert left <= {"von"}, name
+    for plain in ("Иван сказал что дом", "Ελένη είπε ότι", "then Mary said that", "see Mary. The end", "Mary I am"):
+        assert S.replace(plain) == (plain, []), plain
+    new, _ = S.replace("Smith came. Then Mary Smith's dog, and Mary, and SMITH; Smithson and smith stay.")
+    family = new.split()[0]
+    assert "Mary" not in new and "Smith " not in new and family.upper() in new and f"{family}'s dog" in new
+    assert new.endswith("Smithson and smith stay.")
+    rows = S.rewritten("Mary Smith and Smith")[1]
+    assert [f["length"] for f, _ in rows] == [10, 5]
+    # a word has one surrogate, whatever stands before it
+    assert len({S.replace(x)[0].split()[-1] for x in ("Dr Ann Smith", "Mrs Smith", "Mary Ann Smith")}) == 1
+
+
 def test_language_model_on_made_languages():
     words = {"en": "the and that with house", "de": "und der nicht haus über", "fr": "le dans être maison où"}
     rng = random.Random(2)
