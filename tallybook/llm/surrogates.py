@@ -49,6 +49,16 @@ GIVEN = {
          "Monika Petra Sabine Heike Claudia Marie Isabelle Nathalie Sophie Catherine María Carmen Ana Lucía Elena Rosa "
          "Aisha Fatima Priya Mei Yuki Ayşe Francesca Giulia Анна Мария Елена Ольга Ελένη Σοφία",
 }
+#: country codes of two digits; 1 and 7 have one, all others three
+TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                       "81 82 84 86 90 91 92 93 94 95 98".split())
+#: digits of a whole number after the country code, where its plan fixes them; elsewhere 15 with the code at most
+LENGTHS = {"+1": (10,), "+7": (10,), "+30": (10,), "+31": (9,), "+32": (8, 9), "+33": (9,), "+34": (9,), "+41": (9,),
+           "+44": (10,), "+45": (8,), "+46": (7, 8, 9), "+47": (8,), "+48": (9,), "+49": (10, 11), "+52": (10,),
+           "+55": (10, 11), "+61": (9,), "+81": (9, 10), "+86": (11,), "+90": (10,), "+91": (10,), "+351": (9,),
+           "+353": (9,), "+380": (9,)}
+#: card numbers as printed
+GROUPINGS = frozenset({(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 4, 4, 4, 2), (4, 4, 4, 1), (4, 4, 5), (4, 5, 4), (4, 6, 4), (4, 6, 5), (6, 13)})
 SYLLABLES = {
     "latin": "ba be bo da de di do fa fe ga go ha he ka ke ko la le li lo ma me mi mo na ne no ra re ri ro sa se si so ta te "
              "ti to va ve vi vo wa we za ze zo",
@@ -71,19 +81,25 @@ PARTICLES = frozenset("van von der den de del della da di dos du ter zu bin ibn
 _ANCHORS = "|".join(map(re.escape, sorted({unicodedata.normalize(f, w) for w in (*_TITLE, *_GENDER) for f in ("NFC", "NFD")},
                                           key=len, reverse=True)))
 _ANCHOR = re.compile(_ANCHORS)
-_ENTITY = re.compile("|".join((
-    r"(?P<email>[\w.+%-]+@[\w-]+(?:\.[\w-]+)+)",
-    r"(?P<secret>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?i:password|passwd|pwd|token|secret|api_?key|access_?key)\s*[=:]\s*"
-    r"(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"',;]{6,}))",
+#: where a number can begin, and what it is there, in order
+_START = re.compile(r"[\d+(A-Z](?:(?<=\d)\d*|(?<=[+(])\d+|[A-Z]\d{2}|(?<=A)[KS]IA)")
+_RUN = re.compile(r"(?<![\w.-])(?:[0-9]{13,19}(?!\w)|[0-9]+(?!\w)(?=[ \xa0\u202f-][0-9]))(?:[ \xa0\u202f-][0-9]+(?!\w))*(?!-[\w-]*[0-9])")
+_NUMBER = re.compile("|".join((
+    r"(?P<secret>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b)",
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b)",
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))",
     r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d))",
-    r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]*\d))",
-    r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]*\d))",
+    r"(?P<phone>(?<![\w+])(?:\+|00(?=[1-9]))[0-9]+(?!\w)(?:(?:[ \xa0\u202f./-]|[ \xa0\u202f]?\(|\)[ \xa0\u202f-]?)[0-9]+(?!\w))*"
+    r"|(?<![\w(])\((?:[0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|0[0-9]{1,5}\)[ -]?[0-9]{2,8}(?:[ -][0-9]{2,4}){0,3})(?![\w-]*[0-9])"
+    r"|(?<![\w.-])(?:[0-9]{3}\.[0-9]{3}\.[0-9]{4}|0[0-9](?:\.[0-9][0-9]){4}|0[0-9]{1,5}/ ?[0-9]{4,8})(?![\w.-]*[0-9]))",
+    rf"(?P<run>{_RUN.pattern})",
 )))
-#: a text without any of these holds no entity
-_HINT = re.compile(rf"[@\d]|{_ANCHORS}|(?i:passw|pwd|token|secret|key)")
+_DIGITS = re.compile("[0-9]+")
+_HOST = re.compile(r"@[\w-]+(?:\.[\w-]+)+")
+_USER = re.compile(r"[\w.+%-]")
+_ASSIGNED = re.compile("[=:]")
+_SECRET_NAME = re.compile(r"\b(?i:password|passwd|pwd|token|secret|api_?key|access_?key)\Z")
+_SECRET_VALUE = re.compile(r"\s*(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"',;]{6,})")
 
 
 def _digest(size: int, key: str, *parts: str) -> int:
@@ -161,6 +177,14 @@ def _regrouped(template: str, characters: str) -> str:
     return "".join(next(source) if c.isalnum() else c for c in template)
 
 
+def _laid(templates: list[str], characters: str) -> Iterator[str]:
+    """``characters`` in the places of the digits of one template after the other."""
+    for t in templates:
+        n = sum(c in string.digits for c in t)
+        yield _regrouped(t, characters[:n])
+        characters = characters[n:]
+
+
 def script_of(word: str) -> str:
     for c in word:
         name = unicodedata.name(c, "")
@@ -198,6 +222,17 @@ def _spelled(word: str, key: str) -> str:
     return out.upper() if word.isupper() else out.capitalize()
 
 
+def phone_parts(text: str) -> tuple[str, str]:
+    """What stays and what is enciphered of a number: its country code, and its digits without a trunk zero in brackets."""
+    digits = "".join(c for c in text.replace("(0)", "") if c in string.digits)
+    if text[0] != "+":
+        if not digits.startswith("00") or digits[2:3] in ("", "0"):
+            return "", digits
+        digits = digits[2:]
+    size = 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGITS else 3
+    return "+" + digits[:size], digits[size:]
+
+
 def surrogate(kind: str, text: str, key: str = KEY) -> str:
     """Replacement of one entity, as long and of the same format (names: of the same script)."""
     plain = "".join(c for c in text if c.isalnum())
@@ -215,9 +250,9 @@ def surrogate(kind: str, text: str, key: str = KEY) -> str:
         last = next(d for d in string.digits if luhn(body + d) == luhn(plain))
         return _regrouped(text, body + last)
     if kind == "phone":
-        code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-        fixed = code[0].lstrip("+") if code else ""
-        return _regrouped(text, fixed + permute_text(plain[len(fixed):], key, kind + fixed))
+        code, own = phone_parts(text)
+        made = code.replace("+", "" if text[0] == "+" else "00") + permute_text(own, key, kind + code)
+        return "(0)".join(_laid(text.split("(0)"), made))
     if kind == "ssn":
         return _regrouped(text, permute_text(plain, key, kind))
     if kind == "iban":
@@ -253,6 +288,162 @@ def _name_end(text: str, at: int, limit: int, most: int, joint: re.Pattern = _JO
     return end
 
 
+def _phone_end(text: str, start: int, end: int) -> int:
+    """Where the number that begins at ``start`` is whole; ``start`` if it never is.
+
+    A group of digits belongs to it as a whole or not at all.
+    """
+    last = start
+    for m in re.finditer(r"[0-9]+\)?", text[start:end]):
+        if m[0].endswith(")") and text[start:start + m.end()].endswith("(0)"):
+            continue
+        code, own = phone_parts(text[start:start + m.end()])
+        lengths = LENGTHS.get(code, ())
+        if len(own) + len(code) - 1 > 15 or lengths and len(own) > lengths[-1] and last > start:
+            break
+        if len(own) >= 5:
+            last = start + m.end()
+            if len(own) in lengths:
+                break
+    return last
+
+
+def _national(groups: list[tuple[int, int]], marks: list[str], sizes: tuple[int, ...], text: str) -> int:
+    """How many of the first groups make a number without country code; 0 if none do."""
+    lead = text[slice(*groups[0])]
+    if sizes[:3] == (3, 3, 4) and lead[0] in "23456789":
+        return 3
+    if lead[0] != "0" or lead[:2] == "00" or not 2 <= len(lead) <= 6:
+        return 0
+    digits, n = sizes[0], 1
+    while n < len(sizes) and 2 <= sizes[n] <= 8 and (n < 2 or marks[n - 1] == marks[1 if n > 1 else 0]) and digits < 10:
+        digits, n = digits + sizes[n], n + 1
+    return n if 9 <= digits <= 12 and n > 1 else 0
+
+
+def _run(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+    """Cards and telephone numbers among the groups of a run of digits.
+
+    A card ends with a complete grouping, else where its check digit is right,
+    else with the run.
+    """
+    groups = [m.span() for m in _DIGITS.finditer(text, start, end)]
+    marks = [text[a[1]] for a in groups[:-1]]
+    sizes = tuple(b - a for a, b in groups)
+    at = 0
+    while at < len(groups):
+        best = None
+        for n in range(1, min(19, len(groups) - at) + 1):
+            total = sum(sizes[at:at + n])
+            if total > 19:
+                break
+            if total < 13:
+                continue
+            digits = "".join(text[slice(*g)] for g in groups[at:at + n])
+            rank = (0 if n == 1 or sizes[at:at + n] in GROUPINGS and not luhn(digits) else
+                    1 if sizes[at:at + n] in GROUPINGS else 2 if not luhn(digits) else 3)
+            if best is None or rank < best[0] or rank == best[0] == 3:
+                best = rank, n
+        phone = _national(groups[at:], marks[at:], sizes[at:], text)
+        if phone and (best is None or best[0] > 1):
+            yield "phone", groups[at][0], groups[at + phone - 1][1]
+            at += phone
+        elif best and (best[0] < 2 or not _later(text, groups, marks, sizes, at)):
+            yield "card", groups[at][0], groups[at + best[1] - 1][1]
+            at += best[1]
+        else:
+            at += 1
+
+
+def _later(text: str, groups: list[tuple[int, int]], marks: list[str], sizes: tuple[int, ...], at: int) -> bool:
+    """Whether a complete card or telephone number begins at a later group within the next 19 digits."""
+    before = 0
+    for k in range(at + 1, len(groups)):
+        before += sizes[k - 1]
+        if before >= 19:
+            return False
+        if 13 <= sizes[k] <= 19 or any(sizes[k:k + len(g)] == g for g in GROUPINGS) or _national(
+                groups[k:], marks[k:], sizes[k:], text):
+            return True
+    return False
+
+
+def _emails(text: str) -> Iterator[tuple[int, int, str]]:
+    at, low = text.find("@"), 0
+    while at >= 0:
+        end = at + 1
+        if host := _HOST.match(text, at):
+            start = at
+            while start > low and _USER.match(text, start - 1):
+                start -= 1
+            if start < at:
+                end = low = host.end()
+                yield start, end, "email"
+        at = text.find("@", end)
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int, str]]:
+    low = 0
+    for mark in _ASSIGNED.finditer(text):
+        if mark.start() < low:
+            continue
+        at = mark.start()
+        while at > low and text[at - 1].isspace():
+            at -= 1
+        name = _SECRET_NAME.search(text, max(low, at - 10), at)
+        if name and (value := _SECRET_VALUE.match(text, mark.end())):
+            low = value.end()
+            yield name.start(), low, "secret"
+
+
+def _plain(text: str) -> Iterator[tuple[str, int, int]]:
+    """``(kind, start, end)`` of every entity but names."""
+    at = 0
+    for start, end, kind in sorted([*_emails(text), *_secrets(text), (len(text), len(text), "")]):
+        if start < at:
+            continue
+        yield from _numbers(text, at, start)
+        if kind:
+            yield kind, start, end
+        at = end
+
+
+def _numbers(text: str, at: int, limit: int) -> Iterator[tuple[str, int, int]]:
+    """Entities that are told by their digits, between two others."""
+    while found := _START.search(text, at, limit):
+        start = found.start()
+        m = _NUMBER.match(text, start, limit)
+        if not m:
+            at = found.end() if text[start].isdigit() else start + 1
+            continue
+        kind, at = m.lastgroup, m.end()
+        if kind == "run":
+            yield from _run(text, start, at)
+            continue
+        if kind == "phone" and phone_parts(m[0])[0]:
+            end = _phone_end(text, start, at)
+            if text[start] == "0" and not _dialled(text[start:end], m[0]):
+                if m := _RUN.match(text, start, limit):
+                    at = m.end()
+                    yield from _run(text, start, at)
+                    continue
+                end = start
+            at = end
+            if at == start:
+                at = found.end()
+                continue
+        yield kind, start, at
+
+
+def _dialled(number: str, whole: str) -> bool:
+    """Whether digits after 00 are a whole number of their country's plan, and no card."""
+    code, own = phone_parts(number) if number else ("", "")
+    groups = _DIGITS.findall(whole)
+    sizes = tuple(map(len, groups))
+    return len(own) in LENGTHS.get(code, ()) and not any(
+        sizes[:len(g)] == g and not luhn("".join(groups[:len(g)])) for g in GROUPINGS)
+
+
 def _names(text: str, start: int, limit: int) -> Iterator[tuple[int, int]]:
     """Spans of the names between two other entities."""
     at = start
@@ -278,11 +469,10 @@ def mentions(text: str | None) -> Iterator[tuple[str, int, int, bool]]:
 
     ``repeated`` marks a word of a name that was detected elsewhere in the text.
     """
-    if not text or not _HINT.search(text):
+    if not text:
         return
-    plain = [(m.lastgroup, *m.span()) for m in _ENTITY.finditer(text)]
     out, at = [], 0
-    for kind, start, end in [*plain, ("", len(text), len(text))]:
+    for kind, start, end in [*_plain(text), ("", len(text), len(text))]:
         out += [("name", a, b, False) for a, b in _names(text, at, start)]
         out += [(kind, start, end, False)] if kind else []
         at = end
@@ -310,7 +500,9 @@ def normal_form(kind: str, text: str) -> str:
     """What two mentions of one entity share."""
     if kind == "email":
         return text.lower()
-    if kind in ("phone", "card", "ssn", "iban"):
+    if kind == "phone":
+        return "".join(phone_parts(text))
+    if kind in ("card", "ssn", "iban"):
         return "".join(c for c in text if c.isalnum())
     return unicodedata.normalize("NFC", text).lower() if kind == "name" else text
 
@@ -355,9 +547,13 @@ def _mentions(key: str):
 
 
 def surrogate_clashes(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
-    """``kind, made`` of surrogates that different entities share, over all documents."""
-    pairs = docs.select(F.col(text_col)).mapInArrow(_mentions(key), "kind string, entity string, made string").distinct()
-    return pairs.groupBy("kind", "made").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", "made")
+    """``kind, made`` of surrogates that different entities share, and of those of one entity with several."""
+    pairs = store(docs.select(F.col(text_col)).mapInArrow(_mentions(key), "kind string, entity string, made string")
+                  .distinct(), "surrogates")
+    n = F.count(F.lit(1)).alias("n")
+    shared = pairs.groupBy("kind", "made").agg(n).where("n > 1").select("kind", "made")
+    several = pairs.groupBy("kind", "entity").agg(n, F.min("made").alias("made")).where("n > 1").select("kind", "made")
+    return shared.union(several).distinct()
 
 
 _OUT_TYPE = ("doc_id long, text string, n_entities long, "

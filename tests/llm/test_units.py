@@ -152,6 +152,40 @@ def test_names_across_white_space_initials_scripts_and_repeats():
     assert len({S.replace(x)[0].split()[-1] for x in ("Dr Ann Smith", "Mrs Smith", "Mary Ann Smith")}) == 1
 
 
+def test_one_surrogate_for_each_card_and_phone_in_every_format():
+    def made(text):
+        new, found = S.replace(text)
+        return [(f["kind"], text[f["start"]:f["start"] + f["length"]],
+                 S.normal_form(f["kind"], new[f["new_start"]:f["new_start"] + f["new_length"]])) for f in found]
+
+    cards = ("4111111111111111", "4111111111111111 12 times", "4111 1111 1111 1111 12/25", "no 12 4111 1111 1111 1111",
+             "4111-1111-1111-1111", "4111 1111 1111 1111 5500 0000 0000 0004", "4111 1111 1111 1111 123")
+    assert {made(c)[0][2] for c in cards} == {made(cards[0])[0][2]}
+    assert [len(made(c)) for c in cards] == [1, 1, 1, 1, 1, 2, 1]
+    assert S.replace(cards[1])[0].endswith(" 12 times") and S.replace(cards[2])[0].endswith(" 12/25")
+    assert [m[1] for m in made("3782 822463 10005 and 6011 0009 9013 9424 7")] == ["3782 822463 10005", "6011 0009 9013 9424"]
+    for same in (("+1 (017) 555-7713", "+10175557713", "+1 017 555 7713 12 times", "0010175557713", "+1.017.555.7713"),
+                 ("555 123 4567", "555-123-4567", "(555) 123-4567", "555.123.4567", "555 123 4567 12 times"),
+                 ("030 1234567", "030/1234567", "(030) 1234567", "030 123 45 67", "030 1234567 12 times"),
+                 ("01 23 45 67 89", "01.23.45.67.89", "01-23-45-67-89"),
+                 ("+33 1 23 45 67 89", "+33123456789", "+33 (0)1 23 45 67 89"),
+                 ("+49 30 12345678", "+49 (0)30 12345678", "0049 30 1234 5678")):
+        rows = [made(x) for x in same]
+        assert all(len(r) == 1 and r[0][0] == "phone" for r in rows), rows
+        assert len({r[0][2] for r in rows}) == 1, rows
+        assert len({S.normal_form("phone", r[0][1]) for r in rows}) == 1, rows
+        assert all(S.replace(x)[0] != x for x in same)
+    for x in ("+33 (0)1 23 45 67 89", "0049 30 1234 5678"):
+        new = S.replace(x)[0]
+        assert new[:4] == x[:4] and [c.isdigit() for c in new] == [c.isdigit() for c in x]
+    assert [made(x)[0][0] for x in ("0054994038693466", "0045 9403 8693 3463", "+1 (826) 555-4081 190.137.223.204")] == [
+        "card", "card", "phone"]
+    assert [m[0] for m in made("+1 (826) 555-4081 190.137.223.204")] == ["phone", "ip"]
+    assert made("+1 555-1234 x")[0][1] == "+1 555-1234"
+    for plain in ("+٩٧١٥٠١٢٣٤٥٦٧", "on 2024-01-15 10 30", "pages 10 20 30", "00 01 02", "in 1999 12 5000", "+5 and +12 34"):
+        assert S.replace(plain) == (plain, []), plain
+
+
 def test_language_model_on_made_languages():
     words = {"en": "the and that with house", "de": "und der nicht haus über", "fr": "le dans être maison où"}
     rng = random.Random(2)
