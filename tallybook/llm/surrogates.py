@@ -12,19 +12,21 @@ format: digits stay digits where they were, letters stay letters of the same
 case and script, card and account numbers that passed the check-digit test
 still do, names keep number of words and the gender of listed given names.  Digits and letters are permuted by a keyed
 Feistel cipher over all characters of one alphabet, which is one-to-one, so
-different entities of one format stay different.  Names are spelled from the
-cipher of their letters' digest; ``surrogate_clashes`` counts replacements that
-two entities share, over all documents, and ``anonymise`` takes the next key
-until there are none.
+different entities of one format stay different; where formats could meet, the
+cipher is walked until its value is of the entity's own class.  Names are the
+enciphered number of their letters, spelled in syllables, one-to-one as well.
+So no key can make two entities clash, however many there are;
+``surrogate_clashes`` verifies it over all documents.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import string
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -157,6 +159,14 @@ def permute_text(text: str, key: str, kind: str, hexadecimal: bool = False) -> s
     return "".join(reversed(out))
 
 
+def _walked(text: str, key: str, tweak: str, kind_of: Callable[[str], object], hexadecimal: bool = False) -> str:
+    """``text`` permuted among the texts of its own class: a walk along the cycle, one-to-one on each class."""
+    made, own = permute_text(text, key, tweak, hexadecimal), kind_of(text)
+    while kind_of(made) != own:
+        made = permute_text(made, key, tweak, hexadecimal)
+    return made
+
+
 def luhn(digits: str) -> int:
     """Check sum of a digit string; 0 for a valid card number."""
     total = 0
@@ -194,34 +204,79 @@ def script_of(word: str) -> str:
     return "latin"
 
 
+@functools.cache
+def _capitals(block: int, script: str) -> list[str]:
+    return [c for c in map(chr, range(block, block + 128))
+            if c.isupper() and c.lower().upper() == c and unicodedata.name(c, "").startswith(script)]
+
+
 def _initial(letter: str, key: str) -> str:
-    """Another capital of the same script and block, one for each."""
-    first = ord(letter) & ~127
-    script = unicodedata.name(letter, "").split(" ")[0]
-    capitals = [c for c in map(chr, range(first, first + 128))
-                if c.isupper() and c.lower().upper() == c and unicodedata.name(c, "").startswith(script)]
+    """Another capital of the same script and block, one for each; the few without a lower case of their own stay."""
+    block, script = ord(letter) & ~127, unicodedata.name(letter, "").split(" ")[0]
+    capitals = _capitals(block, script)
     if letter not in capitals:
         return letter
-    return capitals[permute(capitals.index(letter), len(capitals), key, f"initial{first}{script}")]
+    return capitals[permute(capitals.index(letter), len(capitals), key, f"initial{block}{script}")]
+
+
+@functools.cache
+def _alphabets(script: str) -> tuple[str, ...]:
+    """Ever wider sets of letters that words of a script are numbered by; the last has every character."""
+    marks = "'’"
+    if script == "latin":
+        return string.ascii_lowercase, string.ascii_lowercase + marks + "".join(map(chr, range(0xdf, 0x180)))
+    first, last = (0x430, 0x460) if script == "cyrillic" else (0x3ac, 0x3cf)
+    letters = "".join(map(chr, range(first, last)))
+    return letters, letters + marks + string.ascii_lowercase
+
+
+def _numbered(word: str, key: str, script: str) -> int:
+    """A number for each word: its letters' enciphered, after those of all shorter words, apart for each alphabet."""
+    alphabets = _alphabets(script)
+    tier = next((k for k, a in enumerate(alphabets) if set(word) <= set(a)), len(alphabets))
+    digits = [alphabets[tier].index(c) for c in word] if tier < len(alphabets) else [ord(c) for c in word]
+    base = len(alphabets[tier]) if tier < len(alphabets) else 0x110000
+    value = 0
+    for d in digits:
+        value = value * base + d
+    shorter = (base ** len(digits) - base) // (base - 1)
+    value = shorter + permute(value, base ** len(digits), key, f"name|{script}|{tier}|{len(digits)}")
+    return value * (len(alphabets) + 1) + tier
 
 
 def _spelled(word: str, key: str) -> str:
     """A name of the same script and case, one for each word in lower case."""
     if word in PARTICLES:
         return word
-    if len(word) == 1:
-        return _initial(word, key)
-    script = script_of(word)
-    syllables = SYLLABLES[script].split()
-    value = _digest(5, key, "name", normal_form("name", word))  # 40 bits: eight syllables at most
-    out = ""
-    while value:
+    low = normal_form("name", word)
+    if len(low.upper()) == 1:
+        return _initial(low.upper(), key)
+    script = script_of(low)
+    syllables, out = SYLLABLES[script].split(), ""
+    value = _numbered(low, key, script)
+    while value >= 0:  # numerals without a zero, so that every number has its own
         value, at = divmod(value, len(syllables))
-        out += syllables[at]
-    out += ENDINGS.get((script, _GENDER.get(unicodedata.normalize("NFC", word).capitalize(), "n")), "")
+        out, value = out + syllables[at], value - 1
+    out += ENDINGS.get((script, _GENDER.get(low.capitalize(), "n")), "")
     return out.upper() if word.isupper() else out.capitalize()
 
 
+def secret_parts(text: str) -> tuple[str, str, str]:
+    """A secret's name, its value without quotes, and what comes after."""
+    if _secret_class(text) == "access key":
+        return "", text, ""
+    head = re.match(r"[^=:]*[=:]\s*", text)[0]
+    quote = text[len(head):len(head) + 1]
+    n = len(head) + (quote in ("'", '"') and text[-1] == quote)
+    return text[:n], text[n:len(text) - (n - len(head))], text[len(text) - (n - len(head)):]
+
+
+def _secret_class(value: str) -> str:
+    if re.fullmatch("(?:AKIA|ASIA)[0-9A-Z]{16}", value):
+        return "access key"
+    return "hexadecimal" if re.fullmatch("[0-9a-f]+", value) else "other"
+
+
 def phone_parts(text: str) -> tuple[str, str]:
     """What stays and what is enciphered of a number: its country code, and its digits without a trunk zero in brackets."""
     digits = "".join(c for c in text.replace("(0)", "") if c in string.digits)
@@ -237,10 +292,8 @@ def surrogate(kind: str, text: str, key: str = KEY) -> str:
     """Replacement of one entity, as long and of the same format (names: of the same script)."""
     plain = "".join(c for c in text if c.isalnum())
     if kind == "email":
-        user, _, domain = text.partition("@")
-        head, dot, top = domain.rpartition(".")
-        own = permute_text(user.lower() + "@" + head.lower(), key, kind)
-        return own + dot + top.lower()
+        head, dot, top = normal_form(kind, text).rpartition(".")
+        return permute_text(head, key, kind) + dot + top
     if kind == "ip":
         parts = [int(p) for p in text.split(".")]
         value = permute(int.from_bytes(bytes(parts), "big"), 1 << 32, key, kind)
@@ -251,7 +304,12 @@ def surrogate(kind: str, text: str, key: str = KEY) -> str:
         return _regrouped(text, body + last)
     if kind == "phone":
         code, own = phone_parts(text)
-        made = code.replace("+", "" if text[0] == "+" else "00") + permute_text(own, key, kind + code)
+        if code:
+            made = ("" if text[0] == "+" else "00") + code[1:] + permute_text(own, key, kind + code)
+        else:  # a trunk zero stays one, and no other number gets one or a country code
+            zero = own[:own[0] == "0"]
+            made = zero + _walked(own[len(zero):], key, kind + zero, lambda t: (
+                t[0] == "0" if not zero else t[0] == "0" and t[1:2] not in ("", "0")))
         return "(0)".join(_laid(text.split("(0)"), made))
     if kind == "ssn":
         return _regrouped(text, permute_text(plain, key, kind))
@@ -259,11 +317,13 @@ def surrogate(kind: str, text: str, key: str = KEY) -> str:
         if iban_check(plain[:2], plain[4:]) == plain[2:4]:
             body = permute_text(plain[4:], key, f"valid{kind}{plain[:2]}")
             return _regrouped(text, plain[:2] + iban_check(plain[:2], body) + body)
-        return _regrouped(text, plain[:2] + permute_text(plain[2:], key, kind + plain[:2]))
+        return _regrouped(text, plain[:2] + _walked(plain[2:], key, kind + plain[:2],
+                                                    lambda t: iban_check(plain[:2], t[2:]) == t[:2]))
     if kind == "secret":
-        head = re.match(r"(?:AKIA|ASIA)|[^=:]*[=:]\s*", text)[0]
-        body = text[len(head):]
-        return head + permute_text(body, key, kind, hexadecimal=bool(re.fullmatch("[\"']?[0-9a-f]+[\"']?", body)))
+        head, body, tail = secret_parts(text)
+        fixed = body[:4] if _secret_class(body) == "access key" else ""
+        return head + fixed + _walked(body[len(fixed):], key, kind + fixed, lambda t: _secret_class(fixed + t),
+                                      _secret_class(body) == "hexadecimal") + tail
     return _WORD.sub(lambda m: _spelled(m[0], key), text)
 
 
@@ -477,7 +537,7 @@ def mentions(text: str | None) -> Iterator[tuple[str, int, int, bool]]:
         out += [(kind, start, end, False)] if kind else []
         at = end
     known = {normal_form("name", w[0]) for kind, a, b, _ in out if kind == "name" for w in _WORD.finditer(text, a, b)
-             if len(w[0]) > 1 and w[0] not in PARTICLES}
+             if len(normal_form("name", w[0])) > 1 and w[0] not in PARTICLES}
     if not known:
         yield from out
         return
@@ -504,6 +564,10 @@ def normal_form(kind: str, text: str) -> str:
         return "".join(phone_parts(text))
     if kind in ("card", "ssn", "iban"):
         return "".join(c for c in text if c.isalnum())
+    if kind == "ip":
+        return ".".join(str(int(p)) for p in text.split("."))
+    if kind == "secret":
+        return secret_parts(text)[1]
     return unicodedata.normalize("NFC", text).lower() if kind == "name" else text
 
 
@@ -538,7 +602,8 @@ def _mentions(key: str):
                 for kind, start, end in entities(text):
                     if kind == "name":  # words are replaced one by one, so that short mentions agree
                         for w in _WORD.finditer(text, start, end):
-                            yield kind, normal_form(kind, w[0]), normal_form(kind, _spelled(w[0], key))
+                            if w[0] not in PARTICLES:
+                                yield kind, normal_form(kind, w[0]), normal_form(kind, _spelled(w[0], key))
                     else:
                         new = surrogate(kind, text[start:end], key)
                         yield kind, normal_form(kind, text[start:end]), normal_form(kind, new)
@@ -564,26 +629,21 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_entities",
                   ("entities", pa.list_(_SPAN))])
 
 
-def anonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", id_col: str = "doc_id",
-              attempts: int = 8) -> DataFrame:
+def anonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, text, n_entities, entities`` for every row of ``docs``.
 
     Texts without entities, null and empty ones included, stay as they are.
-    Equal rows get equal results; null ids stay null.  If two entities share a
-    surrogate, the next key is taken for all documents; after ``attempts`` keys
-    the job fails rather than mix two entities up.
+    Equal rows get equal results; null ids stay null.  The surrogates are
+    one-to-one by construction at every number of entities; that none is shared
+    and none has several is verified over all documents.
     """
-    for n in range(attempts):
-        own = key if n == 0 else f"{key}#{n}"
-        if not store(surrogate_clashes(docs, own, text_col), "clashes").limit(1).count():
-            break
-    else:
-        raise RuntimeError(f"surrogates of different entities clash under {attempts} keys")
+    if store(surrogate_clashes(docs, key, text_col), "clashes").limit(1).count():
+        raise AssertionError("the surrogates' ciphers are not one-to-one")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc, text in rows_of(batches):
-                new, found = rewritten(text, own)
+                new, found = rewritten(text, key)
                 yield doc, new, len(found), [f for f, _ in found]
         return batches_of(rows(), _OUT, 512)
 
