@@ -28,10 +28,15 @@ _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _COMMA = re.compile("[,،、，;]")
 
 # Elements by their part in a page.
-RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math".split())
+RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes".split())
+#: inside these a slash closes any element, and HTML elements end them; some of their elements hold HTML again
+FOREIGN = frozenset("svg math".split())
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                         "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEFT_OUT = frozenset("head nav footer aside form button select option menu dialog object audio video canvas datalist "
-                     "fieldset label legend".split()) | RAW
+                     "fieldset label legend svg annotation annotation-xml".split()) | RAW
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary "
                   "table tbody td tfoot th thead tr ul br".split())
@@ -53,12 +58,15 @@ NOT_ITSELF = frozenset("has with no without is hide".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked")
+    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked", "foreign")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.parts: list = []  # texts and nodes in page order
         self.score, self.paragraph, self.size, self.linked = 0.0, False, 0, 0
+        # the drawing or formula that the node's content is part of
+        above = parent.foreign if parent else None
+        self.foreign: Node | None = self if tag in FOREIGN else None if tag in HOLDS_HTML else above
 
 
 def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -102,6 +110,9 @@ def parse(page: str) -> Node:
             continue
         if tag in ("html", "body") and here.parent is None and tag == "html":
             continue
+        while here.foreign and tag in ENDS_FOREIGN:
+            here = here.foreign.parent
+        closed = found[3].endswith("/")
         if tag in ENDS_PARAGRAPH:
             node = here
             while node is not None and node.tag not in ("p", "td", "th", "button"):
@@ -122,12 +133,12 @@ def parse(page: str) -> Node:
             inside, node = node.tag in ("article", "main"), node.parent
         new = Node(tag, here, here.out or _left_out(tag, found[3], inside))
         here.parts.append(new)
-        if tag in RAW:  # its content is text up to its own end tag
+        if tag in RAW and not (closed and here.foreign):  # its content is text up to its own end tag
             low = page.lower() if low is None else low
             end = low.find(f"</{tag}", at)
             close = page.find(">", end) if end >= 0 else -1
             at = close + 1 if close >= 0 else len(page)
-        elif tag not in VOID and not found[3].endswith("/"):
+        elif tag not in VOID and not closed:
             here = new
     rest = page[at:]
     if rest:

@@ -109,6 +109,17 @@ def test_main_text_of_made_pages():
         "", "", "", "text only", "a b"]
 
 
+def test_main_text_around_drawings_and_formulas():
+    body = "Long text, with commas, that goes on for a while. Then it ends."
+    for icon in ('<svg class="i"/>', "<math/>", "<svg><path d=x/><text>no</text></svg>", "<svg><svg/><text>no</text></svg>",
+                 "<svg><title/><style/><text>no</text></svg>", "<svg><title>no</title><foreignObject><p>no</p></foreignObject></svg>"):
+        assert H.extract(f"<article><h1>A</h1>{icon}<p>{body}</p><p>{body}</p></article>") == f"A {body} {body}", icon
+    assert H.extract(f"<article><svg><path><p>{body}</p><p>{body}</article>") == f"{body} {body}"
+    formula = ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding=tex>x=1</annotation>"
+               "</semantics></math>")
+    assert H.extract(f"<article><p>Let {formula} here. {body}</p></article>") == f"Let x=1 here. {body}"
+
+
 def test_permutation_is_one_to_one_and_surrogates_keep_format():
     assert sorted(S.permute(v, 1000, "k", "t") for v in range(1000)) == list(range(1000))
     text = ("Write to Joe.1@mail.example.com or +1 (555) 123-4567, card 4111 1111 1111 1111, host 10.2.3.4, "
