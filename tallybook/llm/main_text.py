@@ -6,7 +6,10 @@ ancestor.  A container's total is discounted by the share of its text inside
 links.  The best container is kept with those of its siblings that score
 alongside it.  Parts that are never main text (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, reader comments) are known by tag,
-role, class or id and are left out.
+role, class or id and are left out.  Headings, paragraphs and everything inside
+<article> or <main> are left out for a class or role that says nothing else,
+never for an id, which may be made from a heading.  Blocks of links are left
+out of pages and of <main>, but not of an <article>, or of <main> without one.
 """
 
 from __future__ import annotations
@@ -54,16 +57,27 @@ NEVER = frozenset("ad ads advert advertisement adverts advertising sponsor spons
 SELDOM = frozenset("header banner masthead notice notices alert popup modal overlay promo related recommended share "
                    "sharing social widget rail outbrain taboola disclaimer copyright tags".split())
 LIKELY = frozenset("article body content entry main post story text page".split())
+#: words that say nothing about a part's content next to one of NEVER or SELDOM
+FILLER = frozenset("section list box block area wrapper wrap container bar link links post posts article articles button "
+                   "buttons icon icons form panel unit slot thread row item items inner outer main site page top bottom "
+                   "left right primary secondary global mobile sub".split())
+#: of SELDOM, what a part of an article may well be
+IN_ARTICLES = frozenset("header masthead notice notices alert disclaimer copyright".split())
+MARKS = NEVER | SELDOM
+STRICT = MARKS - IN_ARTICLES
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
 NOT_ITSELF = frozenset("has with no without is hide".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked", "foreign")
+    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked", "foreign", "inside")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.parts: list = []  # texts and nodes in page order
         self.score, self.paragraph, self.size, self.linked = 0.0, False, 0, 0
+        # 2 in an article, 1 in <main> alone, else 0
+        self.inside: int = max(parent.inside if parent else 0, 2 * (tag == "article"), tag == "main")
         # the drawing or formula that the node's content is part of
         above = parent.foreign if parent else None
         self.foreign: Node | None = self if tag in FOREIGN else None if tag in HOLDS_HTML else above
@@ -74,7 +88,7 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
         return True
     if tag in KEPT_WHATEVER_CLASS or not attributes.strip(" /"):
         return False
-    words: list[str] = []
+    strict, words = inside_article or tag in TEXT, set()
     for name, value in _ATTR.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -82,12 +96,20 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        elif name in ("class", "id", "role"):
+        elif name in ("class", "id", "role") and not (strict and name == "id"):
             for item in value.split():
                 parts = [w.lower() for w in _WORD.findall(item)]
-                words += parts if not parts or parts[0] not in NOT_ITSELF else []
-    seen = set(words)
-    return bool(seen & NEVER) or bool(seen & SELDOM and not seen & LIKELY)
+                if parts and parts[0] in NOT_ITSELF:
+                    continue
+                if strict or name == "id":  # the whole value, not a word of it
+                    marks, seen = STRICT if strict else MARKS, set(parts)
+                    if not seen & marks or not seen <= marks | FILLER:
+                        words.update(LIKELY.intersection(parts) if not strict else ())
+                        continue
+                    if strict:
+                        return True
+                words.update(parts)
+    return bool(words & NEVER) or bool(words & SELDOM and not words & LIKELY)
 
 
 def parse(page: str) -> Node:
@@ -128,10 +150,7 @@ def parse(page: str) -> Node:
         elif tag == "body" or here.tag == "head" and tag in BLOCK:
             while here.tag == "head":
                 here = here.parent
-        inside, node = False, here
-        while node is not None and not inside:
-            inside, node = node.tag in ("article", "main"), node.parent
-        new = Node(tag, here, here.out or _left_out(tag, found[3], inside))
+        new = Node(tag, here, here.out or _left_out(tag, found[3], here.inside > 0))
         here.parts.append(new)
         if tag in RAW and not (closed and here.foreign):  # its content is text up to its own end tag
             low = page.lower() if low is None else low
@@ -170,8 +189,11 @@ def _density(node: Node) -> float:
     return node.linked / node.size if node.size else 0.0
 
 
-def _text(node: Node) -> str:
-    """Decoded text below a node: white space inside blocks as one space, blocks joined by one."""
+def _text(node: Node, whole: int = 2) -> str:
+    """Decoded text below a node: white space inside blocks as one space, blocks joined by one.
+
+    Blocks of links are left out where ``inside`` is below ``whole``.
+    """
     blocks: list[list[str]] = [[]]
 
     def walk() -> None:
@@ -183,7 +205,7 @@ def _text(node: Node) -> str:
             elif isinstance(item, str):
                 blocks[-1].append(item)
             elif not item.out and not (item is not node and item.tag in ("ul", "ol", "div", "table")
-                                       and item.size and _density(item) > 0.6):
+                                       and item.inside < whole and item.size and _density(item) > 0.6):
                 if item.tag in BLOCK:
                     blocks.append([])
                     stack.append(None)
@@ -199,9 +221,10 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    whole = 2 if _first(root, ("article",)) else 1
     scored: dict[int, Node] = {}
     for p in _measure(root):
-        text = _text(p)
+        text = _text(p, whole)
         points = min(len(text) / 100, 3.0) + len(_COMMA.findall(text)) + (len(text) >= 25)
         points *= 1 - _density(p)
         node, level = (p if p.tag != "p" and p.tag in ("article", "main", "body", "div", "section") else p.parent), 0
@@ -213,25 +236,25 @@ def extract(page: str | None) -> str:
             node, level = node.parent, level + 1
     if not scored:
         node = _first(root, ("article", "main", "body")) or root
-        return _text(node)
+        return _text(node, whole)
     best = max(scored.values(), key=lambda n: n.score * (1 - _density(n)))
     node = best
     while node is not None and node.tag not in ("article", "main"):
         node = node.parent
     best = node or best
     if best.parent is None:
-        return _text(best)
+        return _text(best, whole)
     limit = max(10.0, 0.2 * best.score * (1 - _density(best)))
     kept = []
     for sibling in best.parent.parts:
         if not isinstance(sibling, Node) or sibling.out:
             continue
         if sibling is best or sibling.score * (1 - _density(sibling)) >= limit:
-            kept.append(_text(sibling))
+            kept.append(_text(sibling, whole))
         elif sibling.tag == "p" and sibling.size and (
                 sibling.size > 80 and _density(sibling) < 0.25
-                or not sibling.linked and _text(sibling).endswith((".", "!", "?"))):
-            kept.append(_text(sibling))
+                or not sibling.linked and _text(sibling, whole).endswith((".", "!", "?"))):
+            kept.append(_text(sibling, whole))
     return " ".join(t for t in kept if t)
 
 
@@ -242,7 +265,7 @@ def _first(node: Node, tags: tuple[str, ...]) -> Node | None:
             item = stack.pop()
             if item.tag == tag and not item.out:
                 return item
-            stack += [c for c in item.parts if isinstance(c, Node)][::-1]
+            stack += [c for c in item.parts if isinstance(c, Node) and not c.out][::-1]
     return None
 
 

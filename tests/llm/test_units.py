@@ -120,6 +120,23 @@ def test_main_text_around_drawings_and_formulas():
     assert H.extract(f"<article><p>Let {formula} here. {body}</p></article>") == f"Let x=1 here. {body}"
 
 
+def test_main_text_keeps_anchors_lists_and_linked_paragraphs_of_articles():
+    body = "Long text, with commas, that goes on for a while. Then it ends."
+    for tag in ("article", "main"):
+        for part in ('<section id="search-algorithms"><p>T</p></section>', '<h2 id="cookies-in-law">T</h2>',
+                     '<h3 id="comments-on-the-text">T</h3>', '<p id="menu">T</p>', '<div id="copyright-and-fair-use">T</div>',
+                     '<ul><li><a href=a>T</a></li></ul>', '<div><a href=a>T</a></div>', '<table><tr><td><a href=a>T</a></table>',
+                     '<div class="alert">T</div>', '<p class="search-terms">T</p>'):
+            assert H.extract(f"<{tag}><p>{body}</p>{part}<p>{body}</p></{tag}>") == f"{body} T {body}", part
+        for part in ('<div class="ad">T</div>', '<div class="social-share">T</div>', '<ul role="navigation"><li>T</ul>',
+                     '<section class="comments-list"><p>T</p></section>', '<p class="x advert">T</p>', '<nav>T</nav>'):
+            assert H.extract(f"<{tag}><p>{body}</p>{part}<p>{body}</p></{tag}>") == f"{body} {body}", part
+    page = f'<div class="content"><p>{body}</p><section id="search-algorithms"><h2 id="menu">T</h2><p>{body}</p></section>%s</div>'
+    for part in ('<div id="cookie-notice"><p>no</p></div>', '<div id="site-navigation">no</div>', '<div class="nav-x">no</div>',
+                 '<ul><li><a href=a>no, no, no</a></ul>'):
+        assert H.extract(page % part) == f"{body} T {body}", part
+
+
 def test_permutation_is_one_to_one_and_surrogates_keep_format():
     assert sorted(S.permute(v, 1000, "k", "t") for v in range(1000)) == list(range(1000))
     text = ("Write to Joe.1@mail.example.com or +1 (555) 123-4567, card 4111 1111 1111 1111, host 10.2.3.4, "
