@@ -46,7 +46,8 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("sequences", sequences)]
 
 #: The learned ratio model, the sketches and the tokenizer have no SQL form;
-#: tests hold every stage against a brute-force version instead.
+#: tests/llm/test_brute_force.py holds every stage, run on its predecessor's
+#: output, against a brute-force version instead.
 ORACLE_SQL = None
 
 
