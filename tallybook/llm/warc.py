@@ -9,7 +9,9 @@ records back byte by byte.
 ``write_warc`` turns an archive into WARC/1.1 files with Spark's text writer,
 whose line separator is the blank line pair that ends a record.  Records whose
 payload another record holds become revisit records.  ``read_warc`` reads such
-files, record by record by Content-Length, and verifies every digest again.
+files, record by record by Content-Length, verifies every response's digest
+again, and that every revisit has the length and digest of the response that it
+refers to.
 """
 
 from __future__ import annotations
@@ -144,7 +146,8 @@ def parse_warc(data) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 _READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                   ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())])
+                   ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()),
+                   ("record_id", pa.string()), ("target_id", pa.string())])
 
 
 def _page_of(urn: str | None) -> int | None:
@@ -163,15 +166,26 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
                     raise ValueError(f"payload of {headers['warc-record-id']} does not match its digest")
                 yield (_page_of(headers["warc-record-id"]), size, digest, headers["warc-type"],
-                       _page_of(headers.get("warc-refers-to")), headers.get("warc-target-uri"))
+                       _page_of(headers.get("warc-refers-to")), headers.get("warc-target-uri"),
+                       headers["warc-record-id"], headers.get("warc-refers-to"))
     return batches_of(rows(), _READ)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, url`` of every record, verified."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, "
-                                   "refers_to long, url string")
+    rows = store(files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, "
+                                         "refers_to long, url string, record_id string, target_id string"), "warc-read")
+    # one row for all revisits of a response that say the same
+    revisits = (rows.where("record_type = 'revisit'").groupBy("target_id", "payload_bytes", "payload_digest")
+                .agg(F.min("record_id").alias("record_id")))
+    responses = rows.where("record_type = 'response'").select(
+        F.col("record_id").alias("target_id"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest"))
+    wrong = revisits.join(responses, "target_id", "left").where(
+        "not (payload_bytes <=> bytes and payload_digest <=> digest)").select("record_id", "target_id").first()
+    if wrong:
+        raise ValueError(f"revisit {wrong[0]} does not match the response it refers to, {wrong[1]}")
+    return rows.drop("record_id", "target_id")
 
 
 QUERY_SQL = """

@@ -108,6 +108,17 @@ def test_archive_round_trip(spark):
     assert back == Counter((i, h or "") for i, _, h in rows)
 
 
+def test_a_revisit_needs_its_response(spark):
+    ship(spark)
+    pages = spark.createDataFrame([(1, "u", "one"), (2, "u", "one"), (3, "u", "two")], "page_id long, url string, html string")
+    records, payloads = warc.build_archive(pages)
+    urn = {r.page_id: f"<urn:x-page:{r.page_id}:{r.row}>" for r in records.collect()}
+    for other in (urn[3], "<urn:x-page:9:9>"):  # another payload's response, none
+        changed = F.regexp_replace("warc_header", f"(?<=Refers-To: ){urn[1]}", other)
+        with pytest.raises(ValueError, match="does not match the response"):
+            warc.read_warc(spark, warc.write_warc(records.withColumn("warc_header", changed), payloads))
+
+
 def test_selection_and_empty_tables(spark, docs):
     df = spark.createDataFrame([(float(x),) for x in (5, 1, 3, 3, 9, -2)], "v double")
     assert [resampling.kth_largest(df, "v", k) for k in (1, 2, 3, 4, 5)] == [9, 5, 3, 3, 1]
