@@ -9,8 +9,11 @@ aligning their labelled shingles within the band that the required similarity
 leaves open; the similarity is aligned / (all - aligned), the Jaccard
 similarity of the shingles that keep their order.
 
-With three shingles a sample, a pair at 0.8 shares one of 16 buckets with
-probability 1 - (1 - 0.8^3)^16 > 0.99998.
+With three shingles a sample, drawn without replacement, a pair with c of u
+shingles in common and in order shares one of 16 buckets with probability
+1 - (1 - C(c, 3) / C(u, 3))^16.  At 0.8 that is 0.99972 for 4 of 5, 0.99996 for
+8 of 10, 0.99997 for 12 of 15, 0.99998 for 16 of 20 and rises with the length
+to 1 - (1 - 0.8^3)^16 = 0.99999.  Short texts have no exact join besides.
 
 Equal word sequences are one class first, so copies cost nothing further.
 Buckets are split into units of at most two chunks of ``CHUNK`` classes; every
