@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, resampling, surrogates,
-               warc)
+from . import (cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, planes, resampling,
+               surrogates, warc)
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -96,8 +96,14 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, read(spark, sf_dir, "labels"), "row").drop("row")
 
 
+def op11_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
+    return planes.read_ids(spark, planes.write_ids(read(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 _QUERIES = {f.__name__: f for f in (op1_temperature_mixing, op2_exact_dedup, op3_surrogates, op4_cover_tree, op5_warc,
-                                    op6_language_id, op7_main_text, op8_packing, op9_order_minhash, op10_resampling)}
+                                    op6_language_id, op7_main_text, op8_packing, op9_order_minhash, op10_resampling,
+                                    op11_id_planes)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
