@@ -16,8 +16,6 @@ cannot change what the merge has already seen.
 from __future__ import annotations
 
 import itertools
-import os
-import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -28,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of, rows_of, store
+from .tokens import GROUP_CHARS, encoder
 
 SEQUENCE = 4096
 OPEN = 64
@@ -36,78 +35,6 @@ END_ID = 2
 LEAST_CUT = 64
 #: tasks (then groups) whose open windows are merged together
 FAN_IN = 16
-#: entries of each of the encoder's caches before the older half goes
-CACHE = 100_000
-_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@[-`{-~]*)")
-#: white space to Python but not to the tokenizer
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-
-
-class _Cache(dict):
-    """Two generations: what was not used since the last turn is forgotten."""
-
-    def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.old = limit, {}
-
-    def lacking(self, keys: set) -> list:
-        """Keys in neither generation; those in the old one move to the new."""
-        out = []
-        for key in keys.difference(self):
-            value = self.old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                self[key] = value
-        return out
-
-    def turn(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-
-
-class Encoder:
-    """Texts to little-endian unsigned 32-bit token ids, white-space chunk by chunk.
-
-    The tokenizer drops white space and splits there, so the ids of a text are
-    those of its chunks in turn; chunks repeat, hence the cache.  A chunk of
-    Latin letters and closing ASCII punctuation is split once more, in lower
-    case, as the tokenizer's own pattern and normaliser do.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.chunks, self.parts = _Cache(CACHE), _Cache(2 * CACHE)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        new = self.chunks.lacking(set().union(*(s for s in split if s)))
-        cut = {w: (m[1].lower(), m[2]) if (m := _LATIN.fullmatch(w)) else (w, "") for w in new}
-        parts = self.parts.lacking({p for pair in cut.values() for p in pair})
-        self.parts.update(zip(parts, self._encode(parts), strict=True))
-        for w, (a, b) in cut.items():
-            self.chunks[w] = self.parts[a] + self.parts[b]
-        get = self.chunks.__getitem__
-        out = [self._encode([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
-        self.chunks.turn()
-        self.parts.turn()
-        return out
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
 
 
 class Windows:
@@ -155,6 +82,17 @@ _PIECE = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.in
                     ("offset", pa.int64()), ("ids", pa.binary())])
 
 
+def _group(source: Iterator[tuple]) -> list[tuple]:
+    """The next rows of ``(doc_id, text)``, about as many characters as are split at once."""
+    held, chars = [], 0
+    for row in source:
+        held.append(row)
+        chars += len(row[1] or "")
+        if chars >= GROUP_CHARS:
+            break
+    return held
+
+
 def _packer(path: str, with_ids: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -166,7 +104,7 @@ def _packer(path: str, with_ids: bool):
         def rows():
             source = rows_of(batches)
             end = array("I", [END_ID]).tobytes()
-            while group := list(itertools.islice(source, 256)):
+            while group := _group(source):
                 encoded = encoder(path).ids([text or "" for _, text in group])
                 for (doc_id, _), ids in zip(group, encoded, strict=True):
                     ids += end

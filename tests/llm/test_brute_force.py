@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,6 +16,7 @@ from tallybook.llm import mixing as M
 from tallybook.llm import resampling as R
 from tallybook.llm import surrogates as S
 from tallybook.llm.common import read, store
+from tallybook.llm.queries import tokenizer_path
 
 from test_queries import SMALL, similar, units
 
@@ -213,3 +215,33 @@ def test_main_text_is_the_article_of_every_page(spark):
         inner = re.sub(r"</?(?:p|h\d|div|ul|ol|li|table|tr|td|th|br|section|blockquote|pre)\b[^>]*>", " ", inner)
         assert r.text.split() == unescape(re.sub(r"<[^>]*>", "", inner)).split(), r.page_id
         assert r.n_chars == len(r.text)
+
+
+def whole_ids(spark):
+    """Ids of every document by the plain tokenizer, the end id after each."""
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(tokenizer_path())
+    return {r.doc_id: np.array(whole.encode(r.text or "", add_special_tokens=False).ids + [2], "<u4")
+            for r in read(spark, SMALL, "documents").collect()}
+
+
+def test_every_piece_holds_its_ids(spark):
+    ids, at = whole_ids(spark), Counter()
+    rows = E.queries()["op8_packing"](spark, SMALL).collect()
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        own = ids[r.doc_id]
+        assert (r.start, r.doc_tokens) == (at[r.doc_id], len(own))
+        assert r.ids_crc32 == zlib.crc32(own[r.start:r.start + r.length].tobytes())
+        at[r.doc_id] += r.length
+    assert at == {d: len(own) for d, own in ids.items()}
+    windows = len({r.sequence_id for r in rows})
+    assert windows * 4096 <= 1.02 * sum(map(len, ids.values())) + 4096
+
+
+def test_planes_hold_all_ids_in_order(spark):
+    ids, start, want = whole_ids(spark), 0, []
+    for d in sorted(ids):
+        want.append((d, start, len(ids[d]), zlib.crc32(ids[d].tobytes())))
+        start += len(ids[d])
+    rows = E.queries()["op11_id_planes"](spark, SMALL).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == want

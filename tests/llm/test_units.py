@@ -12,6 +12,7 @@ from tallybook.llm import order_minhash as O
 from tallybook.llm import packing as P
 from tallybook.llm import resampling as R
 from tallybook.llm import surrogates as S
+from tallybook.llm import tokens as T
 from tallybook.llm.queries import tokenizer_path
 from tallybook.llm.words import labelled
 
@@ -78,11 +79,23 @@ def test_encoder_equals_the_tokenizer():
     whole = Tokenizer.from_file(tokenizer_path())
     texts = ["", "Plain words, with. punctuation!! dogs' don't 'S", "Éàü ÀB ß Straße İx ΟΔΟΣ", "a\x1cb \x85 c d",
              "<|endoftext|> x<|startoftext|>y", "é ́ 한국어 123 4.5", "word" * 300, "A-b_c @x.com http://a/b?c=1"]
-    got = P.Encoder(tokenizer_path()).ids(texts * 2)
+    got = T.Encoder(tokenizer_path()).ids(texts * 2)
     for text, ids in zip(texts * 2, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_cuts_long_texts_and_forgets(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcXé \"'!9\n\t́中") for _ in range(rng.randrange(0, 400))) for _ in range(300)]
+    monkeypatch.setattr(T, "GROUP_CHARS", 150)  # many of them are cut, the others come in many groups
+    encoder = T.Encoder(tokenizer_path(), limit=50)
+    for text, ids in zip(texts, encoder.arrays(texts), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_windows_are_gapless_and_never_overfull():
     rng = random.Random(1)
     windows, filled = P.Windows(limit=4, size=128), {}
