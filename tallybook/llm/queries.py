@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, planes, resampling,
-               surrogates, warc)
+from . import (alignment, cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, planes,
+               resampling, surrogates, warc)
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -101,9 +101,15 @@ def op11_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_ids(spark, planes.write_ids(read(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
+    return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"))
+
+
 _QUERIES = {f.__name__: f for f in (op1_temperature_mixing, op2_exact_dedup, op3_surrogates, op4_cover_tree, op5_warc,
                                     op6_language_id, op7_main_text, op8_packing, op9_order_minhash, op10_resampling,
-                                    op11_id_planes)}
+                                    op11_id_planes, op13_token_alignment)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
