@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (alignment, cover_tree, exact_dedup, langid, main_text, mixing, order_minhash, packing, planes,
+from . import (alignment, cover_tree, exact_dedup, hard_negatives, langid, main_text, mixing, order_minhash, packing, planes,
                resampling, surrogates, warc)
 from .common import read
 
@@ -101,6 +101,11 @@ def op11_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_ids(spark, planes.write_ids(read(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """anchor_id, positive_id, rank, negative_id, positive_score, negative_score."""
+    return hard_negatives.hard_negatives(hard_negatives.prepared(read(spark, sf_dir, "embeddings")))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
     return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -109,7 +114,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {f.__name__: f for f in (op1_temperature_mixing, op2_exact_dedup, op3_surrogates, op4_cover_tree, op5_warc,
                                     op6_language_id, op7_main_text, op8_packing, op9_order_minhash, op10_resampling,
-                                    op11_id_planes, op13_token_alignment)}
+                                    op11_id_planes, op12_hard_negatives, op13_token_alignment)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,4 +135,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_exact_dedup": exact_dedup.QUERY_SQL, "op4_cover_tree": cover_tree.QUERY_SQL,
-            "op5_warc": warc.QUERY_SQL}
+            "op5_warc": warc.QUERY_SQL, "op12_hard_negatives": hard_negatives.QUERY_SQL}
