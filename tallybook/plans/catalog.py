@@ -8,6 +8,7 @@ what a single-tenant ledger is still checked against.
 
 from __future__ import annotations
 
+from ..operators.cascade import CASCADE, NO_ACTION, RESTRICT, Reference
 from ..operators.checks import Rule
 from ..sources import schemas as S
 
@@ -192,6 +193,30 @@ FK_RULES = [
         "t_family_member", ("owner", "family_member_id")),
 ]
 
+# Declared actions (ON UPDATE, ON DELETE) of the references; what is not declared is NO ACTION.
+REFERENCE_ACTIONS = {
+    "fk_account_id_account_name_owner": (CASCADE, NO_ACTION),
+    "fk_category_name": (CASCADE, RESTRICT),
+    "fk_description_name": (CASCADE, RESTRICT),
+    "fk_receipt_image": (CASCADE, NO_ACTION),
+    "fk_pending_account": (CASCADE, NO_ACTION),
+    "fk_payment_source_account": (CASCADE, NO_ACTION),
+    "fk_payment_destination_account": (CASCADE, NO_ACTION),
+    "fk_source_account": (CASCADE, NO_ACTION),
+    "fk_destination_account": (CASCADE, NO_ACTION),
+    "fk_payment_guid_source": (CASCADE, NO_ACTION),
+    "fk_payment_guid_destination": (CASCADE, NO_ACTION),
+    "fk_transfer_guid_source": (CASCADE, NO_ACTION),
+    "fk_transfer_guid_destination": (CASCADE, NO_ACTION),
+    "fk_validation_account_id": (CASCADE, NO_ACTION),
+    "fk_receipt_transaction": (CASCADE, NO_ACTION),
+    "fk_medical_expense_transaction": (NO_ACTION, CASCADE),
+    "fk_medical_expense_provider": (NO_ACTION, NO_ACTION),
+    "fk_medical_expense_family_member": (CASCADE, NO_ACTION),
+}
+REFERENCES = tuple(Reference(r.name, r.table, r.columns, r.ref_table, r.ref_columns, *REFERENCE_ACTIONS[r.name])
+                   for r in FK_RULES)
+
 # Un-scoped uniques and references replaced by the tenant migration; still the
 # rules of a single-tenant ledger.
 LEGACY_RULES = [

@@ -51,4 +51,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import q_checks, q_io, q_mutations, q_operators, q_reports  # noqa: F401
+    from . import q_cascade, q_checks, q_io, q_mutations, q_operators, q_reports  # noqa: F401
