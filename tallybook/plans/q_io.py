@@ -5,10 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.relational import union_tree
 from ..sources import io as IO
 from ..sources import schemas as S
 from ..sources.complete import CompleteLedger
+from ..sources.migration import Migration, Target
+from .catalog import REFERENCES
 from .registry import PARAMS as P
 from .registry import register
 
@@ -68,6 +72,99 @@ register("migrate_ledger", "\nunion all\n".join(
     _migrate_ledger)
 
 
+# A run that breaks at its last table, is started again and once more after that.
+_RESTARTED = ("t_account", "t_category", "t_transaction", "t_payment")
+
+
+def _restarted(lg):
+    held = lg.__dict__.setdefault("_restarted", {})
+    if not held:
+        tables = {t: getattr(lg, t) for t in _RESTARTED}
+        bad = {**tables, "t_payment": lg.t_payment.withColumn("amount", F.when(
+            F.col("payment_id") >= 0, F.raise_error(F.lit("the source is gone"))).otherwise(F.col("amount")))}
+        target, journal = IO.staging_dir(lg.spark, "published"), IO.staging_dir(lg.spark, "journal")
+        run = lambda t: Migration(lg.spark, target, journal, REFERENCES).run(t, _RESTARTED)
+        held["broken"], held["after"] = run(bad), Target(lg.spark, target).version()
+        held["restarted"], held["again"], held["target"] = run(tables), run(tables), Target(lg.spark, target)
+    return held
+
+
+_STEPS = [(i, t) for i, t in enumerate(_RESTARTED, 1)]
+register("migrate_broken", "\nunion all\n".join(
+    [f"select {i} as step, '{t}' as table_name, count(*) as source_rows, count(*) as extract_rows, count(*) as loaded_rows, "
+     f"'ok' as status, false as restored, 0 as version from {t}" for i, t in _STEPS[:-1]]
+    + ["select 4, 't_payment', null, null, null, 'failed: USER_RAISED_EXCEPTION', false, 0"]))(
+    lambda lg: _restarted(lg)["broken"].withColumn("version", F.lit(_restarted(lg)["after"])))
+register("migrate_restart", "\nunion all\n".join(
+    f"select {i} as step, '{t}' as table_name, count(*) as source_rows, count(*) as extract_rows, count(*) as loaded_rows, "
+    f"'ok' as status, {'false' if t == _RESTARTED[-1] else 'true'} as restored from {t}" for i, t in _STEPS))(
+    lambda lg: _restarted(lg)["restarted"])
+for _t in ("t_transaction", "t_payment"):
+    register(f"migrate_restart_{_t[2:]}", f"select * from {_t}")(
+        lambda lg, t=_t: _restarted(lg)["target"].read(t, getattr(lg, t).schema))
+
+
+# Parents loaded again with TRUNCATE .. CASCADE: the tables that refer to them are emptied in the same publication.
+_MEDICAL = ("t_medical_provider", "t_family_member", "t_medical_expense")
+
+
+def _truncated(lg):
+    held = lg.__dict__.setdefault("_truncated", {})
+    if not held:
+        full = CompleteLedger.of(lg)
+        tables = {t: getattr(full, t).select(*S.SCHEMAS[t].names) for t in _MEDICAL}
+        path = IO.staging_dir(lg.spark, "truncated")
+        run = lambda names, **flags: Migration(
+            lg.spark, path, IO.staging_dir(lg.spark, "journal"), REFERENCES).run(tables, names, truncate=flags)
+        for step, names, flags in (("first", _MEDICAL, {}), ("parent", _MEDICAL[:1], {"t_medical_provider": True}),
+                                   ("both", _MEDICAL[1:], {"t_family_member": True}),
+                                   ("appended", _MEDICAL[1:2], {})):
+            run(names, **flags)
+            folders = Target(lg.spark, path).folders()
+            held[step] = {t: Target(lg.spark, path).read(t, tables[t].schema, folders) for t in _MEDICAL}
+    return held
+
+
+def _truncated_counts(lg):
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(step).alias("step"), F.lit(t).alias("table_name"), "row_count")
+             for step, tables in _truncated(lg).items() for t, df in tables.items()]
+    return union_tree(parts)
+
+
+register("truncate_cascade", "\nunion all\n".join(
+    f"select '{step}' as step, '{t}' as table_name, {times} * count(*) as row_count from full_{t}"
+    for step, all_times in (("first", (1, 1, 1)), ("parent", (1, 1, 0)), ("both", (1, 1, 1)), ("appended", (1, 2, 1)))
+    for t, times in zip(_MEDICAL, all_times)))(_truncated_counts)
+register("truncate_cascade_child", "select * from full_t_medical_expense")(lambda lg: _truncated(lg)["both"]["t_medical_expense"])
+register("truncate_cascade_emptied", "select * from full_t_medical_expense where false")(
+    lambda lg: _truncated(lg)["parent"]["t_medical_expense"])
+
+
+# Extracts checked by content: as they were written, and with one value changed in a file of as many rows.
+def _extract_contents(lg):
+    rows = []
+    for name, column in (("t_account", "cleared"), ("t_transaction", "amount"), ("t_payment", "amount"), ("t_pending_transaction", None)):
+        df, path = getattr(lg, name), IO.staging_dir(lg.spark, "contents")
+        key = S.PRIMARY_KEY[name][0]
+        written = IO.export_extract(df, path, order_by=[key])
+        if column:  # an error of a cent in the row of the greatest key
+            top = df.agg(F.max(key).alias("_tb_top"))
+            wrong = df.crossJoin(F.broadcast(top)).withColumn(column, F.when(
+                F.col(key) == F.col("_tb_top"), F.col(column) + F.lit(0.01).cast("decimal(3,2)")).otherwise(F.col(column)).cast(
+                df.schema[column].dataType)).drop("_tb_top")
+            IO.export_csv(wrong, path, order_by=[key])
+        chk = IO.check_extract(lg.spark, path, df.schema, written["rows"], written["fingerprint"])
+        size = IO.extract_size(lg.spark, path)
+        rows.append((name, chk["rows"], size["lines"] - size["headers"], size["bytes"] == chk["bytes"] > 0, chk["status"]))
+    return lg.spark.createDataFrame(rows, "table_name string, extract_rows long, record_lines long, sized boolean, status string")
+
+
+register("check_extract_content", "\nunion all\n".join(
+    f"select '{t}' as table_name, count(*) as extract_rows, count(*) as record_lines, true as sized, '{status}' as status from {t}"
+    for t, status in (("t_account", "content mismatch"), ("t_transaction", "content mismatch"), ("t_payment", "content mismatch"),
+                      ("t_pending_transaction", "ok"))))(_extract_contents)
+
+
 def _extract(lg):
     df = lg.t_account
     path = IO.staging_dir(lg.spark, "extract")
@@ -114,16 +211,32 @@ register("verify_core_nonempty", "\nunion all\n".join(
 
 
 def _export_optional(lg):
-    path = IO.staging_dir(lg.spark, "optional")
-    n = IO.export_optional(lg.spark, {}, "t_token_blacklist", path)
-    back = IO.import_csv(lg.spark, path, IO._csv_schema(lg.t_token_blacklist.schema))
-    return back.agg(F.count(F.lit(1)).alias("row_count")).withColumn(
-        "exported_rows", F.lit(n).cast("long"))
+    """One optional table that exists and one that does not."""
+    full, parts = CompleteLedger.of(lg), []
+    tables = {"t_medical_provider": full.t_medical_provider}
+    for name in ("t_medical_provider", "t_token_blacklist"):
+        path = IO.staging_dir(lg.spark, "optional")
+        n = IO.export_optional(lg.spark, tables, name, path)
+        back = IO.import_csv(lg.spark, path, full.t_medical_provider.schema if name in tables else S.SCHEMAS[name])
+        parts.append(back.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", F.lit(n).cast("long").alias("exported_rows"),
+            F.lit(len(back.columns)).alias("columns")))
+    return union_tree(parts)
 
 
 register("export_optional_missing", """
-select count(*) as row_count, cast(0 as bigint) as exported_rows from t_token_blacklist where false""")(
+select 't_medical_provider' as table_name, count(*) as row_count, count(*) as exported_rows,
+ (select count(*)::int from (describe select * from full_t_medical_provider)) as columns from full_t_medical_provider
+union all select 't_token_blacklist', 0, 0, (select count(*)::int from (describe select * from full_t_token_blacklist))""")(
     _export_optional)
+register("export_optional", "select * from full_t_medical_provider")(lambda lg: _optional_rows(lg))
+
+
+def _optional_rows(lg):
+    df, path = CompleteLedger.of(lg).t_medical_provider, IO.staging_dir(lg.spark, "optional")
+    IO.export_optional(lg.spark, {"t_medical_provider": df}, "t_medical_provider", path)
+    return IO.import_csv(lg.spark, path, df.schema)
+
 
 # The provider rows the schema seeds on creation.
 SEED_PROVIDERS = [
@@ -190,3 +303,37 @@ def _import(lg):
 
 
 register("import_csv", "select * from t_pending_transaction")(_import)
+
+
+# An extract with damaged records: texts that are no numbers or dates, a NULL where none may be, too few columns.
+_DAMAGE = ((50, 7, "amount", "n/a"), (60, 11, "transaction_date", "1995-02-30"), (70, 13, "account_name_owner", None))
+
+
+def _damaged(lg):
+    held = lg.__dict__.setdefault("_damaged", {})
+    if not held:
+        df, path = lg.t_pending_transaction, IO.staging_dir(lg.spark, "damaged")
+        key = F.col("pending_transaction_id")
+        texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        for n, rest, column, value in _DAMAGE:
+            texts = texts.withColumn(column, F.when(key % n == rest, F.lit(value)).otherwise(F.col(column)))
+        short = key % 80 == 17
+        texts.where(~short).write.options(**IO.CSV_WRITE_OPTIONS).csv(path)
+        texts.where(short).drop(df.columns[-1]).write.mode("append").options(**IO.CSV_WRITE_OPTIONS).csv(path)
+        schema = T.StructType([T.StructField(f.name, f.dataType, f.name != "account_name_owner") for f in df.schema.fields])
+        loaded, rejects = IO.staging_dir(lg.spark, "loaded"), IO.staging_dir(lg.spark, "rejects")
+        held["report"] = IO.load_csv(lg.spark, path, loaded, rejects, schema)
+        held["rows"], held["rejects"] = lg.spark.read.schema(df.schema).parquet(loaded), lg.spark.read.parquet(rejects)
+    return held
+
+
+_REASON = """case when pending_transaction_id % 80 = 17 then 'wrong number of columns'
+ when pending_transaction_id % 60 = 11 then 'transaction_date: no date' when pending_transaction_id % 50 = 7 then 'amount: no decimal(12,2)'
+ when pending_transaction_id % 70 = 13 then 'account_name_owner: null' end"""
+register("import_csv_rows", f"select * from t_pending_transaction where {_REASON} is null")(lambda lg: _damaged(lg)["rows"])
+register("import_csv_rejects", f"""select cast(pending_transaction_id as varchar) as record, {_REASON} as reason
+from t_pending_transaction where {_REASON} is not null""")(
+    lambda lg: _damaged(lg)["rejects"].select(F.split("line", ",")[0].alias("record"), "reason"))
+register("import_csv_report", f"""select count(*) as records, count(*) filter ({_REASON} is null) as loaded,
+ count(*) filter ({_REASON} is not null) as rejected, 'ok' as status from t_pending_transaction""")(
+    lambda lg: lg.spark.createDataFrame([_damaged(lg)["report"]], "records long, loaded long, rejected long, status string"))

@@ -24,7 +24,9 @@ from . import schemas as S
 # a real value, e.g. the default of ``notes``).
 CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX", "dateFormat": "yyyy-MM-dd",
-               "escape": '"'}
+               "escape": '"',
+               # the writer trims values unless told not to
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 # the empty string is written quoted ("") and read back as ''
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
 
@@ -84,23 +86,49 @@ def _csv_schema(schema: T.StructType) -> T.StructType:
         f.dataType, T.BinaryType) else f.dataType, True) for f in schema.fields])
 
 
+def fingerprint(df: DataFrame) -> tuple:
+    """Aggregates that tell the rows of ``df`` whatever their order: their number and
+    two independent sums of row hashes.  A NULL is told from an absent value by its place."""
+    cols = [F.col(c) for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    sums = [F.coalesce(F.sum(F.xxhash64(F.lit(seed), nulls, *cols).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+            .cast("string").alias(f"hash{seed}") for seed in (1, 2)]
+    return F.count(F.lit(1)).alias("rows"), *sums
+
+
+def _print(row) -> dict:
+    """The aggregates of ``fingerprint`` as (rows, fingerprint)."""
+    return {"rows": int(row["rows"]), "fingerprint": f"{row['hash1']}:{row['hash2']}"}
+
+
 def export_csv(df: DataFrame, path: str, columns: list[str] | None = None,
                order_by: list[str] | None = None) -> int:
     """Explicit projection, ordered by key, CSV with header.  The sort is a
     distributed range sort; part files come out in key order.  Returns the
     number of rows written, observed by the write job itself (no extra pass)."""
-    cols = columns or df.columns
-    out = df.select(*[F.lower(F.hex(F.col(c))).alias(c) if isinstance(
-        df.schema[c].dataType, T.BinaryType) else _escaped(c) if isinstance(
-        df.schema[c].dataType, T.StringType) else F.col(c) for c in cols])
+    return _export(df, path, columns, order_by, lambda out: [F.count(F.lit(1)).alias("rows")])["rows"]
+
+
+def export_extract(df: DataFrame, path: str, columns: list[str] | None = None,
+                   order_by: list[str] | None = None) -> dict:
+    """``export_csv`` that also observes the fingerprint of the rows it writes:
+    ``{"rows", "fingerprint"}``, to compare with what ``check_extract`` reads."""
+    return _print(_export(df, path, columns, order_by, fingerprint))
+
+
+def _export(df: DataFrame, path: str, columns, order_by, measure) -> dict:
+    out = df.select(*(columns or df.columns))
     if order_by:
         out = out.orderBy(*order_by)
     # observed above the sort: only the write job carries the metric (the
     # range-partition sampling job runs the plan below the sort)
     obs = Observation("export")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.observe(obs, *measure(out))
+    out = out.select(*[F.lower(F.hex(F.col(f.name))).alias(f.name) if isinstance(
+        f.dataType, T.BinaryType) else _escaped(f.name) if isinstance(
+        f.dataType, T.StringType) else F.col(f.name) for f in out.schema.fields])
     out.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
-    return int(obs.get["rows"])
+    return obs.get
 
 
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -112,6 +140,65 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         f.dataType, T.StringType) else F.col(f.name) for f in schema.fields])
 
 
+def _typed(field: T.StructField):
+    """A field of an extract from its text, NULL where the text is none of its type."""
+    c, kind = F.col(field.name), field.dataType
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(c)
+    if isinstance(kind, T.StringType):
+        return _unescaped(field.name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        fmt = CSV_OPTIONS["timestampFormat" if isinstance(kind, T.TimestampType) else "timestampNTZFormat"]
+        return F.try_to_timestamp(c, F.lit(fmt)).cast(kind)
+    return c.try_cast(kind)
+
+
+def import_csv_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a header CSV: typed rows, and ``(file, line, reason)`` of
+    the records that are none.
+
+    A record is rejected for a wrong number of columns, for the first column
+    whose text is not of its type, or for a NULL where the schema allows none.
+    The extract is parsed once, into the shared folder; together both outputs
+    hold every record.  ``line`` is the record as it stands, or as its columns
+    would be written.
+    """
+    bad = "_tb_corrupt"
+    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields] + [
+        T.StructField(bad, T.StringType(), True)])
+    raw = (spark.read.schema(texts).options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", bad).csv(path).select("*", F.col("_metadata.file_path").alias("_tb_file")))
+    typed = {f.name: _typed(f) for f in schema.fields}
+    reasons = [F.when(F.col(bad).isNotNull(), "wrong number of columns")]
+    reasons += [F.when(F.col(n).isNotNull() & value.isNull(), f"{n}: no {schema[n].dataType.simpleString()}") for n, value in typed.items()]
+    reasons += [F.when(F.col(f.name).isNull(), f"{f.name}: null") for f in schema.fields if not f.nullable]
+    line = F.coalesce(F.col(bad), F.to_csv(F.struct(*schema.names), {**CSV_WRITE_OPTIONS, "header": "false"}))
+    reason = F.coalesce(*reasons)
+    parsed = raw.select(reason.alias("_tb_reason"), F.when(reason.isNotNull(), line).alias("_tb_line"), "_tb_file",
+                        *[F.when(reason.isNull(), value).alias(n) for n, value in typed.items()])
+    staged = staging_dir(spark, "parsed")
+    parsed.write.parquet(staged)
+    parsed = spark.read.schema(parsed.schema).parquet(staged)
+    return (parsed.where("_tb_reason is null").select(*schema.names),
+            parsed.where("_tb_reason is not null").select(F.col("_tb_file").alias("file"), F.col("_tb_line").alias("line"),
+                                                          F.col("_tb_reason").alias("reason")))
+
+
+def load_csv(spark: SparkSession, path: str, target: str, rejects_path: str, schema: T.StructType, truncate_first: bool = False) -> dict:
+    """Load an extract into ``target`` and its rejects into ``rejects_path``:
+    ``{"records", "loaded", "rejected", "status"}``.  Records are counted as lines
+    of the files, apart from both; ``status`` is ``ok`` if none is missing."""
+    rows, rejects = import_csv_rejects(spark, path, schema)
+    size, counts = extract_size(spark, path), []
+    for df, place, fresh in ((rows, target, truncate_first), (rejects, rejects_path, True)):
+        obs = Observation("load")
+        load_mode(df.observe(obs, F.count(F.lit(1)).alias("rows")), place, fresh)
+        counts.append(int(obs.get["rows"]))
+    records = size["lines"] - size["headers"]
+    return {"records": records, "loaded": counts[0], "rejected": counts[1],
+            "status": "ok" if sum(counts) == records else "count mismatch"}
+
+
 def export_optional(spark: SparkSession, tables, name: str, path: str,
                     schema: T.StructType | None = None) -> int:
     """Export an optional table; a missing table yields an empty extract with
@@ -124,27 +211,44 @@ def export_optional(spark: SparkSession, tables, name: str, path: str,
 
 
 def check_extract(spark: SparkSession, path: str, schema: T.StructType,
-                  expected_rows: int | None = None) -> dict:
+                  expected_rows: int | None = None, expected_fingerprint: str | None = None) -> dict:
     """Read an extract back: it must exist and have the expected row count (any
-    but none if that is not known).  Failures of the job itself are raised."""
+    but none if that is not known) and content.  ``{"rows", "fingerprint",
+    "bytes", "lines", "status"}``: the size of its files, and their lines with
+    one header a file, of which every row must be one.  Failures of the job
+    itself are raised."""
+    found = {"rows": None, "fingerprint": None, "bytes": None, "lines": None}
     try:
         df = import_csv(spark, path, schema)
     except AnalysisException as e:
-        return {"rows": None, "status": f"unreadable: {type(e).__name__}"}
+        return {**found, "status": f"unreadable: {type(e).__name__}"}
     try:
-        # touch every column: the CSV reader parses only the columns a query
-        # needs, and a bare count() would not validate any field
-        n = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.count(c).alias(f"_c{i}") for i, c in enumerate(df.columns)]).first()["n"]
+        # the fingerprint touches every column: the CSV reader parses only the columns a
+        # query needs, and a bare count() would not validate any field
+        found.update(_print(df.agg(*fingerprint(df)).first()))
+        found.update(extract_size(spark, path))
     except Exception as e:  # only what the file itself causes is a status
         if "MALFORMED_RECORD" not in str(e) and "PATH_NOT_FOUND" not in str(e):
             raise
-        return {"rows": None, "status": f"unreadable: {type(e).__name__}"}
+        return {**found, "status": f"unreadable: {type(e).__name__}"}
+    n, headers = found["rows"], found.pop("headers")
     if expected_rows is not None and n != expected_rows:
-        return {"rows": n, "status": "count mismatch"}
+        return {**found, "status": "count mismatch"}
     if expected_rows is None and n == 0:
-        return {"rows": n, "status": "empty"}
-    return {"rows": n, "status": "ok"}
+        return {**found, "status": "empty"}
+    if found["lines"] != n + headers:
+        return {**found, "status": "line mismatch"}
+    if expected_fingerprint is not None and found["fingerprint"] != expected_fingerprint:
+        return {**found, "status": "content mismatch"}
+    return {**found, "status": "ok"}
+
+
+def extract_size(spark: SparkSession, path: str) -> dict:
+    """``bytes`` of an extract's files, their ``lines``, and how many begin with a ``header``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).agg(
+        F.coalesce(F.sum("length"), F.lit(0)).alias("n"), F.count(F.when(F.col("length") > 0, 1)).alias("k")).first()
+    lines = spark.read.text(path).count()
+    return {"bytes": int(files["n"]), "lines": int(lines), "headers": int(files["k"])}
 
 
 def _maybe(tables, name):
