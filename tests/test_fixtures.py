@@ -46,7 +46,8 @@ def test_stored_ledger_is_kept_where_the_caller_says_and_can_be_released(spark,
     from tallybook.sources.fixtures import Ledger
 
     source, kept = str(tmp_path / "sf"), str(tmp_path / "kept")
-    shutil.copytree("/root/testdata/sf0.001", source)
+    shutil.copytree("/root/testdata/sf0.001", source, copy_function=shutil.copyfile)  # the tables may be read-only
+    os.chmod(source, 0o755)
     lg = Ledger.of(spark, source, path=kept)
     before = lg.t_role.count()
     assert Ledger.of(spark, source) is lg and len(os.listdir(kept)) == 1
