@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,11 +26,12 @@ from pyspark.sql import functions as F
 
 from .common import batches_of, rows_of
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/>]|\Z)""", re.I)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _COMMA = re.compile("[,،、，;]")
+_STOP, _MARK, _CUT_OFF = re.compile(r"[\s/>]"), re.compile("""[>"']"""), re.compile("<[a-zA-Z/!]")
 
 # Elements by their part in a page.
 RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes".split())
@@ -69,13 +72,85 @@ TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
 NOT_ITSELF = frozenset("has with no without is hide".split())
 
 
+#: of a text: whether it begins and ends with white space, its length without those and with inner white space as one
+#: space each, and its commas; a text of white space alone has length 0
+_NOTHING = (False, False, 0, 0)
+_BREAK = (True, True, 0, 0)
+
+
+def _run(text: str) -> tuple[bool, bool, int, int]:
+    plain = _SPACE.sub(" ", html.unescape(text))
+    inner = plain.strip(" ")
+    return plain[:1] == " ", plain[-1:] == " ", len(inner), len(_COMMA.findall(inner))
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """The same of two texts, one after the other."""
+    if not a[2] or not b[2]:
+        blank, other = (b, a) if a[2] else (a, b)
+        space = blank[0]
+        return (other[0] or space, other[1], other[2], other[3]) if other is b else (other[0], other[1] or space, other[2], other[3])
+    return a[0], b[1], a[2] + b[2] + (a[1] or b[0]), a[3] + b[3]
+
+
+class _Ends:
+    """Where the tags of a page end, known for all of them after one pass from its end.
+
+    A tag ends at the first ``>`` outside its quotes; one whose quotes or itself
+    never end is text.
+    """
+
+    def __init__(self, page: str):
+        self.stops = [m.start() for m in _STOP.finditer(page)]
+        self.marks = [m.start() for m in _MARK.finditer(page)]
+        self.ends = [False] * (len(self.marks) + 1)
+        last = {}
+        for k in range(len(self.marks) - 1, -1, -1):
+            c = page[self.marks[k]]
+            # a quote goes on behind the next one of its kind
+            self.ends[k] = c == ">" or c in last and self.ends[last[c] + 1]
+            last[c] = k
+
+    def has(self, name_at: int) -> bool:
+        """Whether the tag whose name begins there ends."""
+        k = bisect_left(self.stops, name_at)
+        return k < len(self.stops) and self.ends[bisect_left(self.marks, self.stops[k])]
+
+
+class _Path:
+    """The open elements from the root down, and how deep the innermost of every kind is."""
+
+    def __init__(self, root: Node):
+        self.nodes: list[Node] = []
+        self.depths: dict[str, list[int]] = defaultdict(list)
+        self.push(root)
+
+    @property
+    def here(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.depths[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def innermost(self, tags) -> int:
+        """Depth of the innermost open element of one of these kinds; -1 if there is none."""
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=-1)
+
+    def close(self, depth: int) -> None:
+        """End the element at this depth and all in it; the root stays."""
+        while len(self.nodes) > max(depth, 1):
+            self.depths[self.nodes.pop().tag].pop()
+
+
 class Node:
-    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked", "foreign", "inside")
+    __slots__ = ("tag", "parent", "parts", "out", "score", "paragraph", "size", "linked", "foreign", "inside", "run", "points")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.parts: list = []  # texts and nodes in page order
         self.score, self.paragraph, self.size, self.linked = 0.0, False, 0, 0
+        self.run, self.points = _NOTHING, [0.0] * 5
         # 2 in an article, 1 in <main> alone, else 0
         self.inside: int = max(parent.inside if parent else 0, 2 * (tag == "article"), tag == "main")
         # the drawing or formula that the node's content is part of
@@ -113,59 +188,78 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
 
 
 def parse(page: str) -> Node:
-    """A forgiving tree of the page: unclosed elements end where a browser ends them."""
-    root = here = Node("html", None, False)
-    at, low = 0, None
-    while found := _TOKEN.search(page, at):
-        if found.start() > at:
-            here.parts.append(page[at:found.start()])
-        at = found.end()
+    """A forgiving tree of the page: unclosed elements end where a browser ends them.
+
+    Linear in the page's length: what a tag or an end tag looks for is kept as
+    the page is read, not searched again.
+    """
+    root = Node("html", None, False)
+    path, ends = _Path(root), None
+    at = look = 0  # where the text not yet taken begins, and where the next tag is looked for
+    while (start := page.find("<", look)) >= 0:
+        name_at = start + 1 + (page[start + 1:start + 2] == "/")
+        first = page[name_at:name_at + 1]
+        tag_like = first.isascii() and first.isalpha()
+        if not tag_like and first not in ("!", "?") or name_at > start + 1 and not tag_like or (
+                tag_like and ends is not None and not ends.has(name_at)):
+            look = start + 1
+            continue
+        found = _TOKEN.match(page, start)
+        if not found:
+            ends = _Ends(page) if ends is None else ends
+            look = start + 1
+            continue
+        if start > at:
+            path.here.parts.append(page[at:start])
+        at = look = found.end()
         if not found[2]:
             continue
         tag = found[2].lower()
         if found[1]:
-            node = here
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
+            path.close(path.innermost((tag,)) if path.innermost((tag,)) > 0 else len(path.nodes))
             continue
-        if tag in ("html", "body") and here.parent is None and tag == "html":
+        if tag == "html" and len(path.nodes) == 1:
             continue
-        while here.foreign and tag in ENDS_FOREIGN:
-            here = here.foreign.parent
+        while path.here.foreign and tag in ENDS_FOREIGN:
+            path.close(path.innermost(FOREIGN))
         closed = found[3].endswith("/")
         if tag in ENDS_PARAGRAPH:
-            node = here
-            while node is not None and node.tag not in ("p", "td", "th", "button"):
-                node = node.parent
-            if node is not None and node.tag == "p":
-                here = node.parent
+            depth = path.innermost(("p", "td", "th", "button"))
+            if depth > 0 and path.nodes[depth].tag == "p":
+                path.close(depth)
         if tag in ENDS_ITSELF:
-            node = here
-            while node is not None and node.tag != tag and node.tag not in ENDS_ITSELF[tag]:
-                node = node.parent
-            if node is not None and node.tag == tag:
-                here = node.parent
-        elif tag == "body" or here.tag == "head" and tag in BLOCK:
-            while here.tag == "head":
-                here = here.parent
+            depth = path.innermost((tag, *ENDS_ITSELF[tag]))
+            if depth > 0 and path.nodes[depth].tag == tag:
+                path.close(depth)
+        elif tag == "body" or path.here.tag == "head" and tag in BLOCK:
+            while path.here.tag == "head":
+                path.close(len(path.nodes) - 1)
+        here = path.here
         new = Node(tag, here, here.out or _left_out(tag, found[3], here.inside > 0))
         here.parts.append(new)
         if tag in RAW and not (closed and here.foreign):  # its content is text up to its own end tag
-            low = page.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            close = page.find(">", end) if end >= 0 else -1
-            at = close + 1 if close >= 0 else len(page)
+            end = _raw_end(tag).search(page, at)
+            close = page.find(">", end.start()) if end else -1
+            at = look = close + 1 if close >= 0 else len(page)
         elif tag not in VOID and not closed:
-            here = new
+            path.push(new)
     rest = page[at:]
     if rest:
-        here.parts.append(re.sub(r"<[a-zA-Z/!][^>]*\Z", "", rest))  # a tag that the page's end cuts off is no text
+        cut = _CUT_OFF.search(rest, rest.rfind(">") + 1)  # a tag that the page's end cuts off is no text
+        path.here.parts.append(rest[:cut.start()] if cut else rest)
     return root
 
 
-def _measure(root: Node) -> list[Node]:
+_RAW_ENDS: dict[str, re.Pattern] = {}
+
+
+def _raw_end(tag: str) -> re.Pattern:
+    if tag not in _RAW_ENDS:
+        _RAW_ENDS[tag] = re.compile(f"</{tag}", re.I)
+    return _RAW_ENDS[tag]
+
+
+def _measure(root: Node, whole: int) -> list[Node]:
     """Text and link sizes of every kept node, bottom up; returns the paragraphs."""
     order, stack = [], [root]
     while stack:
@@ -180,11 +274,53 @@ def _measure(root: Node) -> list[Node]:
         node.linked = node.size if node.tag == "a" else sum(c.linked for c in kids)
         inline = own + sum(c.size for c in kids if c.tag not in BLOCK)
         node.paragraph = node.tag in PARAGRAPH and inline > 0 and (node.tag == "p" or inline * 2 > node.size)
+        run = _BREAK if node.tag in BLOCK else _NOTHING
+        for part in node.parts:
+            if isinstance(part, str):
+                run = _joined(run, _run(part))
+            elif not part.out and not _links_only(part, whole):
+                run = _joined(run, part.run)
+        node.run = _joined(run, _BREAK) if node.tag in BLOCK else run
         if node.paragraph:
             paragraphs.append(node)
     return paragraphs[::-1]
 
 
+def _score(paragraphs: list[Node]) -> dict[int, Node]:
+    """Every paragraph's points passed to its ancestors, less the further up; scored nodes in the order they get points."""
+    scored: dict[int, Node] = {}
+    for p in paragraphs:
+        _, _, length, commas = p.run
+        points = (min(length / 100, 3.0) + commas + (length >= 25)) * (1 - _density(p))
+        node = p if p.tag != "p" and p.tag in ("article", "main", "body", "div", "section") else p.parent
+        if node is None:
+            continue
+        node.points[0] += points
+        while node is not None and id(node) not in scored:  # the ancestors of a scored node are scored
+            scored[id(node)] = node
+            node = node.parent
+    depth: dict[int, int] = {}
+    for node in scored.values():
+        above = []
+        while node is not None and id(node) not in depth:
+            above.append(node)
+            node = node.parent
+        base = depth[id(node)] if node is not None else -1
+        depth.update((id(n), base + 1 + k) for k, n in enumerate(reversed(above)))
+    for node in sorted(scored.values(), key=lambda n: -depth[id(n)]):  # children before their parents
+        node.score = BASE.get(node.tag, 0.0) + sum(x / share for x, share in zip(node.points, (1, 2, 6, 9, 12), strict=True))
+        if node.parent is not None:
+            up = node.parent.points
+            for level, x in enumerate(node.points):
+                up[min(level + 1, 4)] += x
+    return scored
+
+
+def _links_only(node: Node, whole: int) -> bool:
+    """Whether a part is a block of links that is no text of its container."""
+    return node.tag in ("ul", "ol", "div", "table") and node.inside < whole and node.size > 0 and _density(node) > 0.6
+
+
 def _density(node: Node) -> float:
     return node.linked / node.size if node.size else 0.0
 
@@ -204,8 +340,7 @@ def _text(node: Node, whole: int = 2) -> str:
                 blocks.append([])
             elif isinstance(item, str):
                 blocks[-1].append(item)
-            elif not item.out and not (item is not node and item.tag in ("ul", "ol", "div", "table")
-                                       and item.inside < whole and item.size and _density(item) > 0.6):
+            elif not item.out and (item is node or not _links_only(item, whole)):
                 if item.tag in BLOCK:
                     blocks.append([])
                     stack.append(None)
@@ -222,18 +357,7 @@ def extract(page: str | None) -> str:
         return ""
     root = parse(page)
     whole = 2 if _first(root, ("article",)) else 1
-    scored: dict[int, Node] = {}
-    for p in _measure(root):
-        text = _text(p, whole)
-        points = min(len(text) / 100, 3.0) + len(_COMMA.findall(text)) + (len(text) >= 25)
-        points *= 1 - _density(p)
-        node, level = (p if p.tag != "p" and p.tag in ("article", "main", "body", "div", "section") else p.parent), 0
-        while node is not None:
-            if id(node) not in scored:
-                scored[id(node)] = node
-                node.score = BASE.get(node.tag, 0.0)
-            node.score += points / (1, 2, 6, 9, 12)[min(level, 4)]
-            node, level = node.parent, level + 1
+    scored = _score(_measure(root, whole))
     if not scored:
         node = _first(root, ("article", "main", "body")) or root
         return _text(node, whole)

@@ -272,3 +272,34 @@ def test_ratio_favours_the_target():
     w = R.ratio_weights(raw, target)
     assert R.log_ratio("good words here in order", w) > R.log_ratio("BAD!!! BAD!!! BAD!!!", w)
     assert R.log_ratio(None, w) == R.log_ratio("", w) == 0.0
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<aaaa", "<div>", "<div>word, ", "<i></b>", "<div><p>x</p>", "<li>a", "</p>", '<a \'<b "', '<a ">'])
+def test_pages_are_read_in_time_linear_in_their_length(unit):
+    import time
+
+    took = []
+    for n in (5000, 40000):  # eight times the length: a quadratic reading takes 64 times as long
+        began = time.process_time()
+        for end in ("", '"> <p>the end</p>'):
+            H.extract(unit * n + end)
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * max(took[0], 0.05), took
+
+
+def test_sizes_of_texts_are_those_of_the_texts():
+    rng = random.Random(8)
+    bits = ["<p>", "</p>", "<div>", "</div>", "text, more; ", "<a href=x>", "</a>", "<ul><li>", "</ul>", "&amp;", "&nbsp; ", " \n ", "word",
+            "<br/>", "<article>", "</article>", "<b>", "</b>", "a sentence that goes on, and on, for a while."]
+
+    def nodes(node):
+        yield node
+        for part in node.parts:
+            if isinstance(part, H.Node) and not part.out:
+                yield from nodes(part)
+    for _ in range(400):
+        root = H.parse("".join(rng.choice(bits) for _ in range(rng.randrange(40))))
+        H._measure(root, 2)
+        for node in nodes(root):
+            text = H._text(node)
+            assert node.run[2:] == (len(text), len(H._COMMA.findall(text)))
