@@ -124,6 +124,24 @@ def permute(value: int, size: int, key: str, tweak: str) -> int:
             return value
 
 
+#: permuted characters of a text that are one number; longer texts are permuted by halves, in time linear in their length
+WIDE = 64
+#: groups of digits that a number without country code can have
+NATIONAL = 13
+
+
+def _permuted_halves(values: list[int], sizes: list[int], key: str, tweak: str) -> list[int]:
+    """Digits of mixed sizes permuted one-to-one: each half in turn is moved by a stream that the other one gives."""
+    cut = len(values) // 2
+    halves, bounds = [values[:cut], values[cut:]], [sizes[:cut], sizes[cut:]]
+    for r in range(ROUNDS + ROUNDS % 2):
+        side = r % 2
+        source = hashlib.shake_256(repr((key, tweak, r)).encode() + bytes(halves[1 - side])).digest(2 * len(halves[side]))
+        halves[side] = [(v + (source[2 * k] << 8 | source[2 * k + 1])) % n
+                        for k, (v, n) in enumerate(zip(halves[side], bounds[side], strict=True))]
+    return halves[0] + halves[1]
+
+
 def _classes(text: str) -> list[str]:
     """Alphabet of every character that is permuted; empty for the others."""
     out = []
@@ -145,6 +163,13 @@ def permute_text(text: str, key: str, kind: str, hexadecimal: bool = False) -> s
     if hexadecimal:
         classes = ["0123456789abcdef" if c in "0123456789abcdef" else "" for c in text]
     shape = "".join(a[:1] or c for a, c in zip(classes, text, strict=True))
+    if sum(map(bool, classes)) > WIDE:
+        places = [k for k, a in enumerate(classes) if a]
+        made = _permuted_halves([classes[k].index(text[k]) for k in places], [len(classes[k]) for k in places], key, f"{kind}|{shape}")
+        out = list(text)
+        for k, v in zip(places, made, strict=True):
+            out[k] = classes[k][v]
+        return "".join(out)
     value, size = 0, 1
     for c, alphabet in zip(text, classes, strict=True):
         if alphabet:
@@ -404,7 +429,7 @@ def _run(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
                     1 if sizes[at:at + n] in GROUPINGS else 2 if not luhn(digits) else 3)
             if best is None or rank < best[0] or rank == best[0] == 3:
                 best = rank, n
-        phone = _national(groups[at:], marks[at:], sizes[at:], text)
+        phone = _national(groups[at:at + NATIONAL], marks[at:at + NATIONAL], sizes[at:at + NATIONAL], text)
         if phone and (best is None or best[0] > 1):
             yield "phone", groups[at][0], groups[at + phone - 1][1]
             at += phone
@@ -423,7 +448,7 @@ def _later(text: str, groups: list[tuple[int, int]], marks: list[str], sizes: tu
         if before >= 19:
             return False
         if 13 <= sizes[k] <= 19 or any(sizes[k:k + len(g)] == g for g in GROUPINGS) or _national(
-                groups[k:], marks[k:], sizes[k:], text):
+                groups[k:k + NATIONAL], marks[k:k + NATIONAL], sizes[k:k + NATIONAL], text):
             return True
     return False
 

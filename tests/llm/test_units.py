@@ -303,3 +303,35 @@ def test_sizes_of_texts_are_those_of_the_texts():
         for node in nodes(root):
             text = H._text(node)
             assert node.run[2:] == (len(text), len(H._COMMA.findall(text)))
+
+
+@pytest.mark.parametrize("text", ["password={}", "{}"])
+@pytest.mark.parametrize("unit", ["aZ9x", "1 ", "12 34 ", "0123456789 ", "4111 1111 "])
+def test_entities_are_found_in_time_linear_in_the_length(unit, text):
+    import time
+
+    took = []
+    for n in (2000, 16000):
+        began = time.process_time()
+        S.replace(text.format(unit * n))
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * max(took[0], 0.05), took
+
+
+def test_long_secrets_are_permuted_one_to_one():
+    rng = random.Random(9)
+    sizes = [rng.choice((2, 3)) for _ in range(10)]
+    every, total = set(), 1
+    for n in sizes:
+        total *= n
+    for number in range(total):
+        values = []
+        for n in sizes:
+            number, v = divmod(number, n)
+            values.append(v)
+        every.add(tuple(S._permuted_halves(values, sizes, "key", "tweak")))
+    assert len(every) == total
+    long = "password=" + "".join(rng.choice("abcXYZ019-_") for _ in range(3000))
+    made = S.surrogate("secret", long)
+    assert made == S.surrogate("secret", long) != S.surrogate("secret", long[:-1] + "0a"[long[-1] == "0"])
+    assert S._classes(made[9:]) == S._classes(long[9:]) and len(made) == len(long)
