@@ -1,10 +1,12 @@
 """Exact cosine links between vectors by dual traversal of cover trees.
 
 Vectors are scaled to length one, where cosine c is distance sqrt(2 - 2c).  A
-cover tree of a bounded sample gives the upper levels: nested sets of centres
-with halving radii, of which the finest with at most ``CELLS`` centres deals
-all vectors into cells.  Cells are split into chunks of about ``CHUNK`` vectors,
-and each chunk grows its own lower levels, again nested with halving radii,
+cover tree of a sample gives the upper levels: nested sets of centres with
+halving radii, of which the finest with at most so many centres deals all
+vectors into cells.  Their number grows with the square root of the number of
+distinct vectors (``CELLS`` at least), and so do sample and centres, which is
+all that passes through the driver.  Cells are split into chunks of about
+``CHUNK`` vectors, and each chunk grows its own lower levels, again nested with halving radii,
 down to single vectors or ``FINEST``.  Every node knows its covering radius, the
 exact largest distance from its centre to a vector below it.
 
@@ -24,6 +26,7 @@ of bounded size.  A chunk's tree is grown once and stored with its vectors.
 from __future__ import annotations
 
 import itertools
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -36,7 +39,8 @@ from .common import batches_of, numbered, rows_of, store
 from .components import components
 
 COSINE = 0.9
-SAMPLE = 4096
+#: sampled vectors to a cell
+SAMPLE = 16
 CELLS = 256
 CHUNK = 4096
 #: radius below which a node is not split further
@@ -254,7 +258,7 @@ def unit_links(first: Chunk, second: Chunk | None, cosine: float = COSINE) -> It
         yield int(classes[k]), int(linked[k]), int(classes[find(k)])
 
 
-_CHUNK = pa.schema([("cell", pa.int32()), ("chunk", pa.int32()), ("grown", pa.binary())])
+_CHUNK = pa.schema([("cell", pa.int64()), ("chunk", pa.int32()), ("grown", pa.binary())])
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,18 +278,22 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return batches_of(rows(), _ROW)
 
 
-def _dealer(centres: np.ndarray):
+def _dealer(centres: dict[int, np.ndarray]):
+    """Scales vectors to length one and adds their cell: their length in the upper half, their nearest centre below."""
     schema = pa.schema([("class", pa.int64()), ("weight", pa.int64()), ("unit", pa.list_(pa.float64())),
-                        ("cell", pa.int32()), ("off", pa.float64())])
+                        ("cell", pa.int64()), ("off", pa.float64())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for cls, weight, vector in rows_of(batches):
                 v = np.array(vector)
                 v /= np.sqrt(v @ v)
-                d = np.sqrt(np.maximum(2 - 2 * (centres @ v), 0))
-                cell = int(d.argmin())
-                yield cls, weight, v, cell, float(d[cell])
+                cell, off = len(v) << 32, 2.0  # a length that the sample lacks is one cell
+                if len(v) in centres:
+                    d = np.sqrt(np.maximum(2 - 2 * (centres[len(v)] @ v), 0))
+                    near = int(d.argmin())
+                    cell, off = cell + near, float(d[near])
+                yield cls, weight, v, cell, off
         return batches_of(rows(), schema, 1024)
     return deal
 
@@ -309,14 +317,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     scaled = held.where(good).withColumn("v", F.transform("v", lambda x: x / F.array_max(F.transform("v", F.abs)) + 0.0))
     classes = scaled.groupBy("v").agg(F.min("row").alias("class"), F.count(F.lit(1)).alias("weight"))
     classes = store(classes, "vector-classes")
-    widths = [w for (w,) in classes.select(F.size("v")).distinct().limit(65536).collect()]
-    rows = None
-    for width in sorted(widths):
-        found = _links_of(classes.where(F.size("v") == width))
-        rows = found if rows is None else rows.union(found)
-    if rows is None:
-        rows = held.sparkSession.createDataFrame([], "a long, n long, b long")
-    rows = store(rows, "vector-links")
+    rows = store(_links_of(classes), "vector-links")
     member = store(scaled.join(classes, "v").select("row", "vec_id", "class", "weight"), "vector-members")
     roots = components(rows.select("a", "b"))
     sums = rows.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
@@ -332,40 +333,43 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 
 def _links_of(classes: DataFrame) -> DataFrame:
-    """``a, n, b`` rows of one vector length (see ``unit_links``)."""
+    """``a, n, b`` rows (see ``unit_links``); cells of vectors of one length are compared."""
     spark = classes.sparkSession
-    sample = np.array([v for (v,) in classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("v").collect()])
-    sample /= np.sqrt((sample * sample).sum(axis=1))[:, None]
-    centres = upper_centres(sample)
+    cells = max(CELLS, math.isqrt(classes.count()))
+    sample: dict[int, list] = {}
+    for (v,) in classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE * cells).select("v").collect():
+        sample.setdefault(len(v), []).append(v)
+    centres = {}
+    for width, vectors in sample.items():
+        units = np.array(vectors)
+        centres[width] = upper_centres(units / np.sqrt((units * units).sum(axis=1))[:, None], cells)
     dealt = store(classes.select("class", "weight", "v").mapInArrow(
-        _dealer(centres), "class long, weight long, unit array<double>, cell int, off double"), "vector-cells")
-    sizes = {c: (n, r) for c, n, r in dealt.groupBy("cell").agg(F.count(F.lit(1)), F.max("off")).collect()}
-    limit = np.sqrt(2 - 2 * COSINE)
-    pairs = []  # at most CELLS * (CELLS + 1) / 2
-    for a, b in itertools.combinations_with_replacement(sorted(sizes), 2):
-        gap = np.sqrt(max(2 - 2 * float(centres[a] @ centres[b]), 0))
-        if a == b or gap - sizes[a][1] - sizes[b][1] <= limit + SLACK:
-            pairs.append((a, b))
-    chunks = {c: -(-n // CHUNK) for c, (n, _) in sizes.items()}
-    partners = spark.createDataFrame([(a, b, chunks[a], chunks[b]) for a, b in pairs],
-                                     "a int, b int, na int, nb int")
-    number = F.coalesce(*[F.when(F.col("cell") == c, F.lit(n)) for c, n in chunks.items()])
-    member = dealt.withColumn("chunk", F.pmod(F.xxhash64("class"), number).cast("int"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = sum(chunks.values())
-    grown = store(member.select("cell", "chunk", "class", "weight", "unit")
-                  .repartition(max(1, min(count, max(tasks, count // 64))), "cell", "chunk")
-                  .sortWithinPartitions("cell", "chunk", "class")
-                  .mapInArrow(_grow, "cell int, chunk int, grown binary"), "vector-chunks")
+        _dealer(centres), "class long, weight long, unit array<double>, cell long, off double"), "vector-cells")
+    named = spark.createDataFrame([(w << 32 | k, c.tolist()) for w, own in centres.items() for k, c in enumerate(own)],
+                                  "cell long, centre array<double>")
+    sizes = store(dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"), F.max("off").alias("radius"))
+                  .join(named, "cell", "left"), "vector-sizes")
+    # pairs of cells by their summaries alone
+    a, b = (sizes.select(F.shiftright("cell", 32).alias("width"), *[F.col(c).alias(f"{c}_{s}") for c in sizes.columns]) for s in "ab")
+    dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    gap = F.sqrt(F.greatest(F.lit(2.0) - 2 * dot, F.lit(0.0)))
+    near = gap - F.col("radius_a") - F.col("radius_b") <= float(np.sqrt(2 - 2 * COSINE)) + SLACK
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    units = (partners.withColumn("ca", F.explode(span("na"))).withColumn("cb", F.explode(span("nb")))
-             .where("a != b or ca <= cb").select("a", "ca", "b", "cb"))
+    partners = a.join(b, "width").where((F.col("cell_a") == F.col("cell_b")) | (F.col("cell_a") < F.col("cell_b")) & near)
+    units = store(partners.withColumn("ca", F.explode(span("chunks_a"))).withColumn("cb", F.explode(span("chunks_b")))
+                  .where("cell_a != cell_b or ca <= cb").select(F.col("cell_a").alias("a"), "ca", F.col("cell_b").alias("b"), "cb"),
+                  "vector-units")
+    member = dealt.join(sizes.select("cell", "chunks"), "cell").withColumn(
+        "chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, count = (max(1, min(n, max(tasks, n // 64))) for n in (units.count(), sizes.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0]))
+    grown = store(member.select("cell", "chunk", "class", "weight", "unit").repartition(count, "cell", "chunk")
+                  .sortWithinPartitions("cell", "chunk", "class").mapInArrow(_grow, "cell long, chunk int, grown binary"),
+                  "vector-chunks")
     as_a = units.join(grown, (F.col("a") == F.col("cell")) & (F.col("ca") == F.col("chunk")))
     as_b = units.where("a != b or ca != cb").join(grown, (F.col("b") == F.col("cell")) & (F.col("cb") == F.col("chunk")))
     sides = [df.select("a", "ca", "b", "cb", F.lit(k).alias("side"), "grown") for k, df in enumerate((as_a, as_b))]
-    parts = sum(chunks[a] * chunks[b] if a != b else chunks[a] * (chunks[a] + 1) // 2 for a, b in pairs)
-    return (sides[0].union(sides[1]).repartition(max(1, min(parts, max(tasks, parts // 64))), "a", "ca", "b", "cb")
-            .sortWithinPartitions("a", "ca", "b", "cb", "side")
+    return (sides[0].union(sides[1]).repartition(parts, "a", "ca", "b", "cb").sortWithinPartitions("a", "ca", "b", "cb", "side")
             .mapInArrow(_links, "a long, n long, b long"))
 
 

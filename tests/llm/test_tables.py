@@ -92,6 +92,25 @@ def test_vectors(spark):
     assert cover_tree.near_vectors(df.where("false")).count() == 0
 
 
+def test_vectors_of_many_lengths_and_chunks(spark, monkeypatch):
+    import numpy as np
+
+    ship(spark)
+    monkeypatch.setattr(cover_tree, "CHUNK", 64)
+    rng, rows = np.random.default_rng(3), []
+    for width in (3, 8, 8, 8, 16):
+        centres = rng.normal(size=(6, width))
+        rows += [(len(rows) + k, (centres[k % 6] + 0.15 * rng.normal(size=width)).tolist()) for k in range(300)]
+    rows += [(len(rows) + k, [float(k + 1)] * (40 + k % 30)) for k in range(60)]
+    want = {}
+    for width in {len(v) for _, v in rows}:
+        own = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if len(v) == width]
+        units = np.array([u for _, u in own])
+        want |= dict(zip([i for i, _ in own], ((units @ units.T >= 0.9).sum(axis=1) - 1).tolist(), strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r.vec_id: r.n_links for r in cover_tree.near_vectors(df).collect()} == want and sum(want.values()) > 50000
+
+
 def test_archive_round_trip(spark):
     ship(spark)
     rows = [(3, "http://a/\r\nx", "<p>é</p>\r\n\r\nWARC/1.1\r\n"), (1, None, "<p>é</p>\r\n\r\nWARC/1.1\r\n"), (2, "u", None),
