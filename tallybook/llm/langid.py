@@ -168,16 +168,19 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Model from rows ``(doc_id, text, lang)``; null languages teach nothing.
 
-    Bounded: about ``sample`` rows, twice that at most, reach the driver.
+    Bounded: about ``sample`` rows, twice that at most, reach the driver, those
+    of the least draws by a hash of id and text, in that order.
     """
     rows = labelled.where(F.col("lang").isNotNull())
-    sizes = {lang: n for lang, n in rows.groupBy("lang").count().limit(sample).collect()}
+    sizes = {lang: n for lang, n in rows.groupBy("lang").count().orderBy("lang").limit(sample).collect()}
     if not sizes:
         return Model(np.empty((0, WIDTH)), [])
     each = max(1, sample // len(sizes))
     rate = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))) for lang, n in sizes.items()])
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    texts = rows.where(draw < rate).select("lang", "text").limit(2 * sample)
+    # in one order whatever the files are, so that the fit is the same
+    texts = (rows.where(draw < rate).select("lang", "text", draw.alias("draw"), "doc_id").orderBy("draw", "doc_id", "lang")
+             .limit(2 * sample).select("lang", "text"))
     found = texts.mapInArrow(_sampled, "lang string, at array<smallint>, value array<float>").collect()
     x = np.zeros((len(found), WIDTH), np.float32)
     for i, (_, at, value) in enumerate(found):
