@@ -13,7 +13,13 @@ With three shingles a sample, drawn without replacement, a pair with c of u
 shingles in common and in order shares one of 16 buckets with probability
 1 - (1 - C(c, 3) / C(u, 3))^16.  At 0.8 that is 0.99972 for 4 of 5, 0.99996 for
 8 of 10, 0.99997 for 12 of 15, 0.99998 for 16 of 20 and rises with the length
-to 1 - (1 - 0.8^3)^16 = 0.99999.  Short texts have no exact join besides.
+to 1 - (1 - 0.8^3)^16 = 0.99999.
+
+Short texts are joined exactly besides: two texts of similarity s or more have
+at least s of either one's shingles in common, so they share one of the first
+n - ceil(s n) + 1 of their n shingles in any fixed order.  Every text of up to
+``SHORT`` shingles, and of up to ``SHORT`` / s, which is all that such a text can
+be similar to, also enters a bucket for each of those, by the order of a hash.
 
 Equal word sequences are one class first, so copies cost nothing further.
 Buckets are split into units of at most two chunks of ``CHUNK`` classes; every
@@ -35,12 +41,14 @@ from pyspark.sql import functions as F
 
 from .common import batches_of, numbered, rows_of, store, without
 from .components import components
-from .words import labelled, shingles, word_hashes
+from .words import labelled, mix, shingles, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 SAMPLE = 3
+#: texts of up to so many shingles lose no link
+SHORT = 20
 CHUNK = 512
 #: shingles hashed at a time, which bounds the memory that a long text needs
 STRIDE = 1 << 16
@@ -75,6 +83,15 @@ def order_sketch(units: np.ndarray) -> np.ndarray:
     return keys
 
 
+def prefix_keys(units: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Bucket keys of a short text's first shingles in hash order; none for texts beyond ``SHORT`` / similarity."""
+    n = len(units)
+    if n > SHORT / similarity + 1e-9:
+        return units[:0]
+    first = n - int(np.ceil(similarity * n - 1e-9)) + 1
+    return np.sort(mix(units ^ _XOR[0]))[:first]
+
+
 def least_aligned(n: int, m: int, similarity: float = SIMILARITY) -> int:
     """Fewest aligned shingles with which lengths n and m reach the similarity."""
     return int(np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9))
@@ -150,8 +167,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = word_hashes(text)
             digest = np.frombuffer(xxhash.xxh128_digest(hashes.tobytes()), np.int64)
             units = labelled(shingles(hashes, SHINGLE_WORDS))
-            keys = order_sketch(units).view(np.int64) if len(units) else np.empty(0, np.int64)
-            yield row, int(digest[0]), int(digest[1]), keys
+            keys = np.unique(np.concatenate([order_sketch(units), prefix_keys(units)])) if len(units) else units
+            yield row, int(digest[0]), int(digest[1]), keys.view(np.int64)
     return batches_of(rows(), _SKETCH)
 
 

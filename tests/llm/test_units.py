@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import cover_tree as V
 from tallybook.llm import langid as L
@@ -335,3 +336,29 @@ def test_long_secrets_are_permuted_one_to_one():
     made = S.surrogate("secret", long)
     assert made == S.surrogate("secret", long) != S.surrogate("secret", long[:-1] + "0a"[long[-1] == "0"])
     assert S._classes(made[9:]) == S._classes(long[9:]) and len(made) == len(long)
+
+
+def test_short_texts_of_the_similarity_always_share_a_bucket():
+    rng = np.random.default_rng(11)
+    tried = 0
+    for _ in range(6000):
+        n = int(rng.integers(1, O.SHORT + 1))
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        rng.shuffle(a)
+        b = np.concatenate([a[:len(a) - int(rng.integers(0, 3))], rng.integers(0, 1 << 62, int(rng.integers(0, 4))).astype(np.uint64)])
+        common = len(np.intersect1d(a, b))
+        if len(b) and common >= 0.8 * (len(a) + len(b) - common) - 1e-9:
+            tried += 1
+            assert len(np.intersect1d(O.prefix_keys(a), O.prefix_keys(b))), (len(a), len(b), common)
+    assert tried > 1500
+    assert len(O.prefix_keys(np.arange(25, dtype=np.uint64))) == 6 and len(O.prefix_keys(np.arange(26, dtype=np.uint64))) == 0
+
+
+def test_language_model_does_not_depend_on_the_order_of_rows(spark):
+    words = {"en": "the and that with house", "de": "und der nicht haus über", "fr": "le dans être maison où"}
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(words[lang].split()) for _ in range(30)), lang) for i, lang in enumerate(list(words) * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = (L.identify(df, L.train(d, 60)).orderBy("doc_id").collect() for d in (df.repartition(4), df.orderBy(F.desc("doc_id"))))
+    assert one == two
+    assert sum(r.lang_pred == rows[r.doc_id][2] for r in one) > 110
