@@ -41,6 +41,18 @@ select * replace (case when account_name_owner = '{ACC}' and account_type = 'deb
  else account_type end as account_type) from t_transaction""")(
     lambda lg: M.fix_account_type(lg.t_transaction, lg.t_account, ACC)["t_transaction"])
 
+# the other table of each of these
+register("rename_account_accounts", f"""
+select * replace (case when account_name_owner = '{ACC}' then '{NEW}' else account_name_owner end as account_name_owner)
+from t_account""")(lambda lg: M.rename_account(lg.t_transaction, lg.t_account, ACC, NEW)["t_account"])
+register("disable_account_transactions", f"""
+select * replace (case when account_name_owner = '{ACC}' then false else active_status end as active_status)
+from t_transaction""")(lambda lg: M.disable_account(lg.t_transaction, lg.t_account, ACC)["t_transaction"])
+register("fix_account_type_accounts", f"""
+select * replace (case when account_name_owner = '{ACC}' and account_type = 'debit' then 'credit'
+ else account_type end as account_type) from t_account""")(
+    lambda lg: M.fix_account_type(lg.t_transaction, lg.t_account, ACC)["t_account"])
+
 register("refresh_account_fields", """
 select t.* replace (coalesce(x.account_id, t.account_id) as account_id,
  case when x.account_name_owner is not null then x.account_type else t.account_type end as account_type)

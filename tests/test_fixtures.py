@@ -65,3 +65,14 @@ def test_declared_values_are_spelled_apart_from_the_catalogue():
 
     apart = {r.name for r in K.ROW_RULES if r.kind not in ("not_null", "lowercase", "not_empty", "not_future")}
     assert apart == set(O.DECLARED)
+
+
+def test_keys_references_and_columns_are_spelled_apart_from_the_catalogue():
+    from tallybook.plans import oracle_checks as O
+
+    pool = K.ALL_RULES + K.LEGACY_RULES + K.ORPHAN_RULES
+    assert {r.name for r in pool if r.kind == "unique"} == set(O.KEYS)
+    assert {r.name for r in pool if r.kind == "foreign_key"} == set(O.REFERENCES)
+    assert {r.name for r in K.NOT_NULL_RULES} == {f"nn_{t}_{c}" for t, cs in O.NOT_NULL.items() for c in cs.split()}
+    for r in pool:  # and say the same
+        assert O.declared(r) == r
