@@ -17,10 +17,10 @@ refers to.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +32,10 @@ from .common import batches_of, rows_of, store
 
 #: payloads of at least so many bytes are stored once and revisited
 LEAST_BYTES = 0
-#: records in one file; bounds what a task reads at once
+#: records in one file, of payloads up to ``LARGE`` bytes and of larger ones; bounds a file's bytes
 FILE_RECORDS = 2000
+LARGE_RECORDS = 32
+LARGE = 128 << 10
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -122,11 +124,13 @@ def reconstruct(records: DataFrame, payloads: DataFrame) -> DataFrame:
 def write_warc(records: DataFrame, payloads: DataFrame) -> str:
     """Write the archive as gzip-compressed WARC files; returns the folder."""
     path = shared_path(records.sparkSession, "llm", f"warc-{uuid.uuid4().hex}")
-    responses = records.where("record_type = 'response'").join(payloads, "digest").select(
-        F.concat("warc_header", "http_header", "payload").alias("value"))
     revisits = records.where("record_type = 'revisit'").select(F.concat("warc_header", "http_header").alias("value"))
-    (responses.union(revisits).write.option("lineSep", RECORD_END).option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    for folder, size, limit in (("records", F.octet_length("payload") <= LARGE, FILE_RECORDS),
+                                ("large", F.octet_length("payload") > LARGE, LARGE_RECORDS)):
+        lines = records.where("record_type = 'response'").join(payloads.where(size), "digest").select(
+            F.concat("warc_header", "http_header", "payload").alias("value"))
+        (lines.union(revisits) if folder == "records" else lines).write.option("lineSep", RECORD_END).option(
+            "compression", "gzip").option("maxRecordsPerFile", limit).text(f"{path}/{folder}")
     return path
 
 
@@ -158,7 +162,8 @@ def _page_of(urn: str | None) -> int | None:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         for (content,) in rows_of(batches):
-            for headers, block in parse_warc(io.BytesIO(zlib.decompress(content, wbits=47))):
+            # unpacked as it is read, one record in memory at a time
+            for headers, block in parse_warc(gzip.GzipFile(fileobj=io.BytesIO(content))):
                 http, _, payload = block.partition(b"\r\n\r\n")
                 size = int(http.rpartition(b"Content-Length: ")[2])
                 digest = headers["warc-payload-digest"].removeprefix("sha1:")
@@ -173,7 +178,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, url`` of every record, verified."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option(
+        "recursiveFileLookup", "true").load(path).select("content")
     rows = store(files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, "
                                          "refers_to long, url string, record_id string, target_id string"), "warc-read")
     # one row for all revisits of a response that say the same

@@ -127,6 +127,25 @@ def test_archive_round_trip(spark):
     assert back == Counter((i, h or "") for i, _, h in rows)
 
 
+def test_files_of_an_archive_are_bounded_by_bytes(spark, monkeypatch):
+    ship(spark)
+    monkeypatch.setattr(warc, "LARGE", 1000)
+    monkeypatch.setattr(warc, "LARGE_RECORDS", 2)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 10)
+    pages = spark.createDataFrame([(k, "u", f"{k} é " * (500 if k % 4 else 1)) for k in range(40)] + [(99, "u", "1 é " * 500), (100, None, None)],
+                                  "page_id long, url string, html string").coalesce(1)
+    path = warc.write_warc(*warc.build_archive(pages))
+    import gzip
+    sizes = {"records": [], "large": []}
+    for folder, found in sizes.items():
+        for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{path}/{folder}").collect():
+            found.append(sum(1 for _ in warc.parse_warc(gzip.GzipFile(fileobj=__import__("io").BytesIO(bytes(r.content))))))
+    assert max(sizes["large"]) == 2 and sum(sizes["large"]) == 30 and max(sizes["records"]) <= 10 and sum(sizes["records"]) == 12
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_warc(spark, path).collect()}
+    assert len(got) == 42 and got[99] == ("revisit", 1) and got[100] == ("response", None) and warc.read_warc(
+        spark, warc.write_warc(*warc.build_archive(pages.where("false")))).count() == 0
+
+
 def test_a_revisit_needs_its_response(spark):
     ship(spark)
     pages = spark.createDataFrame([(1, "u", "one"), (2, "u", "one"), (3, "u", "two")], "page_id long, url string, html string")
