@@ -408,7 +408,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
     A null or empty page has an empty text; null ids and urls and repeated rows
-    stay as they are.  No shuffle.
+    stay as they are; an empty table gives an empty result.  No shuffle.
     """
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).alias("html")).mapInArrow(

@@ -90,7 +90,8 @@ def draws(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, b
     ``mix_order`` (0 to 10^9) interleaves the sources in proportion to their
     budgets.  Null sources are one source of their own; rows without id form
     blocks by their text; sources without tokens have weight 0 and are left out.
-    Names among the columns of ``docs`` that clash are replaced.
+    Names among the columns of ``docs`` that clash are replaced.  Rows that are
+    repeated are drawn each; an empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c.lower() not in ("tokens", "epoch", "mix_order")]
     name = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("null"))

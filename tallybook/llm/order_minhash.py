@@ -194,7 +194,8 @@ def near_groups(held: DataFrame, row: str, text_col: str = "text", id_col: str =
     ``group_id`` is the smallest ``doc_id`` of the group (null if none of its
     rows has one).  The row with the smallest id stays (null last, then the
     first row).  A null text counts as empty; texts without words are equal to
-    each other and link with nothing else.  ``held`` must be a stored table.
+    each other and link with nothing else.  Repeated rows are one group; an
+    empty table gives an empty result.  ``held`` must be a stored table.
     """
     texts = held.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketches = store(texts.select("row", "text").mapInArrow(

@@ -158,8 +158,9 @@ def resample(docs: DataFrame, labels: DataFrame, row: str, text_col: str = "text
     ``kept`` marks the k rows with the largest keys (all rows that tie with the
     k-th).  k is the number of rows beyond the score that best separates the
     labelled good from the bad; where one class is missing nothing is rejected.
-    A null text counts as empty and scores 0.  ``row`` names a column that
-    passes through, to join on.
+    A null text counts as empty and scores 0.  Repeated rows tie and are kept or
+    rejected together; an empty table gives an empty result.  ``row`` names a
+    column that passes through, to join on.
     """
     sample = store(labelled_sample(labels, limit), "labelled")  # at most 2 x limit rows
     flagged = docs.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(

@@ -60,8 +60,11 @@ def build_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     A null payload counts as empty.  Of equal payloads with at least
     ``least_bytes`` bytes the row with the smallest id is the response (null
-    ids last, then the first row); the others revisit it.  Line breaks in a url
-    are percent-encoded, a null url leaves its header out.
+    ids last, then the first row); the others revisit it.  Rows that repeat a
+    page id are records of their own, told apart by their row, so a revisit can
+    refer to a record of its own page id.  Line breaks in a url are
+    percent-encoded, a null url leaves its header out.  An empty table gives an
+    empty archive.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
