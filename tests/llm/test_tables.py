@@ -168,3 +168,20 @@ def test_selection_and_empty_tables(spark, docs):
     assert surrogates.anonymise(docs).where("n_entities > 0").count() == 0
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>t</p>")], "page_id long, url string, html string")
     assert {(r.page_id, r.text, r.n_chars) for r in main_text.main_text(pages).collect()} == {(1, "", 0), (None, "t", 1)}
+
+
+def test_empty_tables_repeated_rows_and_extra_columns(spark, docs):
+    ship(spark)
+    none = docs.where("false")
+    assert surrogates.anonymise(none).count() == 0 and mixing.draws(none).count() == 0
+    pages = spark.createDataFrame([(1, "u", "<p>one</p>"), (1, "u", "<p>one</p>"), (2, "u", "<p>two</p>")],
+                                  "page_id long, url string, html string")
+    assert main_text.main_text(pages.where("false")).count() == 0
+    odd = pages.withColumns({c: F.lit("x") for c in ("row", "digest", "text", "n_chars", "value", "payload")})
+    assert Counter((r.page_id, r.text) for r in main_text.main_text(odd).collect()) == Counter({(1, "one"): 2, (2, "two"): 1})
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.read_warc(
+        spark, warc.write_warc(*warc.build_archive(odd))).collect())
+    assert got == Counter({(1, "response", None): 1, (1, "revisit", 1): 1, (2, "response", None): 1})
+    twice = spark.createDataFrame([(1, "Mary Smith"), (1, "Mary Smith")], "doc_id long, text string").withColumn("entities", F.lit(1))
+    a, b = surrogates.anonymise(twice).collect()
+    assert a == b and a.n_entities == 1
