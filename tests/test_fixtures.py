@@ -76,3 +76,18 @@ def test_keys_references_and_columns_are_spelled_apart_from_the_catalogue():
     assert {r.name for r in K.NOT_NULL_RULES} == {f"nn_{t}_{c}" for t, cs in O.NOT_NULL.items() for c in cs.split()}
     for r in pool:  # and say the same
         assert O.declared(r) == r
+
+
+def test_a_joined_table_is_written_once(spark, tmp_path):
+    import os
+
+    from tallybook.sources.fixtures import Ledger
+
+    lg = Ledger(spark, "/root/testdata/sf0.001", materialize=True, path=str(tmp_path / "kept"))
+    full = complete.CompleteLedger(lg)
+    assert full.t_transfer.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    (base,) = os.listdir(tmp_path / "kept")
+    names = os.listdir(tmp_path / "kept" / base)
+    assert "complete_t_transfer" in names and "t_transfer" not in names
+    assert any(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "kept" / base / "complete_t_transfer"))
+    assert lg.derived("t_account") is lg.t_account  # what is stored is read

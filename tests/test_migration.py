@@ -149,3 +149,26 @@ def test_records_are_loaded_or_rejected(spark, tmp_path):
         "2": "d: no date", "x": "id: no int", "4": "b: no binary", "5": "n: no decimal(5,2)", "6": "at: no timestamp_ntz", "\\N": "id: null",
         "8": "wrong number of columns", "9": "wrong number of columns"}
     assert bad["8"].line == "8,1" and all(r.file.endswith("a.csv") for r in bad.values())
+
+
+def test_extracts_of_a_migration_are_compressed_and_pass(spark, tables, tmp_path):
+    import os
+
+    journal, kept = str(tmp_path / "journal"), str(tmp_path / "kept")
+    report = M.Migration(spark, str(tmp_path / "target"), journal).run(tables, NAMES).orderBy("step").collect()
+    assert [r.status for r in report] == ["ok"] * 3
+    files = os.listdir(f"{journal}/extracts/t_two")
+    assert any(f.endswith(".csv.gz") for f in files) and not any(f.endswith(".csv") for f in files)
+    IO.migrate_tables(spark, tables, NAMES, str(tmp_path / "a"), staging=kept)
+    assert sorted(os.listdir(kept)) == sorted(NAMES)  # the caller's folder keeps them
+    before = IO.staging_dir
+    made = []
+    try:
+        IO.staging_dir = lambda *a: made.append(before(*a)) or made[-1]
+        report = IO.migrate_tables(spark, tables, NAMES, str(tmp_path / "b")).orderBy("step").collect()
+    finally:
+        IO.staging_dir = before
+    assert [(r.loaded_rows, r.status) for r in report] == [(10, "ok"), (20, "ok"), (30, "ok")]
+    assert made and not any(os.listdir(m.removeprefix("file:")) for m in made)
+    size = IO.extract_size(spark, f"{kept}/t_two")
+    assert size["lines"] - size["headers"] == 20 and size["bytes"] > 0
