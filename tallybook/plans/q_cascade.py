@@ -6,6 +6,8 @@ or what refuses it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import functions as F
 
 from ..operators import cascade as C
@@ -18,12 +20,29 @@ from .registry import register
 _TABLES = sorted({t for r in REFERENCES for t in (r.child, r.parent)})
 
 
+class _Tables(Mapping):
+    """The complete tables, each made when it is first read: a statement reaches only some of them."""
+
+    def __init__(self, full):
+        self.full = full
+
+    def __getitem__(self, name):
+        if name not in _TABLES:
+            raise KeyError(name)
+        return getattr(self.full, name)
+
+    def __iter__(self):
+        return iter(_TABLES)
+
+    def __len__(self):
+        return len(_TABLES)
+
+
 def _run(lg, name, statement):
     """The outcome of a statement on the complete tables, kept with the ledger."""
     held = lg.__dict__.setdefault("_cascades", {})
     if name not in held:
-        full = CompleteLedger.of(lg)
-        held[name] = statement({t: getattr(full, t) for t in _TABLES})
+        held[name] = statement(_Tables(CompleteLedger.of(lg)))
     return held[name]
 
 

@@ -165,3 +165,37 @@ def test_declared_actions_and_dependents():
     assert reached[0] == "t_category" and set(reached) == {"t_category", "t_transaction", "t_receipt_image", "t_payment", "t_transfer",
                                                            "t_medical_expense"}
     assert C.dependents(GRAPH, ["c"]) == ["c", "b"]
+
+
+@pytest.mark.parametrize("seed", [1, 3])
+def test_rows_ruled_out_by_a_bitmap_change_nothing(spark, seed, monkeypatch):
+    rows = tables(seed)
+    df = frames(spark, rows)
+    new = spark.createDataFrame([(k, "z", f"m{k}") for k in range(0, 60, 4)], "id int, new_o string, new_name string")
+
+    def outcomes():
+        for out in (C.update_keys(df, GRAPH, {"a": new}, KEYS), C.delete_rows(df, GRAPH, {"a": df["a"].where("v = 1")}, KEYS)):
+            yield [Counter(tuple(r) for r in d.collect()) for d in (*[out.tables[t] for t in sorted(out.tables)], out.blocked)]
+
+    plain = list(outcomes())
+    made, seen = [], C._seen
+    monkeypatch.setattr(C, "_FEW", 0)
+    monkeypatch.setattr(C, "_seen", lambda *a: made.append(seen(*a)) or made[-1])
+    assert list(outcomes()) == plain
+    assert sum(m is not None for m in made) > 5
+    few = df["a"].where("id < 3").select("id")
+    assert {r.id for r in C._near(df["a"], ["id"], few, 3).collect()} >= {0, 1, 2}
+    assert C._near(df["a"], ["id"], few, 3).count() < 30
+
+
+def test_tables_that_no_round_reaches_are_not_made(spark):
+    df = frames(spark, tables(2))
+    graph = [*GRAPH[:1], C.Reference("d_b", "d", ("c_id",), "b", ("c_id",), C.CASCADE, C.CASCADE)]
+
+    class Tables(dict):
+        def __missing__(self, name):
+            raise AssertionError(f"{name} is made")
+
+    new = spark.createDataFrame([(1, "z")], "id int, new_o string")
+    out = C.update_keys(Tables({**df}), graph, {"a": new}, KEYS)
+    assert set(out.tables) <= {"a", "b"} and out.tables["a"].where("o = 'z'").count() == 1
