@@ -399,19 +399,18 @@ select receipt_image_id, transaction_id, image from t_receipt_image""")(
 
 
 # -- the same by change sets ---------------------------------------------------------------
-def _changed(lg):
+def _changed(lg, step):
     held = lg.__dict__.setdefault("_changed", {})
-    if not held:
+    if step not in held:
         new = lg.t_account.where("account_id % 3 = 0").select(
             "account_name_owner", (F.col("account_id") + 1000000).alias("new_id"), F.lit("cash").alias("new_type"))
-        for step in ("merged", "compacted"):
-            table = ChangedTable.create(lg.t_transaction, staging_dir(lg.spark, f"changes-{step}"), ["transaction_id"])
-            table.update_from(new, ["account_name_owner"], {"account_id": "new_id", "account_type": "new_type"})
-            table.delete("description = 'void'")
-            if step == "compacted":
-                table.compact()
-            held[step] = table
-    return held
+        table = ChangedTable.create(lg.t_transaction, staging_dir(lg.spark, f"changes-{step}"), ["transaction_id"])
+        table.update_from(new, ["account_name_owner"], {"account_id": "new_id", "account_type": "new_type"})
+        table.delete("description = 'void'")
+        if step == "compacted":
+            table.compact()
+        held[step] = table
+    return held[step]
 
 
 _CHANGED = """(select t.* replace (case when x.name is null then t.account_id else x.account_id end as account_id,
@@ -420,7 +419,7 @@ _CHANGED = """(select t.* replace (case when x.name is null then t.account_id el
  on t.account_name_owner = x.name)"""
 for _step in ("merged", "compacted"):
     register(f"change_set_{_step}", f"select * from {_CHANGED} c where description is distinct from 'void'")(
-        lambda lg, s=_step: _changed(lg)[s].read().select(*lg.t_transaction.columns))
+        lambda lg, s=_step: _changed(lg, s).read().select(*lg.t_transaction.columns))
 register("change_set_log", f"""
 select c.transaction_id, 'update' as kind, 0 as change, 'account_id' as "column", cast(t.account_id as varchar) as old,
  cast(c.account_id as varchar) as new from {_CHANGED} c join t_transaction t using (transaction_id)
@@ -428,4 +427,4 @@ select c.transaction_id, 'update' as kind, 0 as change, 'account_id' as "column"
 union all select c.transaction_id, 'update', 0, 'account_type', t.account_type, c.account_type
  from {_CHANGED} c join t_transaction t using (transaction_id) where c.account_type is distinct from t.account_type
 union all select transaction_id, 'delete', 1, null, null, null from t_transaction where description = 'void'""")(
-    lambda lg: _changed(lg)["merged"].changes())
+    lambda lg: _changed(lg, "merged").changes())

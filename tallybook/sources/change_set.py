@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import joins as J
+from ..operators.cascade import rows_apart
 from .migration import _Notes
 
 KIND, UPDATE, DELETE = "_tb_kind", "update", "delete"
@@ -38,7 +39,7 @@ class ChangedTable:
         """Write ``df`` as a new table; clustered by key, so that changes of near keys touch few files."""
         spark, folder = df.sparkSession, f"data-{uuid.uuid4().hex[:12]}"
         out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if clustered else df
-        out.write.parquet(f"{path.rstrip('/')}/{folder}")
+        out.write.option("compression", "zstd").parquet(f"{path.rstrip('/')}/{folder}")
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
         files = cls._files_in(spark, f"{path.rstrip('/')}/{folder}")
         _Notes(spark, f"{path.rstrip('/')}/manifests").write(
@@ -68,6 +69,11 @@ class ChangedTable:
         return self.spark.read.parquet(f"{self.path}/{entry['folder']}")
 
     def _merged(self, rows: DataFrame, entries: list[dict]) -> DataFrame:
+        if not entries:
+            return rows
+        # rows that a bitmap of all changed keys rules out stay where they are
+        moved = reduce(lambda a, b: a.union(b), [self._change(e).select(*self.keys) for e in entries])
+        rows, far = rows_apart(rows, self.keys, moved, sum(e.get("rows", 0) for e in entries))
         for entry in entries:
             change = self._change(entry)
             new = [F.col(f"new_{c}").alias(f"_tb_new_{c}") for c in entry["columns"]]
@@ -75,7 +81,7 @@ class ChangedTable:
                 F.col(KIND).isNull() | (F.col(KIND) != DELETE))
             rows = out.select(*[F.when(F.col(KIND) == UPDATE, F.col(f"_tb_new_{c}")).otherwise(F.col(c)).alias(c)
                                 if c in entry["columns"] else F.col(c) for c in self.schema.names])
-        return rows
+        return rows if far is None else rows.unionByName(far)
 
     def read(self) -> DataFrame:
         """The table as it is now."""
@@ -103,10 +109,10 @@ class ChangedTable:
 
     def _add(self, rows: DataFrame, columns: list[str]) -> int:
         folder, obs = f"change-{uuid.uuid4().hex[:12]}", Observation("change")
-        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.path}/{folder}")
+        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         n = int(obs.get["rows"])
         if n:
-            self._publish(changes=[*self.manifest["changes"], {"folder": folder, "columns": columns}])
+            self._publish(changes=[*self.manifest["changes"], {"folder": folder, "columns": columns, "rows": n}])
         return n
 
     def update_from(self, lookup: DataFrame, on: list[str], set_cols: dict[str, str], where=None) -> int:
@@ -130,7 +136,7 @@ class ChangedTable:
         """New files; what was changed before does not touch them, so the changes are compacted first."""
         self.compact()
         folder = f"data-{uuid.uuid4().hex[:12]}"
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.parquet(f"{self.path}/{folder}")
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         self._publish(files=[*self.manifest["files"], *self._files_in(self.spark, f"{self.path}/{folder}")])
 
     def compact(self) -> list[str]:
@@ -146,6 +152,6 @@ class ChangedTable:
         hit = [f for f in files if f in names]
         folder = f"data-{uuid.uuid4().hex[:12]}"
         rows = self._merged(self._data(hit), entries)
-        rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write.parquet(f"{self.path}/{folder}")
+        rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         self._publish(files=[*[f for f in files if f not in names], *self._files_in(self.spark, f"{self.path}/{folder}")], changes=[])
         return hit

@@ -69,3 +69,25 @@ def test_account_fields_by_changes_equal_the_mutation(spark, ledger, tmp_path):
     want = M.refresh_account_fields(t, a)
     assert rows(held.read().select(*t.columns)) == rows(want)
     assert n == want.exceptAll(t).count()
+
+
+def test_rows_without_a_change_are_not_joined(spark, source, tmp_path, monkeypatch):
+    from tallybook.operators import cascade as C
+
+    held = ChangedTable.create(source, str(tmp_path / "t"), ["id"])
+    held.update_from(spark.createDataFrame([(5, "x"), (7, None)], "id long, new_name string"), ["id"], {"name": "new_name"})
+    held.delete("id between 20 and 29")
+    plain = rows(held.read())
+    assert [e["rows"] for e in held.manifest["changes"]] == [2, 10]
+    monkeypatch.setattr(C, "_FEW", 0)
+    assert rows(held.read()) == plain
+    near, far = C.rows_apart(source, ["id"], spark.range(5, 8), 3)
+    assert far.count() > 900 and {5, 6, 7} <= {r.id for r in near.collect()}
+
+
+def test_the_merged_table_is_made_without_the_compacted_one(spark):
+    from tallybook.plans import q_mutations as Q
+    from tallybook.sources.fixtures import Ledger
+
+    lg = Ledger(spark, "/root/testdata/sf0.001")
+    assert Q._changed(lg, "merged").read().count() > 0 and set(lg.__dict__["_changed"]) == {"merged"}
