@@ -91,3 +91,17 @@ def test_a_joined_table_is_written_once(spark, tmp_path):
     assert "complete_t_transfer" in names and "t_transfer" not in names
     assert any(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "kept" / base / "complete_t_transfer"))
     assert lg.derived("t_account") is lg.t_account  # what is stored is read
+
+
+def test_a_backup_is_validated_without_writing_projections(spark, tmp_path):
+    import os
+
+    from tallybook.plans import integrity as I
+    from tallybook.sources.fixtures import PROJECTIONS, Ledger
+
+    lg = Ledger(spark, "/root/testdata/sf0.001", materialize=True, path=str(tmp_path / "kept"))
+    rows = I.validate_backup(lg.once()).collect()
+    (base,) = os.listdir(tmp_path / "kept")
+    written = set(os.listdir(tmp_path / "kept" / base))
+    assert "t_transaction" in written and not written & (set(PROJECTIONS) - {"t_account"})
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, I.validate_backup(lg).collect()))
