@@ -42,7 +42,8 @@ def _run(lg, name, statement):
     """The outcome of a statement on the complete tables, kept with the ledger."""
     held = lg.__dict__.setdefault("_cascades", {})
     if name not in held:
-        held[name] = statement(_Tables(CompleteLedger.of(lg)))
+        # a statement follows keys and reads whole at most the table it is asked for, so no joined table is written
+        held[name] = statement(_Tables(CompleteLedger.of(lg.unstored())))
     return held[name]
 
 
