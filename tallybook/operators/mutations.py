@@ -140,7 +140,7 @@ def delete_void_records(txn: DataFrame, descriptions=("void", "none")) -> DataFr
 
 def delete_orphans(links: DataFrame, txn: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Keep link rows whose transaction exists (delete the orphans)."""
-    return links.join(txn.select(key), key, "left_semi")
+    return links.join(J.by_rows(txn.select(key)), key, "left_semi")
 
 
 def delete_images_and_unlink(txn: DataFrame, receipts: DataFrame,
