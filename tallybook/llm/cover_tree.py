@@ -14,7 +14,9 @@ Pairs of nodes descend together, level by level: a pair whose centres are
 further apart than threshold + both radii is pruned, one whose centres plus
 radii lie within the threshold links all its vectors at once, and what is left
 at the bottom is compared vector by vector in double precision.  Pairs of cells
-are pruned by the same bound before any vector is sent to them.
+are pruned by the same bound before any vector is sent to them.  Chunks lie in
+blocks of up to ``BLOCK`` components; a task compares the chunks of two blocks, so a
+chunk is sent once for each block it has a partner in, not for each partner.
 
 Equal vectors are one class with a weight, and a task returns a count per
 vector and one link of each vector to its part, never all pairs.  Where the
@@ -43,6 +45,8 @@ COSINE = 0.9
 SAMPLE = 16
 CELLS = 256
 CHUNK = 4096
+#: vector components (32 MB) of a block of chunks that a task holds while the chunks of another pass by
+BLOCK = 1 << 22
 #: radius below which a node is not split further
 FINEST = 0.05
 #: room for rounding: bounds this close to the threshold are compared exactly
@@ -270,11 +274,21 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``cell a, chunk a, cell b, chunk b, side, chunk with tree`` sorted by unit and side."""
+    """Rows ``block a, block b, side, cell, chunk, partners, chunk with tree`` sorted by the first five: the chunks
+    of block a are held, those of block b pass by, each compared with its partners."""
     def rows():
-        for _, run in itertools.groupby(rows_of(batches), key=lambda r: r[:4]):
-            grown = [pickle.loads(row[5]) for row in run]  # one chunk: with itself
-            yield from unit_links(grown[0], grown[1] if len(grown) > 1 else None)
+        for _, run in itertools.groupby(rows_of(batches), key=lambda r: r[:2]):
+            held, own = {}, []
+            for _, _, side, cell, chunk, partners, grown in run:
+                here, at = pickle.loads(grown), (cell, chunk)
+                if side == 0:
+                    held[at] = here
+                    own += [(tuple(p.values()), at) for p in partners]  # within the block: once all are held
+                    continue
+                for p in partners:
+                    yield from unit_links(held[tuple(p.values())], here)
+            for a, b in own:
+                yield from unit_links(held[a], held[b] if a != b else None)
     return batches_of(rows(), _ROW)
 
 
@@ -334,8 +348,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def _links_of(classes: DataFrame) -> DataFrame:
     """``a, n, b`` rows (see ``unit_links``); cells of vectors of one length are compared."""
-    spark = classes.sparkSession
-    cells = max(CELLS, math.isqrt(classes.count()))
+    spark, count = classes.sparkSession, classes.count()
+    cells = max(CELLS, math.isqrt(count))
     sample: dict[int, list] = {}
     for (v,) in classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE * cells).select("v").collect():
         sample.setdefault(len(v), []).append(v)
@@ -347,8 +361,13 @@ def _links_of(classes: DataFrame) -> DataFrame:
         _dealer(centres), "class long, weight long, unit array<double>, cell long, off double"), "vector-cells")
     named = spark.createDataFrame([(w << 32 | k, c.tolist()) for w, own in centres.items() for k, c in enumerate(own)],
                                   "cell long, centre array<double>")
-    sizes = store(dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"), F.max("off").alias("radius"))
+    sizes = store(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("held"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"),
+                                            F.max("off").alias("radius"))
                   .join(named, "cell", "left"), "vector-sizes")
+    # vectors of the cells before each, by which its chunks go to blocks
+    each = sizes.select("cell", "held").orderBy("cell").collect()
+    before = itertools.accumulate((r.held for r in each), initial=0)
+    sizes = sizes.join(spark.createDataFrame([(r.cell, n) for r, n in zip(each, before)], "cell long, before long"), "cell")
     # pairs of cells by their summaries alone
     a, b = (sizes.select(F.shiftright("cell", 32).alias("width"), *[F.col(c).alias(f"{c}_{s}") for c in sizes.columns]) for s in "ab")
     dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -356,23 +375,42 @@ def _links_of(classes: DataFrame) -> DataFrame:
     near = gap - F.col("radius_a") - F.col("radius_b") <= float(np.sqrt(2 - 2 * COSINE)) + SLACK
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     partners = a.join(b, "width").where((F.col("cell_a") == F.col("cell_b")) | (F.col("cell_a") < F.col("cell_b")) & near)
+    block = _block(count, max(sample, default=1), spark.sparkContext.defaultParallelism)
+    at = lambda s: F.floor((F.col(f"before_{s}") + F.floor(F.col(f"c{s}") * F.col(f"held_{s}") / F.col(f"chunks_{s}"))) / block)
     units = store(partners.withColumn("ca", F.explode(span("chunks_a"))).withColumn("cb", F.explode(span("chunks_b")))
-                  .where("cell_a != cell_b or ca <= cb").select(F.col("cell_a").alias("a"), "ca", F.col("cell_b").alias("b"), "cb"),
+                  .where("cell_a != cell_b or ca <= cb").select(
+                      at("a").alias("block_a"), at("b").alias("block_b"), F.col("cell_a").alias("a"), "ca", F.col("cell_b").alias("b"), "cb"),
                   "vector-units")
+    sent = store(_sent(units), "vector-sent")
     member = dealt.join(sizes.select("cell", "chunks"), "cell").withColumn(
         "chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts, count = (max(1, min(n, max(tasks, n // 64))) for n in (units.count(), sizes.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0]))
+    parts, count = (max(1, min(n, max(tasks, n // 64))) for n in (units.select("block_a", "block_b").distinct().count(),
+                                                                  sizes.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0]))
     grown = store(member.select("cell", "chunk", "class", "weight", "unit").repartition(count, "cell", "chunk")
                   .sortWithinPartitions("cell", "chunk", "class").mapInArrow(_grow, "cell long, chunk int, grown binary"),
                   "vector-chunks")
-    as_a = units.join(grown, (F.col("a") == F.col("cell")) & (F.col("ca") == F.col("chunk")))
-    as_b = units.where("a != b or ca != cb").join(grown, (F.col("b") == F.col("cell")) & (F.col("cb") == F.col("chunk")))
-    sides = [df.select("a", "ca", "b", "cb", F.lit(k).alias("side"), "grown") for k, df in enumerate((as_a, as_b))]
-    return (sides[0].union(sides[1]).repartition(parts, "a", "ca", "b", "cb").sortWithinPartitions("a", "ca", "b", "cb", "side")
+    return (sent.join(grown, ["cell", "chunk"]).select("block_a", "block_b", "side", "cell", "chunk", "partners", "grown")
+            .repartition(parts, "block_a", "block_b").sortWithinPartitions("block_a", "block_b", "side", "cell", "chunk")
             .mapInArrow(_links, "a long, n long, b long"))
 
 
+def _block(vectors: int, width: int, cores: int) -> int:
+    """Vectors of a block: ``BLOCK`` components, or fewer where that would make less than some four pairs of blocks a core."""
+    return max(1, min(BLOCK // width, vectors // math.isqrt(8 * cores)))
+
+
+def _sent(units: DataFrame) -> DataFrame:
+    """Chunks that each pair of blocks needs, once each: ``side`` 0 those of the first block, 1 those of the second,
+    and the chunks of the first one (``partners``) that each is compared with."""
+    partner = F.struct("a", "ca")
+    sides = (units.select("block_a", "block_b", F.lit(0).alias("side"), F.col("a").alias("cell"), F.col("ca").alias("chunk"),
+                          F.when(F.lit(False), partner).alias("partner")),
+             units.select("block_a", "block_b", (F.col("block_a") != F.col("block_b")).cast("int").alias("side"),
+                          F.col("b").alias("cell"), F.col("cb").alias("chunk"), partner.alias("partner")))
+    return sides[0].union(sides[1]).groupBy("block_a", "block_b", "side", "cell", "chunk").agg(F.collect_list("partner").alias("partners"))
+
+
 QUERY_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
