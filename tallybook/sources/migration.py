@@ -190,10 +190,10 @@ class Migration:
             written = IO.export_extract(df, extract, order_by=[c for c in S.PRIMARY_KEY.get(name, ()) if c in df.columns],
                                         codec=IO.EXTRACT_CODEC)
             made["source"] = written["rows"]
-            found = IO.check_extract(self.spark, extract, df.schema, written["rows"], written["fingerprint"])
+            # no reader sees the folder yet, so the extract is parsed once, for its check and its load
+            found = IO.check_extract(self.spark, extract, df.schema, written["rows"], written["fingerprint"], load=folder)
             made |= {"extract": found["rows"], "bytes": found["bytes"], "lines": found["lines"], "status": found["status"]}
             if made["status"] == "ok":
-                IO.load_mode(IO.import_csv(self.spark, extract, df.schema), folder, True)
                 back = self.spark.read.schema(df.schema).parquet(folder)
                 read = IO._print(back.agg(*IO.fingerprint(back)).first())
                 made["loaded"] = read["rows"]
